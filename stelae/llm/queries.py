@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stelae.llm import chat
+import public_tokenizers
+
+from stelae.llm import bpe, chat
 from stelae.runtime import read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -55,8 +57,20 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.encode(read_table(spark, sf_dir, "documents"), path)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
+        "op10_bpe": op10_bpe,
         "op9_chat_format": op9_chat_format,
     }
 
