@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat
+from stelae.llm import bpe, chat, packing
 from stelae.runtime import read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -68,8 +68,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.token_pieces(read_table(spark, sf_dir, "documents"), path))
+
+
 def queries() -> dict:
     return {
+        "op2_packing": op2_packing,
         "op10_bpe": op10_bpe,
         "op9_chat_format": op9_chat_format,
     }
