@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stelae.runtime import cut_lineage, ship_package
+from stelae.runtime import ship_package, stored
 
 #: Pieces per partition in the first round; partitions whose open bins meet later;
 #: the most bins that one partition hands on.
@@ -203,7 +203,7 @@ def pack(pieces: DataFrame, limit: int = 4096) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32) -> the same with sequence_id,
     offset and certified (its partition met its lower bound)."""
     ship_package(pieces.sparkSession)
-    pieces = cut_lineage(pieces)
+    pieces = stored(pieces, "pieces")
     parts = max(1, -(-pieces.count() // PIECES_PER_PARTITION))
     rows = pieces.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
@@ -220,7 +220,7 @@ def pack(pieces: DataFrame, limit: int = 4096) -> DataFrame:
 
         packed = rows.groupBy("part").applyInPandas(_packer(limit, last), schema)
         if not last:
-            packed = cut_lineage(packed)
+            packed = stored(packed, "packed")
         number = F.shiftleft(F.lit(turn).cast("long"), 58) + F.shiftleft(F.col("part"), 24) + F.col("bin")
         settled.append(packed.filter(~F.col("opened")).withColumn("sequence_id", number))
         if last:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, packing
+from stelae.llm import bpe, chat, packing, simhash
 from stelae.runtime import read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -73,8 +73,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read_table(spark, sf_dir, "documents"), path))
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
     return {
+        "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
         "op10_bpe": op10_bpe,
         "op9_chat_format": op9_chat_format,
