@@ -51,10 +51,9 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from the files (checkpoint())."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write df as a table of the shared folder and go on from its files: lineage is
+    cut, every executor can read them, and later joins are free to deal rows anew."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
