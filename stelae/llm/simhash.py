@@ -74,6 +74,10 @@ def _half(fp: Column, index: int) -> Column:
     return (F.shiftrightunsigned(fp, 32) if index else fp).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+def _in_half(index: int):
+    return lambda cell: F.struct(F.lit(index).alias("half"), cell.alias("cell"))
+
+
 def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """points (fp, distinct) -> a, b: the pairs of fingerprints within the radius.
     Both halves may not be further than one bit apart, so the radius is 3 at most."""
@@ -87,7 +91,7 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
             F.when(F.shiftright(counts, 2 * s).bitwiseAND(F.lit(3)) < 2, counts + F.lit(1 << (2 * s))) for s in range(16)
         ]
         near = F.filter(F.array(counts, *touching), lambda c: c.isNotNull())
-        probes.append(F.transform(near, lambda c, i=index: F.struct(F.lit(i).alias("half"), c.alias("cell"))))
+        probes.append(F.transform(near, _in_half(index)))
     at = points.select(F.col("fp").alias("a"), F.explode(F.array(*cells)).alias("at")).select("a", "at.half", "at.cell")
     to = points.select(F.col("fp").alias("b"), F.explode(F.concat(*probes)).alias("at")).select("b", "at.half", "at.cell")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, radius)
