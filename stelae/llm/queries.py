@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, packing, simhash
-from stelae.runtime import read_table
+from stelae.llm import bpe, chat, covertree, packing, simhash, warc
+from stelae.runtime import new_shared_path, read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
 
@@ -78,8 +78,48 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "warc")
+    warc.write_archive(warc.with_revisits(read_table(spark, sf_dir, "pages")), path)
+    found = warc.read_archive(spark, path, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), m AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS least FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND least <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND least <> page_id THEN least END AS refers_to
+FROM m
+"""
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covertree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
 def queries() -> dict:
     return {
+        "op4_warc": op4_warc,
+        "op6_topk": op6_topk,
         "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
         "op10_bpe": op10_bpe,
@@ -88,4 +128,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_format": OP9_SQL}
+    return {"op4_warc": OP4_SQL, "op6_topk": OP6_SQL, "op9_chat_format": OP9_SQL}
