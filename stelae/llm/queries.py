@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, covertree, packing, simhash, warc
+from stelae.llm import bpe, chat, covertree, iblt, packing, simhash, warc
 from stelae.runtime import new_shared_path, read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -116,8 +116,39 @@ SELECT query_id, rank, vec_id, score FROM (
 """
 
 
+def op8_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = iblt.with_next_text(read_table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substr(F.col("text"), F.lit(1), n - half), F.substr(F.col("next_text"), F.lit(1), half))
+    rows = rows.select(
+        F.col("id").alias("doc_id"),
+        n.cast("long").alias("n_chars"),
+        F.sha2(edited, 256).alias("edited_sha256"),
+        iblt.digests(F.col("text")).alias("a"),
+        iblt.digests(edited).alias("b"),
+        iblt.digests(F.col("next_text")).alias("c"),
+    )
+    rows = rows.select("*", *[iblt.cells(F.col(x), iblt.BASE_CELLS).alias(f"{x}_cells") for x in "abc"])
+
+    def near(x: str):
+        lost = iblt.difference(F.col("a"), F.col(x), F.col("a_cells"), F.col(f"{x}_cells"))
+        return iblt._let(lost, lambda d: iblt.likeness(F.col("a"), F.col(x), d))
+
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        iblt.as_text(F.col("a_cells")).alias("fingerprint"),
+        iblt.as_text(F.col("b_cells")).alias("edited_fingerprint"),
+        near("b").alias("near_edited"),
+        near("c").alias("near_next"),
+    )
+
+
 def queries() -> dict:
     return {
+        "op8_iblt": op8_iblt,
         "op4_warc": op4_warc,
         "op6_topk": op6_topk,
         "op1_simhash": op1_simhash,
