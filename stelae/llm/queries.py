@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, covertree, iblt, packing, simhash, warc
+from stelae.llm import bpe, chat, covertree, iblt, packing, simhash, suffix_dedup, warc
 from stelae.runtime import new_shared_path, read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -146,8 +146,21 @@ def op8_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op8_iblt": op8_iblt,
         "op4_warc": op4_warc,
         "op6_topk": op6_topk,
