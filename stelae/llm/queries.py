@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, covertree, iblt, packing, simhash, suffix_dedup, warc
+from stelae.llm import bpe, chat, covertree, iblt, labelled, packing, quality, simhash, suffix_dedup, toxicity, warc
 from stelae.runtime import new_shared_path, read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -158,8 +158,31 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _classified(found: DataFrame, least: float) -> DataFrame:
+    return found.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return _classified(toxicity.score(docs, model), 0.5)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return _classified(quality.score(docs, model), 0.3)
+
+
 def queries() -> dict:
     return {
+        "op5_toxicity": op5_toxicity,
+        "op7_quality": op7_quality,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op8_iblt": op8_iblt,
         "op4_warc": op4_warc,
