@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stelae.llm.labelled import constant, training_rows
 from stelae.runtime import ship_package
@@ -123,7 +124,7 @@ def _slabs(batch: pa.RecordBatch):
         held.append(raw)
         size += len(raw)
         if size >= _SLAB or i == batch.num_rows - 1:
-            yield batch.column(0).slice(begin, len(held)), held
+            yield batch.slice(begin, len(held)), held
             begin, size, held = i + 1, 0, []
 
 
@@ -139,11 +140,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
         from stelae.llm import quality
 
         for batch in batches:
-            for y, texts in quality._slabs(batch):
+            for rows, texts in quality._slabs(batch):
                 x, n = quality.passage_features(texts)
                 ends = np.cumsum(n)
                 flat = [x[e - c : e].tobytes() for e, c in zip(ends, n, strict=True)]
-                yield pa.RecordBatch.from_arrays([y, pa.array(flat, pa.binary())], names=["label", "x"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(flat, pa.binary())], names=["label", "x"])
 
     got = rows.select("label", "text", "doc_id").sort("doc_id").select("label", "text").mapInArrow(run, "label int, x binary").collect()
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, WIDTH) for r in got]
@@ -155,22 +156,39 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
     return fit(np.concatenate(bags).astype(np.float64), np.array([len(b) for b in bags]), y, weight / weight.mean())
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """-> doc_id, score."""
+def with_scores(docs: DataFrame, score_texts) -> DataFrame:
+    """docs and a column ``score``. score_texts() makes, in a task, a function from
+    texts as bytes to their scores."""
     ship_package(docs.sparkSession)
+    names = ["doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text", "score")]]
 
     def run(batches):
         from stelae.llm import quality
 
+        scores = score_texts()
         for batch in batches:
-            for ids, texts in quality._slabs(batch):
-                if "constant" in model:
-                    p = np.full(len(texts), model["constant"])
-                else:
-                    x, n = quality.passage_features(texts)
-                    small = {k: v.astype(np.float32) for k, v in model.items()}
-                    p = quality._forward(small, (x - small["mean"]) / small["std"], np.cumsum(n) - n, n)["p"]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.asarray(p, np.float64))], names=["doc_id", "score"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+            for rows, texts in quality._slabs(batch):
+                found = pa.array(np.asarray(scores(texts), np.float64))
+                yield pa.RecordBatch.from_arrays([*rows.columns, found], names=[*names, "score"])
+
+    rows = docs.select(*names)
+    return rows.mapInArrow(run, rows.withColumn("score", F.lit(0.0)).schema)
+
+
+def score(docs: DataFrame, model: dict) -> DataFrame:
+    """docs (doc_id, text, ...) -> the same with a column score."""
+
+    def score_texts():
+        from stelae.llm import quality
+
+        if "constant" in model:
+            return lambda texts: np.full(len(texts), model["constant"])
+        small = {k: v.astype(np.float32) for k, v in model.items()}
+
+        def of(texts):
+            x, n = quality.passage_features(texts)
+            return quality._forward(small, (x - small["mean"]) / small["std"], np.cumsum(n) - n, n)["p"]
+
+        return of
+
+    return with_scores(docs, score_texts)

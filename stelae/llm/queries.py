@@ -170,13 +170,13 @@ def _classified(found: DataFrame, least: float) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return _classified(toxicity.score(docs, model), 0.5)
+    return _classified(toxicity.score(docs.select("doc_id", "text"), model), 0.5)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return _classified(quality.score(docs, model), 0.3)
+    return _classified(quality.score(docs.select("doc_id", "text"), model), 0.3)
 
 
 def queries() -> dict:

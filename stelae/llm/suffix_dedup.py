@@ -309,7 +309,7 @@ def cut(batches, buckets: int, names: list[str]):
                     spans[i] = merged(lo, hi)
             kept = [_without(t, s) for t, s in zip(texts, spans, strict=True)]
             arrays = [
-                rows.column(rows.schema.get_field_index("doc_id")),
+                *[rows.column(rows.schema.get_field_index(c)) for c in names[:-3]],
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                 pa.array(kept, pa.binary()),
@@ -340,15 +340,17 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """-> doc_id, n_bytes, spans (removed byte ranges), kept (the other bytes)."""
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """docs (doc_id, text, ...) -> doc_id, the columns to carry, n_bytes, spans (removed
+    byte ranges), kept (the other bytes)."""
     ship_package(docs.sparkSession)
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("key"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("key"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.struct(*carry).alias("carried") if carry else F.lit(0).alias("carried"),
     )
-    rows = rows.select("doc_id", "key", F.xxhash64("doc_id", "text").alias("uid"), "text")
+    rows = rows.select("doc_id", "key", F.xxhash64("doc_id", "text").alias("uid"), "text", "carried")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
@@ -362,7 +364,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         return suffix_dedup.deal_windows(batches, buckets)
 
-    names = ["doc_id", "n_bytes", "spans", "kept"]
+    names = ["doc_id", "carried", "n_bytes", "spans", "kept"]
 
     def cut_run(batches):
         from stelae.llm import suffix_dedup
@@ -379,7 +381,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     opened = dealt.join(phrases, "uid").select("key", "uid", "text", "phrases")
     opened = by_document(opened.mapInArrow(window_run, "bucket long, blob binary"), True, "windows")
     joined = dealt.join(phrases, "uid", "left").join(opened, "uid", "left")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return joined.select("doc_id", "text", "phrases", "windows").mapInArrow(
-        cut_run, f"doc_id {kind}, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept binary"
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
+    out = joined.select("doc_id", "carried", "text", "phrases", "windows").mapInArrow(
+        cut_run,
+        f"doc_id {fields['doc_id']}, carried {fields['carried']}, n_bytes long, "
+        "spans array<struct<start:bigint,stop:bigint>>, kept binary",
     )
+    own = [F.col(f"carried.{c}").alias(c) for c in carry]
+    return out.select("doc_id", *own, "n_bytes", "spans", "kept")

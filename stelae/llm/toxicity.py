@@ -23,15 +23,16 @@ import re
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stelae.llm.labelled import constant, training_rows
-from stelae.runtime import ship_package
+from stelae.llm.quality import with_scores
 
-ORDER, DECAY, POWER, LEAST_COMMON = 3, 0.6, 3, 0.6
+ORDER, DECAY, POWER, LEAST_COMMON = 3, 0.6, 3, 0.75
 LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 400_000
 LONGEST, MOST_LETTERS = 16, 32
+#: Words that add less than this to a margin add nothing; bytes that end a sentence.
+FLOOR, _STOPS = 0.02, frozenset(b".!?|")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 _SENTENCE = re.compile(r"[.!?|\n]")
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -73,26 +74,35 @@ class Landmarks:
         self.codes, self.sizes = _codes(words, LONGEST)
         self.own = _self_kernel(self.codes)
         letters = sorted({c for w in words for c in w})
-        self.letter = {ord(c): i + 1 for i, c in enumerate(letters)}
-        self.masks = np.zeros((len(letters) + 1, len(words)), np.uint16)
-        for j, w in enumerate(words):
-            for i, c in enumerate(w):
-                self.masks[self.letter[ord(c)], j] |= np.uint16(1 << i)
-
-    def common(self, codes: np.ndarray) -> np.ndarray:
-        """Longest common subsequences of words and landmarks, by bit vectors."""
-        table = np.zeros(0x110000, np.uint8)
-        table[list(self.letter)] = list(self.letter.values())
-        letters = table[codes]
-        rows = np.full((len(codes), len(self.words)), 0xFFFF, np.uint16)
-        for column in letters.T:
-            active = np.flatnonzero(column)
-            if len(active):
-                v = rows[active]
-                u = v & self.masks[column[active]]
-                rows[active] = (v + u) | (v - u)
+        self.table = np.zeros(0x110000, np.uint8)
+        self.table[[ord(c) for c in letters]] = np.arange(len(letters)) % 63 + 1
+        self.masks = np.zeros((64, len(words)), np.uint16)
+        self.need = np.maximum(ORDER, np.ceil(LEAST_COMMON * self.sizes)).astype(np.int64)
+        held = self.table[self.codes]
+        for i, column in enumerate(held.T):
+            j = np.flatnonzero(column)
+            self.masks[column[j], j] |= np.uint16(1 << i)
+        self.letters = self._sets(held)
+        self.fewest = np.bitwise_count(self.letters) - (self.sizes - self.need)
+
+    @staticmethod
+    def _sets(held: np.ndarray) -> np.ndarray:
+        bits = np.where(held > 0, np.uint64(1) << held.astype(np.uint64), np.uint64(0))
+        return np.bitwise_or.reduce(bits, axis=1)
+
+    def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of words and landmarks with a common subsequence that is long enough
+        (found by bit vectors), among those that share enough letters."""
+        held = self.table[codes]
+        shared = np.bitwise_count(self._sets(held)[:, None] & self.letters[None, :])
+        w, l = np.nonzero(shared >= self.fewest)  # noqa: E741
+        rows = np.full(len(w), 0xFFFF, np.uint16)
+        for column in held.T:
+            u = rows & self.masks[column[w], l]
+            rows = (rows + u) | (rows - u)
         full = ((1 << self.sizes) - 1).astype(np.uint16)
-        return np.bitwise_count(~rows & full)
+        fit_ = np.bitwise_count(~rows & full[l]) >= self.need[l]
+        return w[fit_], l[fit_]
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Sharpened normalised kernel of words (MOST_LETTERS at most) and landmarks."""
@@ -102,8 +112,7 @@ class Landmarks:
             part = by_size[at : at + 4096]
             some = [words[i] for i in part]
             codes, _ = _codes(some, max(1, max(map(len, some))))
-            near = self.common(codes) >= np.maximum(ORDER, np.ceil(LEAST_COMMON * self.sizes))
-            w, l = np.nonzero(near)  # noqa: E741
+            w, l = self.near(codes)  # noqa: E741
             if not len(w):
                 continue
             used, back = np.unique(w, return_inverse=True)
@@ -155,7 +164,7 @@ def choose_landmarks(docs: list[list[list[str]]], y: np.ndarray, count: int = LA
         picked.append(best)
         for i in where.pop(best):
             need[i] = max(0.0, need[i] - 1)
-    common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if w not in odds]
+    common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if w not in odds and len(w) >= 2 * ORDER]
     return picked + common[: count - len(picked)]
 
 
@@ -240,6 +249,7 @@ class Scorer:
         best = np.zeros(len(raws))
         if words:
             np.maximum.at(best, owner, self.marks.kernel(words) @ self.model["weights"])
+        best[best < FLOOR] = 0.0
         self.cache.update(zip(raws, best.tolist(), strict=True))
 
     def margins(self, texts: list[str]) -> np.ndarray:
@@ -262,34 +272,32 @@ class Scorer:
 
     def _best(self, text: str) -> float:
         best = 0.0
-        for part in _SENTENCE.split(text):
-            total = sum(self.cache.get(raw) or self._one(raw) for raw in part.encode("utf-8", "replace").split())
-            total += sum(self._one("".join(s.split()).encode("utf-8", "replace")) for s in _SPELLED.findall(part))
+        for line in text.encode("utf-8", "replace").split(b"\n"):
+            total = 0.0
+            for raw in line.split():
+                total += self.cache[raw]
+                if raw[-1] in _STOPS:
+                    best, total = max(best, total), 0.0
             best = max(best, total)
+        for spelled in _SPELLED.findall(text):
+            best = max(best, self.cache["".join(spelled.split()).encode("utf-8", "replace")])
         return best
 
-    def _one(self, raw: bytes) -> float:
-        if raw not in self.cache:
-            self._learn([raw])
-        return self.cache[raw]
-
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """-> doc_id, score."""
-    ship_package(docs.sparkSession)
-
-    def run(batches):
-        from stelae.llm import quality, toxicity
-
-        scorer = None if "constant" in model else toxicity.Scorer(model)
-        for batch in batches:
-            for ids, raws in quality._slabs(batch):
-                if scorer is None:
-                    p = np.full(len(raws), model["constant"])
-                else:
-                    margin = scorer.margins([r.decode("utf-8", "replace") for r in raws])
-                    p = 1 / (1 + np.exp(-(model["slope"] * margin + model["shift"])))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(p)], names=["doc_id", "score"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    """docs (doc_id, text, ...) -> the same with a column score."""
+
+    def score_texts():
+        from stelae.llm import toxicity
+
+        if "constant" in model:
+            return lambda texts: np.full(len(texts), model["constant"])
+        scorer = toxicity.Scorer(model)
+
+        def of(texts):
+            margin = scorer.margins([t.decode("utf-8", "replace") for t in texts])
+            return 1 / (1 + np.exp(-(model["slope"] * margin + model["shift"])))
+
+        return of
+
+    return with_scores(docs, score_texts)
