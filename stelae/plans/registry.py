@@ -1,19 +1,44 @@
-"""Registered queries of the graph and mapping operators."""
+"""Registered queries of the graph and mapping operators: each has a Spark plan and,
+where SQL can state it, an independent oracle."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stelae.runtime import read_table
+from stelae.plans.model import Tables
 
+_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
+_SQL: dict[str, str] = {}
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "nation")
+
+def query(sql: str | None = None):
+    """Register a function of the tables under its own name."""
+
+    def add(function):
+        _QUERIES[function.__name__] = function
+        if sql:
+            _SQL[function.__name__] = sql
+        return function
+
+    return add
 
 
-def queries() -> dict:
-    return {}
+def _load() -> None:
+    from stelae.plans import graph_queries, mapping_queries, relation_queries, source_queries  # noqa: F401
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
+    return {name: (lambda spark, sf_dir, f=f: f(Tables(spark, sf_dir))) for name, f in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_SQL)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _load()
+    return _QUERIES["cosine_topk"](Tables(spark, sf_dir))
