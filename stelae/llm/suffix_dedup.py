@@ -210,7 +210,8 @@ def settle(bucket: int, blobs: list[bytes], whole: bool) -> pd.DataFrame:
         doc = np.repeat(np.arange(len(counts)), counts)[set_]
         value = (entry[set_] * 4 + own[set_]).astype("<i4")
         which, first = np.unique(doc, return_index=True)
-        for d, a, b in zip(which.tolist(), first.tolist(), [*first[1:].tolist(), len(value)], strict=True):
+        ends = np.append(first[1:], len(value))[: len(first)]
+        for d, a, b in zip(which.tolist(), first.tolist(), ends.tolist(), strict=True):
             rows.append((int(uids[d]), bucket, value[a:b].tobytes()))
     return pd.DataFrame(rows, columns=["uid", "bucket", "marks"])
 
