@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from stelae.plans import graph_queries, mapping_queries, relation_queries, source_queries  # noqa: F401
+    from stelae.plans import graph_queries, mapping_queries, relation_queries, source_queries, standards_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
