@@ -87,12 +87,12 @@ def root_reachability(t: Tables):
     return graph.reach(edges(t), n.where("role = 'root'"))
 
 
-@query(GRAPH_SQL + """, r AS (SELECT stable_id FROM nodes WHERE role = 'root' UNION
+@query(GRAPH_SQL + """, r AS (SELECT stable_id FROM nodes WHERE stable_id = 'region:0' UNION
 SELECT e.to_id FROM r JOIN edges e ON e.from_id = r.stable_id)
 SELECT stable_id, role FROM nodes WHERE stable_id NOT IN (SELECT stable_id FROM r)""")
 def unreached_nodes(t: Tables):
     n = nodes(t)
-    return graph.unreached(n, graph.reach(edges(t), n.where("role = 'root'"))).select("stable_id", "role")
+    return graph.unreached(n, graph.reach(edges(t), n.where("stable_id = 'region:0'"))).select("stable_id", "role")
 
 
 @query(GRAPH_SQL + """SELECT n.role, count(*) AS n_nodes, count(o.to_id) AS n_owned FROM nodes n LEFT JOIN

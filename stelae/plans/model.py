@@ -58,7 +58,7 @@ def edges(t: Tables) -> DataFrame:
         getattr(t, table).select(F.lit(kind).alias("type"), _id(a, a_key).alias("from_id"), _id(b, b_key).alias("to_id"))
         for table, kind, a, a_key, b, b_key in EDGE_TABLES
     ]
-    supplied = t.lineitem.where("l_linenumber = 1").select(
+    supplied = t.lineitem.select(
         F.lit("REFERENCES").alias("type"), _id("supplier", "l_suppkey").alias("from_id"), _id("part", "l_partkey").alias("to_id")
     )
     return reduce(DataFrame.unionByName, [*parts, supplied.distinct()])
@@ -75,5 +75,5 @@ GRAPH_SQL = (
         f"SELECT '{kind}' AS type, '{a}:' || {ak} AS from_id, '{b}:' || {bk} AS to_id FROM {table}"
         for table, kind, a, ak, b, bk in EDGE_TABLES
     )
-    + " UNION ALL SELECT DISTINCT 'REFERENCES', 'supplier:' || l_suppkey, 'part:' || l_partkey FROM lineitem WHERE l_linenumber = 1)"
+    + " UNION ALL SELECT DISTINCT 'REFERENCES', 'supplier:' || l_suppkey, 'part:' || l_partkey FROM lineitem)"
 )

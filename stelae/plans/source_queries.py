@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stelae.functions import scalars as S
+from stelae.operators import bridge
 from stelae.plans.model import GRAPH_SQL, Tables, edges, nodes
 from stelae.plans.registry import query
 from stelae.runtime import new_shared_path
-from stelae.sources import blocks, tables
+from stelae.sources import blocks, stores, tables
 from stelae.streaming import event_log
 
 
@@ -89,3 +91,82 @@ def content_address_conflicts(t: Tables):
 @query("""SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n, round(sum(value), 4) AS usd FROM events GROUP BY ALL""")
 def event_log_stream(t: Tables):
     return event_log.hourly_totals(t.spark, f"{t.sf_dir}/events.parquet", t.events.schema)
+
+
+@query("SELECT event_id, value FROM events WHERE event_type = 'click'")
+def trail_discovery(t: Tables):
+    path = new_shared_path(t.spark, "trails")
+    t.events.select("event_id", "value", "event_type").write.partitionBy("event_type").json(path)
+    found = t.spark.read.schema("event_id bigint, value double, event_type string").json(path)
+    return found.where("event_type = 'click'").select("event_id", "value")
+
+
+@query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS priority FROM orders")
+def json_to_tsv(t: Tables):
+    path = new_shared_path(t.spark, "tsv")
+    priority = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
+    lines = t.orders.select(F.to_json(F.struct("o_orderkey", "o_orderstatus", priority.alias("priority"))).alias("value"))
+    tables.write_tsv(tables.union_of_keys(lines), path)
+    return t.spark.read.csv(path, sep="\t", header=True, schema="o_orderkey bigint, o_orderstatus string, priority string")
+
+
+@query("SELECT p_partkey AS object, p_brand AS label FROM part")
+def partition_file_read(t: Tables):
+    path = new_shared_path(t.spark, "partition")
+    tables.write_tsv(t.part.select(F.col("p_partkey").alias("object"), F.col("p_brand").alias("label")), path)
+    return tables.read_partition(t.spark, path, "object bigint, label string")
+
+
+@query("""SELECT n_regionkey, sha256(string_agg('{"kind":"node","id":"' || n_nationkey || '","name":"' || n_name || '"}', chr(10) ORDER BY n_nationkey) || chr(10)) AS digest FROM nation GROUP BY 1""")
+def block_serialize(t: Tables):
+    line = F.to_json(F.struct(F.lit("node").alias("kind"), F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")))
+    listed = F.array_sort(F.collect_list(F.struct("n_nationkey", line.alias("line"))))
+    text = F.concat(F.array_join(F.transform(listed, lambda x: x["line"]), "\n"), F.lit("\n"))
+    return t.nation.groupBy("n_regionkey").agg(F.sha2(text, 256).alias("digest"))
+
+
+@query("SELECT DISTINCT sha256('m1' || chr(0) || '64' || chr(0) || p_name) AS id, p_name AS text FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_size = 50)")
+def vector_put(t: Tables):
+    address = F.sha2(F.concat_ws("\u0000", F.lit("m1"), F.lit("64"), "p_name"), 256).alias("id")
+    rows = t.part.select(address, F.col("p_name").alias("text"), "p_size")
+    held = rows.where("p_size = 50").select("id", "text").distinct()
+    return blocks.put_once(held, rows.select("id", "text"), "id", "text")[0]
+
+
+@query("SELECT p_partkey, sha256('m1' || chr(0) || '64' || chr(0) || p_name) AS id FROM part")
+def vector_get_verified(t: Tables):
+    path = new_shared_path(t.spark, "vectors")
+    address = S.vector_id(F.lit("m1"), F.lit(64), F.col("p_name"))
+    t.part.select("p_partkey", "p_name", address.alias("id")).write.parquet(path)
+    return stores.verified(t.spark.read.parquet(path), "id", address).select("p_partkey", "id")
+
+
+@query("""WITH s AS (SELECT l_suppkey AS pair, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_returnflag = 'N', l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS seq FROM lineitem)
+SELECT pair, max(seq) AS seq, arg_max(l_orderkey, seq) AS block FROM s GROUP BY 1""")
+def decision_block_latest(t: Tables):
+    rows = t.lineitem.select(F.col("l_suppkey").alias("pair"), "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    empty = rows.limit(0).drop("l_returnflag").withColumn("seq", F.lit(0))
+    store = stores.append_numbered(empty, rows.where("l_returnflag <> 'N'").drop("l_returnflag"), "pair")
+    store = stores.append_numbered(store, rows.where("l_returnflag = 'N'").drop("l_returnflag"), "pair")
+    return bridge.latest(store, "pair", "seq").select("pair", F.col("seq").cast("bigint").alias("seq"), F.col("l_orderkey").alias("block"))
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY ALL")
+def judgment_cache_put(t: Tables):
+    return stores.first_written(t.events, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id", "value")
+
+
+@query("""SELECT c_custkey, c_mktsegment AS segment, CASE WHEN o.n IS NOT NULL THEN -1 ELSE c_nationkey END AS nation, o.n AS orders FROM customer
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
+def save_object_evolution(t: Tables):
+    store = t.customer.select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    new = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.lit(-1).alias("nation"), F.count(F.lit(1)).alias("orders"))
+    new = new.join(t.customer.select("c_custkey"), "c_custkey", "left_semi")
+    return stores.save_objects(store, new, "c_custkey")
+
+
+@query("""SELECT 0::BIGINT AS n, '# mapping_set_id: parts' AS value UNION ALL SELECT 1, '# predicate_id: exact' UNION ALL
+SELECT 2, 'subject_id' || chr(9) || 'object_id' UNION ALL SELECT 3, p_partkey || chr(9) || p_brand FROM part""")
+def sssom_export(t: Tables):
+    rows = t.part.select(F.col("p_partkey").alias("subject_id"), F.lit("exact").alias("predicate_id"), F.col("p_brand").alias("object_id"))
+    return stores.sssom_lines(rows, {"mapping_set_id": "parts"}, ["subject_id", "predicate_id", "object_id"])

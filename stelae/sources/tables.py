@@ -38,3 +38,19 @@ def xml_values(rows: DataFrame, column: str, paths: dict[str, str]) -> DataFrame
 
 def html_title(html) -> F.Column:
     return F.regexp_extract(html, "(?s)<title>(.*?)</title>", 1)
+
+
+def union_of_keys(lines: DataFrame) -> DataFrame:
+    """JSON objects (one a row, in ``value``) as columns: the union of all keys."""
+    maps = lines.select(F.from_json("value", "map<string,string>").alias("m"))
+    keys = sorted(r["k"] for r in maps.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect())  # a header's names
+    return maps.select(*[F.try_element_at("m", F.lit(k)).alias(k) for k in keys])
+
+
+def read_partition(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A two-column TSV with a header. A blank or repeated object fails the read."""
+    rows = spark.read.csv(path, sep="\t", header=True, schema=schema)
+    key = rows.columns[0]
+    checked = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first(rows.columns[1]).alias(rows.columns[1]))
+    bad = F.col(key).isNull() | (F.col("n") > 1)
+    return checked.select(F.when(bad, F.raise_error(F.lit(f"blank or repeated {key}"))).otherwise(F.col(key)).alias(key), rows.columns[1])
