@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -18,21 +19,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's sources to the executors once per application, so that
-    functions that run there import it whatever their working folder is."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    """Send this package's sources to the executors once per application, through the
+    shared folder, so that functions that run there import it from wherever they are."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="stelae-"), "stelae_sources.zip")
-    with zipfile.ZipFile(target, "w") as archive:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
         for folder, _, files in os.walk(root):
-            for name in files:
+            for name in sorted(files):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
+    path = context._jvm.org.apache.hadoop.fs.Path(new_shared_path(spark, "sources") + "/stelae_sources.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    context.addPyFile(path.toString())
+    _SHIPPED.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
