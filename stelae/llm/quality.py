@@ -22,7 +22,7 @@ from stelae.llm.labelled import constant, training_rows
 from stelae.runtime import ship_package
 
 PASSAGE, HIDDEN, GATE, PER_CLASS = 512, 24, 12, 1500
-_SLAB = 2 << 20
+_SLAB = 1 << 20
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:

@@ -37,7 +37,7 @@ from stelae.runtime import ship_package, stored
 
 SPAN, GRAM = 50, 26
 #: Bytes of text that make up a slab; bytes of text per bucket of triggers.
-SLAB, BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 16 << 20, 24
+SLAB, BUCKET_BYTES, LEAST_BUCKETS = 1 << 20, 16 << 20, 24
 DUPLICATE, OPEN = 1, 2
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have inverses
 _POWERS: dict = {}
