@@ -111,3 +111,37 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_workbook_cells_keep_numbers_as_written(spark, tmp_path):
+    import zipfile
+
+    from stelae.sources import standards
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as book:
+        book.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>na</t></si><si><r><t>ri</t></r><r><t>ch</t></r></si></sst>")
+        cells = '<c r="A1" t="s"><v>1</v></c><c r="B1"><v>1.50</v></c><c r="C1"/><c r="D1" t="inlineStr"><is><t>x</t></is></c>'
+        book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData><row>{cells}</row></sheetData></worksheet>")
+    got = {(r.sheet, r.cell, r.text) for r in standards.xlsx_cells(spark, str(tmp_path)).collect()}
+    assert got == {("sheet1", "A1", "rich"), ("sheet1", "B1", "1.50"), ("sheet1", "D1", "x")}
+
+
+def test_gates_count_unknown_as_failure(spark):
+    from stelae.operators import gates, hub
+
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert {(r.k, r.rule) for r in gates.shape_violations(rows, "k", {"is_a": F.col("v") == "a"}).collect()} == {(2, "is_a")}
+    got = gates.gate(rows.where("false"), {"any": F.col("k") > 0}).first()
+    assert (got.passed, got.failures) == (False, 0)
+    cycle = spark.createDataFrame([(1, 2), (2, 1)], "id int, parent int")
+    with pytest.raises(ValueError):
+        hub.chain_depths(cycle, most_rounds=3)
+
+
+def test_partition_file_refuses_repeats(spark, tmp_path):
+    from stelae.sources import tables
+
+    (tmp_path / "p.tsv").write_text("object\tlabel\n1\ta\n1\tb\n")
+    with pytest.raises(Exception, match="blank or repeated"):
+        tables.read_partition(spark, str(tmp_path / "p.tsv"), "object bigint, label string").collect()
