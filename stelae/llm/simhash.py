@@ -7,6 +7,14 @@ differ in at most one bit in one of their halves, so the counts of that half lie
 one grid cell or in cells that touch (one count apart in one segment). Points are
 joined with the touching cells and every candidate is verified exactly.
 
+Near duplicates by similarity: two shingle sets of at least a given Jaccard
+similarity share one of the first shingles of each in any common order (prefix
+filter), so pairs that share none are never looked at and no pair is lost, however
+far its fingerprints lie apart. Shingles that a sample finds in several documents
+come last in the order. First each document meets the least document of each shared
+shingle; then only documents that are still in different components meet. Every
+candidate's similarity is worked out from the whole sets.
+
 Defined results: null text is empty text, with fingerprint zero, linked like any
 other; equal texts and repeated rows share a fingerprint; rows with a null id keep
 their fingerprint and component; an empty table gives no rows; further columns are
@@ -15,6 +23,8 @@ ignored.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,23 +34,31 @@ from stelae.llm.components import connected_components
 from stelae.runtime import ship_package, stored
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
+#: Of near duplicates by similarity: words of a shingle, least Jaccard similarity,
+#: documents of the sample, shingles that it ranks at most, documents from which on.
+WIDE_SHINGLE, SIMILARITY = 5, 0.8
+SAMPLE, MOST_RANKED, LEAST_SEEN = 10_000, 200_000, 3
 _EVEN_BITS = 0x55555555
 
 
-def fingerprint(text: str, width: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash of the lower-cased word shingles of a text."""
+def shingles(text: str, width: int = SHINGLE) -> np.ndarray:
+    """Digests of the lower-cased word shingles of a text, in order."""
     from xxhash import xxh64_intdigest as digest
 
     words = text.encode("utf-8").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= width:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)], np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     spans = zip((ends - sizes)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_535):
         some = hashes[at : at + 65_535]
@@ -50,6 +68,11 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
     return int(np.packbits(over, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str, width: int = SHINGLE) -> int:
+    """Unsigned 64-bit SimHash of the lower-cased word shingles of a text."""
+    return majority(shingles(text, width))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> id, fp (the fingerprint's 64 bits as a long)."""
     ship_package(docs.sparkSession)
@@ -99,18 +122,130 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+def _with_components(own: DataFrame, found: DataFrame, node: str, id_col: str) -> DataFrame:
+    """own (id, fp, node), found (a, b: linked nodes) -> id, fp, component_id."""
+    first = own.groupBy(node).agg(F.min(id_col).alias("first_id"))
+    roots = connected_components(found, "a", "b")
+    named = first.join(roots.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node))
+    named = stored(named, "named")
+    components = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = stored(named.join(components, "root").select(node, "component_id"), "classes")
+    return own.join(classes, node).select(id_col, "fp", "component_id")
+
+
+def within_radius(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """-> id, fp, component_id: the smallest id that links reach, the row's own
     included. Copies count once in the join; every link between fingerprints that
     differ is found."""
     own = stored(fingerprints(docs, id_col, text_col), "fingerprints")
-    first = own.groupBy("fp").agg(F.min(id_col).alias("first_id"))
     found = stored(links(own.select("fp").distinct(), radius), "links")
+    return _with_components(own, found, "fp", id_col)
+
+
+def _order(held: np.ndarray, ranked: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Distinct digests in the common order: unranked ones, then by documents seen."""
+    if not len(ranked):
+        return held
+    at = np.minimum(np.searchsorted(ranked, held), len(ranked) - 1)
+    return held[np.argsort(np.where(ranked[at] == held, seen[at], 0), kind="stable")]
+
+
+def shingle_sets(
+    docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction, ranked: np.ndarray, seen: np.ndarray
+) -> DataFrame:
+    """-> id, fp, node (digest of the set of shingles), n (its size), held (the set),
+    prefix (those of which two similar sets share one)."""
+    ship_package(docs.sparkSession)
+    top, under = least.numerator, least.denominator
+
+    def run(batches):
+        from xxhash import xxh64_intdigest as digest
+
+        from stelae.llm import simhash
+
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                hashes = simhash.shingles(text.as_py() or "", width)
+                held = np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
+                n = len(held)
+                prefix = simhash._order(held, ranked, seen)[: n - -(-n * top // under) + 1]
+                node = np.uint64(digest(held.tobytes(), simhash.SEED))
+                rows.append((simhash.majority(hashes), node, n, held.view(np.int64), prefix.view(np.int64)))
+            fp, node, n, held, prefix = zip(*rows, strict=True) if rows else [()] * 5
+            unsigned = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (held, prefix)]
+            arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), *lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "held", "prefix"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, fp long, node long, n long, held array<long>, prefix array<long>"
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def _often_seen(docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction):
+    """Shingles of several documents of a sample, ascending, and of how many."""
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    step = max(1, docs.count() // SAMPLE)
+    some = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(step)) == 0)
+    held = shingle_sets(some, id_col, text_col, width, least, *none).select(F.explode("held").alias("shingle"))
+    counts = held.groupBy("shingle").count().where(F.col("count") >= LEAST_SEEN)
+    got = counts.orderBy(F.desc("count"), "shingle").limit(MOST_RANKED).toArrow()
+    ranked, seen = got["shingle"].to_numpy().view(np.uint64), got["count"].to_numpy()
+    by = np.argsort(ranked)
+    return ranked[by], seen[by]
+
+
+def similar_sets(own: DataFrame, least: Fraction) -> DataFrame:
+    """own (row, node, n, held, prefix; nodes may repeat) -> a, b: pairs of nodes of at
+    least this similarity, enough of them that every such pair is connected."""
+    top, under = least.numerator, least.denominator
+    ones = stored(own.groupBy("node").agg(F.min("row").alias("row")).select("row"), "ones")
+    sets = own.join(ones, "row").select("node", "n", "held", "prefix")
+    tokens = sets.select("node", "n", F.explode("prefix").alias("token"))
+    groups = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("hub"))
+    groups = groups.where("size > 1").select("token", "hub")
+    tokens = stored(tokens.join(groups, "token"), "shared_tokens")
+    sized = (F.col("na") * under >= F.col("nb") * top) & (F.col("nb") * under >= F.col("na") * top)
+
+    def enough(common: Column) -> Column:  # common shingles for the similarity
+        return common * (top + under) >= (F.col("na") + F.col("nb")) * top
+
+    def similar(meetings: DataFrame) -> DataFrame:
+        """meetings (a, na, b, nb; one row for each common prefix shingle). Common
+        shingles beyond both prefixes are at most what one of the sets has there."""
+        beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
+        pairs = meetings.where(sized).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("met"))
+        pairs = stored(pairs.where(enough(F.col("met") + beyond)).drop("met"), "pairs")
+        for x in "ab":
+            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("held").alias(f"held_{x}")), x)
+        common = F.size(F.array_intersect("held_a", "held_b"))
+        return stored(pairs.where(enough(common)).select("a", "b"), "similar")
+
+    stars = tokens.where("node <> hub.node")
+    hub = [F.col("hub.node").alias("a"), F.col("hub.n").alias("na")]
+    found = similar(stars.select(*hub, F.col("node").alias("b"), F.col("n").alias("nb")))
     roots = connected_components(found, "a", "b")
-    named = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    named = stored(named, "named")
-    components = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = stored(named.join(components, "root").select("fp", "component_id"), "classes")
-    return own.join(classes, "fp").select(id_col, "fp", "component_id")
+    rest = tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = stored(rest, "rest")
+    mixed = rest.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    rest = stored(rest.join(mixed.select("token"), "token"), "mixed")
+    a = rest.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("root_a"))
+    b = rest.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"))
+    return found.unionByName(similar(a.join(b, "token").where("root_a < root_b")))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDE_SHINGLE, similarity: float = SIMILARITY
+) -> DataFrame:
+    """-> id, fp, component_id: the smallest id that links reach, the row's own
+    included. Rows are linked whose sets of word shingles have at least this Jaccard
+    similarity; copies count once."""
+    least = Fraction(str(similarity))
+    if not 0 < least <= 1:
+        raise ValueError("the similarity must lie above 0, and at 1 or below")
+    often = _often_seen(docs, id_col, text_col, width, least)
+    own = shingle_sets(docs, id_col, text_col, width, least, *often).withColumn("row", F.monotonically_increasing_id())
+    own = stored(own, "shingle_sets")
+    found = stored(similar_sets(own.select("row", "node", "n", "held", "prefix"), least), "links")
+    return _with_components(own.select(id_col, "fp", "node"), found, "node", id_col)

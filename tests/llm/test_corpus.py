@@ -93,6 +93,31 @@ def test_simhash_odd_rows(spark, odd):
     assert simhash.near_duplicates(odd.where("false")).count() == 0
 
 
+def test_similar_texts_far_apart_in_bits(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    common, rows = " ".join(word() for _ in range(30)), {}
+    for i in range(25):
+        words = [word() for _ in range(150)]
+        for j in range(4):
+            edited = list(words)
+            for _ in range(2 * j):
+                edited[draw.randrange(len(edited))] = word()
+            rows[100 * i + j] = " ".join(edited)
+        rows[100 * i + 50] = f"{common} {' '.join(word() for _ in range(draw.randint(1, 60)))}"
+    sets = {k: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in rows.items())}
+    root, far = {k: k for k in rows}, 0
+    for a in rows:
+        for b in rows:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                far += bin(simhash.fingerprint(rows[a]) ^ simhash.fingerprint(rows[b])).count("1") > 3
+                x, y = sorted((root[a], root[b]))
+                root = {k: x if r == y else r for k, r in root.items()}
+    assert far > 20
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == root
+
+
 # --- Packing
 
 
