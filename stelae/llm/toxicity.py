@@ -9,7 +9,8 @@ learns from labelled sentences: in each document the one that scores highest sta
 for it. Runs of single letters are read as one word too.
 
 A word whose longest common subsequence with a landmark is short has a negligible
-kernel with it, which is taken as zero. Scores of words are cached.
+kernel with it, which is taken as zero. Signed values of words are cached; a text's
+margin is the highest sum over a sentence, as in training.
 
 Defined results: null or empty text has no words and takes the score of none; texts
 of any length are read whole (words over 32 letters in overlapping stretches);
@@ -31,8 +32,8 @@ from stelae.llm.quality import with_scores
 ORDER, DECAY, POWER, LEAST_COMMON = 3, 0.6, 3, 0.75
 LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 400_000
 LONGEST, MOST_LETTERS = 16, 32
-#: Words that add less than this to a margin add nothing; bytes that end a sentence.
-FLOOR, _STOPS = 0.02, frozenset(b".!?|")
+#: What ends a sentence, besides the end of a line.
+_STOPS = ".!?|"
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 _SENTENCE = re.compile(r"[.!?|\n]")
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -237,52 +238,57 @@ class Scorer:
     def __init__(self, model: dict):
         self.model = model
         self.marks = Landmarks(model["landmarks"])
-        self.cache: dict[bytes, float] = {}
+        self.cache: dict[str, float] = {}
 
-    def _learn(self, raws: list[bytes]) -> None:
-        words, owner = [], []
+    def _learn(self, raws: list[str]) -> None:
+        """Signed values of words as they stand between white space: zero only where
+        no landmark is near."""
+        pieces, owner = [], []
         for i, raw in enumerate(raws):
-            word = raw.decode("utf-8", "replace").strip(_EDGES)
-            for piece in {s for w in _SENTENCE.split(word) for s in stretches(w.strip(_EDGES)) if s} | (set(stretches(word)) if word else set()):
-                words.append(piece)
-                owner.append(i)
-        best = np.zeros(len(raws))
-        if words:
-            np.maximum.at(best, owner, self.marks.kernel(words) @ self.model["weights"])
-        best[best < FLOOR] = 0.0
-        self.cache.update(zip(raws, best.tolist(), strict=True))
+            if word := raw.strip(_EDGES):
+                own = stretches(word)
+                pieces += own
+                owner += [i] * len(own)
+        value, live = np.zeros(len(raws)), np.zeros(len(raws), bool)
+        if pieces:
+            kernel = self.marks.kernel(pieces)
+            np.add.at(value, owner, kernel @ self.model["weights"])
+            np.logical_or.at(live, owner, kernel.any(1))
+        value[live & (value == 0)] = np.finfo(float).tiny
+        self.cache.update(zip(raws, value.tolist(), strict=True))
 
     def margins(self, texts: list[str]) -> np.ndarray:
-        """The highest sentence margin of each text."""
+        """The highest sentence margin of each text, over sentences near a landmark."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        lowered = [t.lower() for t in texts]
-        tokens = [t.encode("utf-8", "replace").split() for t in lowered]
-        spelled = {i: found for i, t in enumerate(lowered) if (found := _SPELLED.findall(t))}
-        extra = {"".join(s.split()).encode("utf-8", "replace") for found in spelled.values() for s in found}
-        missing = extra.union(*tokens).difference(self.cache)
+        cut = []
+        for text in texts:
+            text = text.lower()
+            for stop in _STOPS:
+                text = text.replace(stop, "\n")
+            cut.append([(part, part.split()) for part in text.split("\n")])
+        spelled = {}
+        for i, parts in enumerate(cut):
+            for j, (part, words) in enumerate(parts):
+                # A run of spelled letters takes four single characters at least.
+                if len(words) > 3 and (found := _SPELLED.findall(part)):
+                    spelled[i, j] = ["".join(run.split()) for run in found]
+        missing = set().union(*(words for parts in cut for _, words in parts), *spelled.values())
+        missing = missing.difference(self.cache)
         if missing:
             self._learn(sorted(missing))
         get, out = self.cache.__getitem__, np.zeros(len(texts))
-        for i, own in enumerate(tokens):
-            values = list(map(get, own))
-            if i in spelled or any(values):
-                out[i] = self._best(lowered[i])
+        for i, parts in enumerate(cut):
+            best = None
+            for j, (_, words) in enumerate(parts):
+                values = list(map(get, words))
+                if (i, j) in spelled:
+                    values += map(get, spelled[i, j])
+                if any(values) and (best is None or sum(values) > best):
+                    best = sum(values)
+            out[i] = best or 0.0
         return out + self.model["bias"]
 
-    def _best(self, text: str) -> float:
-        best = 0.0
-        for line in text.encode("utf-8", "replace").split(b"\n"):
-            total = 0.0
-            for raw in line.split():
-                total += self.cache[raw]
-                if raw[-1] in _STOPS:
-                    best, total = max(best, total), 0.0
-            best = max(best, total)
-        for spelled in _SPELLED.findall(text):
-            best = max(best, self.cache["".join(spelled.split()).encode("utf-8", "replace")])
-        return best
-
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """docs (doc_id, text, ...) -> the same with a column score."""

@@ -273,6 +273,30 @@ def test_toxicity_reads_spelled_words():
     assert (p[:2] > 0.5).all() and p[2] > p[3] and (p[3:] < 0.5).all()
 
 
+def test_margins_are_the_trained_machines():
+    draw = random.Random(6)
+    plain = ["quiet gardens", "window painting", "mountain weather", "evening concert", "library visitors"]
+    line = lambda: " ".join(draw.choices(plain, k=4)) + draw.choice(". |? |! |\n".split("|"))
+    clean = ["".join(line() for _ in range(draw.randint(1, 5))) for _ in range(60)]
+    rude = ["".join(line() for _ in range(3)) + f"such {w} people, the {w}" for w in ("idiot", "morons") for _ in range(20)]
+    y = np.array([0] * len(clean) + [1] * len(rude))
+    model = toxicity.fit(clean + rude, y, np.ones(len(y)))
+    tests = [*clean[:10], *rude[::4], "idiot " + "quiet mountain weather " * 9, "i d i o t in quiet gardens.x", "ab cd", "", "window" * 12]
+    marks = toxicity.Landmarks(model["landmarks"])
+    kernels = [[k.sum(0) for s in toxicity.sentences(t) if (k := marks.kernel(s)).any()] for t in tests]
+    want = [max((k @ model["weights"] for k in found), default=0.0) + model["bias"] for found in kernels]
+    assert min(want) < model["bias"]
+    assert toxicity.Scorer(model).margins(tests) == pytest.approx(want, abs=1e-4)
+
+
+def test_toxicity_above_a_higher_bar(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = queries.op5_toxicity(spark, folder).toPandas()
+    own = rows.merge(pq.read_table(f"{folder}/labels.parquet").to_pandas(), on="doc_id")
+    own = own[own.held_out]
+    assert _auc(own.score.to_numpy(), own.toxic.to_numpy()) >= 0.75
+
+
 def test_subsequence_kernel_by_hand():
     codes, _ = toxicity._codes(["cat", "car", "cart"], 4)
     d = toxicity.DECAY
