@@ -1,11 +1,12 @@
 """Best-fit packing of tokenised documents, certified by lower bounds.
 
 Documents are cut into pieces of at most ``limit`` tokens and dealt to partitions
-of a bounded number of pieces. Each partition packs by best-fit decreasing and
-compares its bin count with the largest of a family of dual-feasible-function
-bounds. Bins with the most room (of certified partitions only the emptiest) go on to
-the next round, where the bins of ``FAN_IN`` partitions meet and are packed again
-(the earlier bins stay if that isn't better), until one partition is left.
+of a bounded number of pieces. Each partition packs by best-fit decreasing. While the
+bins are more than the largest of a family of dual-feasible-function bounds over the
+whole corpus, every bin with room left goes on to the next round: bins are dealt anew
+to partitions of as many pieces, in turn by chance and by fill, and packed again (the
+earlier bins stay if that isn't better). This ends when one partition is left, or when
+neither way of dealing lessens the bins.
 
 Defined results: null text is empty text (only the end id); repeated rows are packed
 as often as they occur; an empty table gives no rows; further columns are ignored.
@@ -24,9 +25,8 @@ from pyspark.sql import functions as F
 
 from stelae.runtime import ship_package, stored
 
-#: Pieces per partition in the first round; partitions whose open bins meet later;
-#: the most bins that one partition hands on.
-PIECES_PER_PARTITION, FAN_IN, MOST_OPEN = 1500, 8, 3
+#: Pieces per partition in each round; the last turn that sequence ids have bits for.
+PIECES_PER_PARTITION, LAST_TURN = 1500, 63
 CACHE_WORDS = 300_000
 
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,./:;=?@^_{}~-]*)")
@@ -119,12 +119,16 @@ def token_pieces(
 
 
 def lower_bound(lengths: np.ndarray, limit: int) -> int:
-    """The largest of these bounds on the bins: total length; for each threshold,
+    """Of lengths, one for each piece; see ``histogram_bound``."""
+    return histogram_bound(*np.unique(np.asarray(lengths, np.int64), return_counts=True), limit)
+
+
+def histogram_bound(sizes: np.ndarray, counts: np.ndarray, limit: int) -> int:
+    """sizes: distinct lengths, ascending; counts: of pieces of each. The largest of these bounds on the bins: total length; for each threshold,
     pieces above limit - threshold count whole and pieces below it not at all; and
     the stair functions u(k) for k up to 20. All are dual feasible."""
-    if not len(lengths):
+    if not len(sizes):
         return 0
-    sizes, counts = np.unique(np.asarray(lengths, np.int64), return_counts=True)
     up = lambda total, scale: int(-(-total // scale))
     best = up(int((sizes * counts).sum()), limit)
     tail_sum = np.concatenate([np.cumsum((sizes * counts)[::-1])[::-1], [0]])
@@ -170,7 +174,7 @@ def best_fit_decreasing(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np
     return bins, offsets, np.array(fill, np.int64)
 
 
-def _pack_partition(rows: pd.DataFrame, limit: int, last: bool) -> pd.DataFrame:
+def _pack_partition(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
     rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
     lengths = rows["length"].to_numpy(np.int64)
     bins, offsets, fill = best_fit_decreasing(lengths, limit)
@@ -179,55 +183,76 @@ def _pack_partition(rows: pd.DataFrame, limit: int, last: bool) -> pd.DataFrame:
         if len(earlier) <= len(fill):
             bins, offsets = old.ravel(), rows["offset"].to_numpy(np.int64)
             fill = np.bincount(bins, lengths).astype(np.int64)
-    bound = lower_bound(lengths, limit)
-    gap = len(fill) - bound
-    opened = np.zeros(len(fill), bool)
-    if not last:
-        emptiest = np.argsort(fill, kind="stable")[: min(MOST_OPEN, 1 + gap)]
-        opened[emptiest[fill[emptiest] < limit]] = True
     rows["from_part"] = rows["part"]
-    rows["bin"], rows["offset"], rows["opened"], rows["certified"] = bins, offsets, opened[bins], gap == 0
+    rows["bin"], rows["offset"], rows["fill"] = bins, offsets, fill[bins]
+    rows["certified"] = len(fill) == lower_bound(lengths, limit)
     return rows
 
 
-def _packer(limit: int, last: bool):
+def _packer(limit: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         from stelae.llm import packing
 
-        return packing._pack_partition(group, limit, last)
+        return packing._pack_partition(group, limit)
 
     return run
 
 
+def _dealt(opened: DataFrame, pieces_of: dict[int, int], turn: int) -> DataFrame:
+    """Bins with room, whole, to partitions of about PIECES_PER_PARTITION pieces: in odd
+    turns by chance, in even ones so that bins of like fill (the emptiest first) meet.
+    pieces_of: how many pieces the bins of each fill hold."""
+    total = sum(pieces_of.values())
+    parts = -(-total // PIECES_PER_PARTITION)
+    chance = F.xxhash64(F.lit(turn), "from_part", "bin")
+    if turn % 2:
+        return opened.withColumn("part", F.pmod(chance, F.lit(parts)))
+    fills = sorted(pieces_of)
+    ends = np.cumsum([pieces_of[f] for f in fills]).tolist()
+    spans = [(f, e - pieces_of[f], pieces_of[f]) for f, e in zip(fills, ends, strict=True)]
+    spans = opened.sparkSession.createDataFrame(spans, "fill long, begin long, pieces long")
+    place = F.col("begin") + F.floor(F.pmod(chance, F.lit(1 << 20)) / (1 << 20) * F.col("pieces"))
+    part = F.least(F.floor(place * parts / total), F.lit(parts - 1)).cast("long")
+    return opened.join(F.broadcast(spans), "fill").withColumn("part", part).select(*opened.columns)
+
+
 def pack(pieces: DataFrame, limit: int = 4096) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32) -> the same with sequence_id,
-    offset and certified (its partition met its lower bound)."""
+    offset and certified (its partition, or the whole corpus, met its lower bound)."""
     ship_package(pieces.sparkSession)
     pieces = stored(pieces, "pieces")
-    parts = max(1, -(-pieces.count() // PIECES_PER_PARTITION))
+    sizes = sorted((r["length"], r["count"]) for r in pieces.groupBy("length").count().collect())
+    bound = histogram_bound(*np.array(sizes, np.int64).reshape(-1, 2).T, limit)
+    parts = max(1, -(-sum(n for _, n in sizes) // PIECES_PER_PARTITION))
     rows = pieces.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"),
         F.lit(-1).cast("long").alias("from_part"),
         F.lit(-1).cast("long").alias("bin"),
         F.lit(0).cast("long").alias("offset"),
-        F.lit(False).alias("opened"),
+        F.lit(0).cast("long").alias("fill"),
         F.lit(False).alias("certified"),
     )
-    schema, settled, turn = rows.schema, [], 0
+    schema, settled, turn, full, fewest, idle = rows.schema, [], 0, 0, None, 0
     while True:
-        last = parts == 1
-
-        packed = rows.groupBy("part").applyInPandas(_packer(limit, last), schema)
-        if not last:
-            packed = stored(packed, "packed")
-        number = F.shiftleft(F.lit(turn).cast("long"), 58) + F.shiftleft(F.col("part"), 24) + F.col("bin")
-        settled.append(packed.filter(~F.col("opened")).withColumn("sequence_id", number))
-        if last:
+        packed = stored(rows.groupBy("part").applyInPandas(_packer(limit), schema), "packed")
+        number = F.shiftleft(F.lit(turn).cast("long"), 57) + F.shiftleft(F.col("part"), 24) + F.col("bin")
+        packed = packed.withColumn("sequence_id", number)
+        bins = packed.groupBy("fill").agg(F.count_if(F.col("offset") == 0).alias("bins"), F.count(F.lit(1)).alias("pieces"))
+        bins = {r["fill"]: (r["bins"], r["pieces"]) for r in bins.collect()}
+        count = full + sum(n for n, _ in bins.values())
+        idle = idle + 1 if fewest is not None and count >= fewest else 0
+        fewest = count
+        pieces_of = {f: n for f, (_, n) in bins.items() if f < limit}
+        if count <= bound or parts == 1 or idle == 2 or turn == LAST_TURN or not pieces_of:
+            settled.append(packed)
             break
-        parts, turn = -(-parts // FAN_IN), turn + 1
-        rows = packed.filter("opened").withColumn("part", F.pmod("part", F.lit(parts)))
+        full += bins.get(limit, (0, 0))[0]
+        settled.append(packed.filter(F.col("fill") == limit))
+        turn, parts = turn + 1, -(-sum(pieces_of.values()) // PIECES_PER_PARTITION)
+        rows = _dealt(packed.filter(F.col("fill") < limit), pieces_of, turn).select(*schema.names)
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
+    out = out.withColumn("certified", F.col("certified") | F.lit(count <= bound))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")

@@ -160,6 +160,16 @@ def test_lower_bound_holds_and_bites():
         assert (np.bincount(bins, sizes) == fill).all()
 
 
+def test_packing_fills_the_room_of_all_partitions(spark):
+    rows = [(i, 0, 0, 2500 if i % 2 else 1596, i) for i in range(12_000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(pieces).toPandas()
+    assert sorted(got.doc_id) == list(range(12_000)) and (got.groupby("sequence_id").length.sum() <= 4096).all()
+    for _, own in got.sort_values(["sequence_id", "offset"]).groupby("sequence_id"):
+        assert (own.offset.to_numpy() == np.r_[0, np.cumsum(own.length)[:-1]]).all()
+    assert got.sequence_id.nunique() == 6000 and got.certified.all()
+
+
 def test_packing_odd_rows(spark, odd):
     path = P.path("word_bpe_49k.json")
     rows = packing.pack(packing.token_pieces(odd, path)).toPandas()
