@@ -291,7 +291,7 @@ def deal_windows(batches, buckets: int):
             yield _blob_batch(deal(doc, keys, uids, one, two, buckets))
 
 
-def cut(batches, buckets: int, names: list[str]):
+def cut(batches, buckets: int, names: list[str], whole_characters: bool = False):
     for batch in batches:
         for rows, texts in _slabs(batch):
             get = lambda c: rows.column(rows.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
@@ -308,7 +308,8 @@ def cut(batches, buckets: int, names: list[str]):
                     lo = np.concatenate([begin, repeated[1][sure[j] : sure[j + 1]]])
                     hi = np.concatenate([begin + SPAN, repeated[2][sure[j] : sure[j + 1]]])
                     spans[i] = merged(lo, hi)
-            kept = [_without(t, s) for t, s in zip(texts, spans, strict=True)]
+            drop = [_whole_characters(t, s) for t, s in zip(texts, spans, strict=True)] if whole_characters else spans
+            kept = [_without(t, s) for t, s in zip(texts, drop, strict=True)]
             arrays = [
                 *[rows.column(rows.schema.get_field_index(c)) for c in names[:-3]],
                 pa.array([len(t) for t in texts], pa.int64()),
@@ -331,6 +332,26 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(lo[first].tolist(), reach[last].tolist(), strict=True))
 
 
+def _whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans with the other bytes of UTF-8 characters that they cut through."""
+
+    def start(at: int) -> int:  # of the character that holds this place
+        lead = at
+        while lead > max(0, at - 3) and text[lead] & 0xC0 == 0x80:
+            lead -= 1
+        return lead
+
+    def stop(at: int) -> int:
+        lead, first = start(at), text[start(at)]
+        size = 4 if first >= 0xF0 else 3 if first >= 0xE0 else 2 if first >= 0xC0 else 1
+        inside = text[lead + 1 : lead + size]
+        size = 1 + next((i for i, b in enumerate(inside) if b & 0xC0 != 0x80), len(inside))
+        return max(at + 1, lead + size)
+
+    wide = [(start(a) if stop(start(a)) > a else a, stop(b - 1)) for a, b in spans]
+    return merged(*np.array(wide, np.int64).T) if wide else []
+
+
 def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     if not spans:
         return text
@@ -341,9 +362,10 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, the columns to carry, n_bytes, spans (removed
-    byte ranges), kept (the other bytes)."""
+    byte ranges), kept (the other bytes, or with ``whole_characters`` those of them
+    that don't belong to a character with removed bytes)."""
     ship_package(docs.sparkSession)
     rows = docs.select(
         "doc_id",
@@ -370,7 +392,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     def cut_run(batches):
         from stelae.llm import suffix_dedup
 
-        return suffix_dedup.cut(batches, buckets, names)
+        return suffix_dedup.cut(batches, buckets, names, whole_characters)
 
     def by_document(blobs: DataFrame, whole: bool, name: str) -> DataFrame:
         marks = blobs.groupBy("bucket").applyInPandas(_settler(whole), "uid long, bucket long, marks binary")

@@ -42,3 +42,23 @@ def test_rows_that_repeat_an_id(spark, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(str(r.doc_id) for r in pipeline.one_of_each_group(spark, docs, small).collect()) == ["1", "2", "None"]
     assert pipeline.cut_repeats(spark, docs, small).count() == 4
+
+
+def test_cuts_leave_whole_characters_and_those_of_the_source(spark, small):
+    import corpus_pipeline as pipeline
+    from stelae.llm import suffix_dedup
+
+    passage = "ein Absatz, der in zwei Dokumenten steht und lang genug ist, um zu gehen"
+    rows = [(1, f"\u00e9{passage}\u00e9"), (2, f"a\ufffdb \u00e8{passage}\u00f1 c\ufffd\U0001f600"), (3, f"{passage}\ufffd"), (4, "x\ufffd")]
+    docs = spark.createDataFrame([(k, t, "de", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in pipeline.cut_repeats(spark, docs, small).collect()}
+    # In 2 the repeat ends with the first byte of its last accent, which goes whole.
+    want = {1: rows[0][1], 2: "a\ufffdb \u00e8 c\ufffd\U0001f600", 3: "\ufffd", 4: "x\ufffd"}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+    text = "a\u00e9\u4f60\U0001f600b\ufffd".encode()
+    for a in range(len(text)):
+        for b in range(a + 1, len(text) + 1):
+            held = [c.encode() for c in text.decode()]
+            ends = [sum(map(len, held[: i + 1])) for i in range(len(held))]
+            whole = b"".join(h for h, e in zip(held, ends, strict=True) if e <= a or e - len(h) >= b)
+            assert suffix_dedup._without(text, suffix_dedup._whole_characters(text, [(a, b)])) == whole
