@@ -54,14 +54,18 @@ def statement_diff(source: DataFrame, graph: DataFrame, omitted: DataFrame) -> D
 
 
 def table_fingerprint(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows, distinct rows and an order-free digest: counts by the first hex digit of
-    the row hash and the XOR and least of the hashes, hashed. Grows with no group."""
+    """Rows, distinct rows and an order-free digest of every row hash: for each leading
+    byte of the hashes, rows, distinct rows, least and greatest hash and, where there
+    are more than two rows, the sums of the hashes' eight 32-bit parts (up to 2^31 rows
+    a byte). Two rows are told by least and greatest alone. Grows with no group."""
     digest = record_hash([F.col(c) for c in columns])
     hashed = rows.select(digest.alias("h"))
+    parts = [F.sum(F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("long")).cast("string") for i in range(8)]
     by = hashed.groupBy(F.substring("h", 1, 2).alias("lead")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("h").alias("d"), F.min("h").alias("low"), F.max("h").alias("high")
+        F.count(F.lit(1)).alias("n"), F.countDistinct("h").alias("d"), F.min("h").alias("low"), F.max("h").alias("high"),
+        F.concat_ws(":", *parts).alias("sums"),
     )
-    part = F.concat_ws(":", "lead", F.col("n").cast("string"), F.col("d").cast("string"), "low", "high")
+    part = F.concat_ws(":", "lead", F.col("n").cast("string"), F.col("d").cast("string"), "low", "high", F.when(F.col("n") > 2, F.col("sums")))
     return by.agg(
         F.sum("n").alias("n_rows"),
         F.sum("d").alias("n_distinct"),

@@ -186,6 +186,17 @@ def table_fingerprint(t: Tables):
     return compare.table_fingerprint(t.nation, ["n_nationkey", "n_name"])
 
 
+@query("""WITH h AS (SELECT sha256(concat_ws(chr(31), l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_partkey::VARCHAR, l_returnflag)) AS h FROM lineitem),
+p AS (SELECT h, '0x' || substr(h, 1, 8) AS a, '0x' || substr(h, 9, 8) AS b, '0x' || substr(h, 17, 8) AS c, '0x' || substr(h, 25, 8) AS d,
+'0x' || substr(h, 33, 8) AS e, '0x' || substr(h, 41, 8) AS f, '0x' || substr(h, 49, 8) AS g, '0x' || substr(h, 57, 8) AS i FROM h),
+b AS (SELECT substr(h, 1, 2) AS lead, count(*) AS n, count(DISTINCT h) AS d, min(h) AS low, max(h) AS high,
+concat_ws(':', sum(a::BIGINT), sum(b::BIGINT), sum(c::BIGINT), sum(d::BIGINT), sum(e::BIGINT), sum(f::BIGINT), sum(g::BIGINT), sum(i::BIGINT)) AS sums FROM p GROUP BY 1)
+SELECT sum(n)::BIGINT AS n_rows, sum(d)::BIGINT AS n_distinct,
+sha256(string_agg(concat_ws(':', lead, n::VARCHAR, d::VARCHAR, low, high, CASE WHEN n > 2 THEN sums END), chr(10) ORDER BY lead)) AS fingerprint FROM b""")
+def table_fingerprint_lines(t: Tables):
+    return compare.table_fingerprint(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"])
+
+
 @query("""WITH s AS (SELECT o_orderstatus AS "set", o_orderpriority AS p FROM orders WHERE o_totalprice > 300000 GROUP BY ALL),
 c AS (SELECT "set" AS k, count(*) AS n FROM s GROUP BY 1)
 SELECT s."set", m.o_custkey AS customer FROM s JOIN (SELECT DISTINCT o_custkey, o_orderpriority AS p FROM orders) m ON m.p = s.p

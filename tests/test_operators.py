@@ -145,3 +145,19 @@ def test_partition_file_refuses_repeats(spark, tmp_path):
     (tmp_path / "p.tsv").write_text("object\tlabel\n1\ta\n1\tb\n")
     with pytest.raises(Exception, match="blank or repeated"):
         tables.read_partition(spark, str(tmp_path / "p.tsv"), "object bigint, label string").collect()
+
+
+def test_fingerprint_tells_every_changed_row(spark):
+    import hashlib
+
+    from stelae.operators import compare
+
+    print_of = lambda keys: compare.table_fingerprint(spark.createDataFrame([(k,) for k in keys], "k string"), ["k"]).first()
+    lead = {}
+    for i in range(3000):
+        lead.setdefault(hashlib.sha256(str(i).encode()).hexdigest()[:2], []).append(str(i))
+    keys = sorted(lead["7f"], key=lambda k: hashlib.sha256(k.encode()).hexdigest())
+    assert len(keys) > 4
+    a, b = print_of([keys[0], keys[1], keys[-1]]), print_of([keys[0], keys[2], keys[-1]])
+    assert (a.n_rows, a.n_distinct) == (b.n_rows, b.n_distinct) == (3, 3) and a.fingerprint != b.fingerprint
+    assert print_of([keys[-1], keys[1], keys[0]]).fingerprint == a.fingerprint
