@@ -38,6 +38,7 @@ SEED, SHINGLE, RADIUS = 42, 3, 3
 #: documents of the sample, shingles that it ranks at most, documents from which on.
 WIDE_SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, MOST_RANKED, LEAST_SEEN = 10_000, 200_000, 3
+BLOCK_ROWS = 512  # whose shingle sets are held at once
 _EVEN_BITS = 0x55555555
 
 
@@ -163,7 +164,7 @@ def shingle_sets(
 
         from stelae.llm import simhash
 
-        for batch in batches:
+        for batch in (b.slice(at, BLOCK_ROWS) for b in batches for at in range(0, b.num_rows, BLOCK_ROWS)):
             rows = []
             for text in batch.column(1):
                 hashes = simhash.shingles(text.as_py() or "", width)
@@ -172,7 +173,7 @@ def shingle_sets(
                 prefix = simhash._order(held, ranked, seen)[: n - -(-n * top // under) + 1]
                 node = np.uint64(digest(held.tobytes(), simhash.SEED))
                 rows.append((simhash.majority(hashes), node, n, held.view(np.int64), prefix.view(np.int64)))
-            fp, node, n, held, prefix = zip(*rows, strict=True) if rows else [()] * 5
+            fp, node, n, held, prefix = zip(*rows, strict=True)
             unsigned = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (held, prefix)]
             arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), *lists]

@@ -32,6 +32,8 @@ from stelae.llm.quality import with_scores
 ORDER, DECAY, POWER, LEAST_COMMON = 3, 0.6, 3, 0.75
 LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 400_000
 LONGEST, MOST_LETTERS = 16, 32
+#: Characters of text whose words are held at once.
+BLOCK_CHARS = 1 << 20
 #: What ends a sentence, besides the end of a line.
 _STOPS = ".!?|"
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
@@ -259,6 +261,11 @@ class Scorer:
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """The highest sentence margin of each text, over sentences near a landmark."""
+        ends = np.cumsum([len(t) for t in texts]) // BLOCK_CHARS
+        edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+        return np.concatenate([self._margins(texts[a:b]) for a, b in zip(edges, edges[1:], strict=False)])
+
+    def _margins(self, texts: list[str]) -> np.ndarray:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         cut = []
