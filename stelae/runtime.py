@@ -41,12 +41,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of
-    our own where the session names none (local mode, tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in local
+    mode only (tests), one of our own where the session names none."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not conf:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -60,5 +63,5 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """Write df as a table of the shared folder and go on from its files: lineage is
     cut, every executor can read them, and later joins are free to deal rows anew."""
     path = new_shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
