@@ -3,24 +3,31 @@
 Parse: a rolling hash of ``GRAM`` bytes runs over each document; the place of the
 least hash among the grams of every ``span``-byte window is a trigger, so that each
 window holds one, found from the window's bytes alone. Triggers cut the text into
-overlapping phrases: a trigger with all the bytes of the windows that it stands for.
-
-Order: the phrases of all documents are dealt by their trigger's hash and sorted, so
-that equal phrases (the dictionary) lie together with their least document. A phrase
-that a smaller document has as well is repeated whole. Where one trigger has phrases
-that differ, as at the ends of a repeated passage, their suffixes of ``span`` bytes
-are dealt and sorted in the same way, which settles each of their windows. A window
-is in the corpus order's run of equal suffixes if and only if trigger, phrase suffix
-and what follows agree, which is what the two sorts compare.
-
-Sorting works on hashes of the strings (48 bits and more of the trigger with 48 bits
-of the phrase, both over the whole corpus); before dealing, each slab of documents
-drops phrases that a smaller document of the slab has too, so a hot passage reaches a
-task once per slab, not once per document.
-
-Defined results: null text is empty; texts shorter than ``span`` lose nothing; rows
-with one id never remove each other's bytes; a null id is larger than any other; an
-empty table gives no rows; further columns are ignored.
+phrases: a head that ends with its trigger, and the bytes that the parse goes on with
+(so many that each window lies in one phrase).
+
+Dictionary: each phrase goes, as hashes of its trigger and of itself, to the bucket
+of its trigger, where equal phrases lie together with their least document. A phrase
+that a smaller document has as well is repeated whole; a trigger of one document, or
+of equal phrases only, is settled.
+
+Corpus order: phrases of the other triggers, as at the ends of repeated passages, go
+to buckets by trigger as strings. There the suffixes of the distinct heads are sorted
+from the order of the suffixes one byte shorter (the dictionary's suffix array), what
+follows the triggers is sorted with its common prefixes (the parse's order), and the
+two ranks together order all windows; neighbours in that order are compared, so equal
+windows form a run with its least document. Only windows with their trigger in one
+place can be equal, so one place is ordered at a time.
+
+Texts are dealt once, by slab (a stored number of some neighbouring rows); slabs carry
+marks back. Tasks drop phrases that a smaller document among their last ``DEAL`` bytes
+has too before dealing, so a hot passage isn't sent once for each document.
+
+Defined results: null text is empty; texts shorter than ``span`` lose nothing; texts
+of any length are read whole (a slab holds at least one); rows with one id never
+remove each other's bytes; a null id is larger than any other; an empty table gives no
+rows; further columns are ignored, and so are columns to carry that are named like
+one of the results.
 """
 
 from __future__ import annotations
@@ -30,17 +37,22 @@ import struct
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stelae.runtime import ship_package, stored
 
-SPAN, GRAM = 50, 26
-#: Bytes of text that make up a slab; bytes of text per bucket of triggers.
-SLAB, BUCKET_BYTES, LEAST_BUCKETS = 1 << 20, 16 << 20, 24
+SPAN, GRAM = 50, 20
+#: Bytes and rows of a slab; bytes of text whose phrases are dealt at once; bytes of
+#: text per bucket of triggers; open windows per bucket of their order.
+SLAB, SLAB_ROWS, DEAL, BUCKET_BYTES, BUCKET_WINDOWS, LEAST_BUCKETS = 1 << 20, 1 << 14, 16 << 20, 16 << 20, 1 << 20, 24
+#: Sent bits of either hash, the trigger's beside those that chose the bucket.
+HASH_BITS = 40
 DUPLICATE, OPEN = 1, 2
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have inverses
-_POWERS: dict = {}
+RESULTS = ("doc_id", "n_bytes", "spans", "kept")
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
+_POWERS: list = []
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,23 +62,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    held = _POWERS.get(base)
-    if held is None or len(held[0]) < n:
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _POWERS or len(_POWERS[0]) < n:
         made = []
-        for b in (base, pow(base, -1, 1 << 64)):
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(n, b, np.uint64)
             p[0] = 1
             made.append(np.cumprod(p))
-        held = _POWERS[base] = tuple(made)
-    return held
+        _POWERS[:] = made
+    return _POWERS[0], _POWERS[1]
 
 
 class Rolling:
     """Hashes of any substring of a byte array, from prefix sums modulo 2^64."""
 
-    def __init__(self, data: np.ndarray, base: int = _BASES[0]):
-        up, self.down = _powers(base, len(data) + 1)
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
 
@@ -91,18 +102,18 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def parse(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
-    """The slab's bytes, its rolling hash, and of each phrase: document's place, first
-    and last window start, trigger hash, phrase hash."""
+    """The texts' bytes, and of each phrase: document's place, first and last window
+    start, trigger place, trigger hash, phrase hash."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     stops = np.cumsum(sizes)
-    rolling = Rolling(data)
     if len(data) < span:
         none = np.empty(0, np.int64)
-        return data, rolling, stops, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return data, none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+    rolling = Rolling(data)
     grams = rolling.grams(gram)
     trigger = _least(grams, span - gram + 1)[: len(data) - span + 1]
-    owner = np.repeat(np.arange(len(texts)), sizes)[: len(trigger)]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[: len(trigger)]
     inside = np.flatnonzero(np.arange(len(trigger)) + span <= stops[owner])
     trigger, owner = trigger[inside], owner[inside]
     new = np.ones(len(inside), bool)
@@ -112,211 +123,333 @@ def parse(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
     lo, hi, place = inside[first], inside[last], trigger[first].astype(np.int64)
     phrase = rolling(lo, hi + span)
     phrase = _mix(phrase ^ ((hi - lo).astype(np.uint64) << np.uint64(32)) ^ (place - lo).astype(np.uint64))
-    return data, rolling, stops, owner[first], lo, hi, grams[place], phrase
-
+    return data, owner[first].astype(np.int64), lo, hi, place, grams[place], phrase
 
-def windows(data: np.ndarray, rolling: Rolling, lo: np.ndarray, hi: np.ndarray, span: int = SPAN):
-    """The windows of phrases: which phrase, where, and two hashes of each."""
-    counts = hi - lo + 1
-    which = np.repeat(np.arange(len(lo)), counts)
-    at = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + lo[which]
-    other = Rolling(data, _BASES[1])
-    return which, at, rolling(at, at + span), other(at, at + span)
 
+def _packed(values: np.ndarray) -> bytes:
+    """Integers as offsets from the least, in as few bytes each as the largest needs."""
+    values = np.asarray(values)
+    wide = values.astype(np.uint64) if values.dtype == np.uint64 else values.astype(np.int64).view(np.uint64)
+    base = values.min() if len(values) else 0
+    base = np.uint64(base) if values.dtype == np.uint64 else np.array([base], np.int64).view(np.uint64)[0]
+    rest = wide - base
+    width = (int(rest.max()).bit_length() + 7) // 8 if len(rest) else 0
+    body = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return struct.pack("<IBQ", len(values), width, int(base)) + body
 
-def _low_bytes(x: np.ndarray, n: int) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
 
-
-def _from_low_bytes(raw: bytes, n: int, count: int) -> np.ndarray:
+def _unpacked(raw: bytes, at: int, kind=np.int64) -> tuple[np.ndarray, int]:
+    count, width, base = struct.unpack_from("<IBQ", raw, at)
+    at += 13
     wide = np.zeros((count, 8), np.uint8)
-    wide[:, :n] = np.frombuffer(raw, np.uint8).reshape(n, count).T
-    return wide.view("<u8").ravel()
-
-
-def deal(doc: np.ndarray, keys: np.ndarray, uids: np.ndarray, major: np.ndarray, minor: np.ndarray, buckets: int):
-    """Blobs of hashes by bucket. doc: the document's place of each entry, ascending;
-    keys and uids: by document. Entries that a smaller document of the slab has too
-    are only marked."""
-    order = np.lexsort((keys[doc], minor, major))
-    same = np.zeros(len(order), bool)
-    same[1:] = (major[order[1:]] == major[order[:-1]]) & (minor[order[1:]] == minor[order[:-1]])
-    run = np.flatnonzero(~same)
-    least = keys[doc[order[run]]][np.cumsum(~same) - 1] if len(order) else keys[:0]
-    known = np.empty(len(order), bool)
-    known[order] = keys[doc[order]] > least
-    bucket = (major % np.uint64(buckets)).astype(np.int64)
-    rest = major // np.uint64(buckets)
-    by = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-    for b in range(buckets):
-        own = by[edges[b] : edges[b + 1]]
-        if not len(own):
-            continue
-        docs, counts = np.unique(doc[own], return_counts=True)
-        mark = known[own]
-        sent = own[~mark]
-        head = struct.pack("<qqq", len(docs), len(own), len(sent))
-        body = [keys[docs].astype("<i8"), uids[docs].astype("<i8"), counts.astype("<i4"), np.packbits(mark)]
-        yield b, head + b"".join(x.tobytes() for x in body) + _low_bytes(rest[sent], 6) + _low_bytes(minor[sent], 6)
-
-
-def _undeal(blob: bytes):
-    docs, entries, sent = struct.unpack_from("<qqq", blob)
-    at = 24
-    keys = np.frombuffer(blob, "<i8", docs, at)
-    uids = np.frombuffer(blob, "<i8", docs, at + 8 * docs)
-    counts = np.frombuffer(blob, "<i4", docs, at + 16 * docs)
-    at += 20 * docs
-    mark = np.unpackbits(np.frombuffer(blob, np.uint8, -(-entries // 8), at), count=entries).astype(bool)
-    at += -(-entries // 8)
-    major = _from_low_bytes(blob[at : at + 6 * sent], 6, sent)
-    return keys, uids, counts, mark, major, _from_low_bytes(blob[at + 6 * sent :], 6, sent)
-
-
-def settle(bucket: int, blobs: list[bytes], whole: bool) -> pd.DataFrame:
-    """-> uid, bucket, marks: for each document 4 * (its entry in this bucket) + status.
-    DUPLICATE: a smaller document has the entry too; OPEN (unless ``whole``): the major
-    hash is shared with other documents, and the minor one is not settled."""
-    parts = [_undeal(b) for b in blobs]
-    key = np.concatenate([np.repeat(k, c)[~m] for k, _, c, m, _, _ in parts])
-    major, minor = np.concatenate([p[4] for p in parts]), np.concatenate([p[5] for p in parts])
-    order = np.lexsort((key, minor, major))
-    key, major, minor = key[order], major[order], minor[order]
-    n = len(key)
-    new_major, new = np.ones(n, bool), np.ones(n, bool)
-    new_major[1:] = major[1:] != major[:-1]
-    new[1:] = new_major[1:] | (minor[1:] != minor[:-1])
-    starts = np.flatnonzero(new)
-    least = key[starts][np.cumsum(new) - 1]
-    found = np.where(key > least, DUPLICATE, 0).astype(np.uint8)
-    if not whole and n:
-        starts = np.flatnonzero(new_major)
-        low, high = np.minimum.reduceat(key, starts), np.maximum.reduceat(key, starts)
-        several = np.add.reduceat(new.astype(np.int64), starts) > 1
-        group = np.cumsum(new_major) - 1
-        found[(found == 0) & ((low < high) & several)[group]] = OPEN
-    status = np.empty(n, np.uint8)
-    status[order] = found
-    rows, at = [], 0
-    for _, uids, counts, mark, _, _ in parts:
-        own = np.full(len(mark), DUPLICATE, np.uint8)
-        sent = int((~mark).sum())
-        own[~mark] = status[at : at + sent]
-        at += sent
-        stops = np.cumsum(counts)
-        entry = np.arange(len(mark)) - np.repeat(stops - counts, counts)
-        set_ = np.flatnonzero(own)
-        doc = np.repeat(np.arange(len(counts)), counts)[set_]
-        value = (entry[set_] * 4 + own[set_]).astype("<i4")
-        which, first = np.unique(doc, return_index=True)
-        ends = np.append(first[1:], len(value))[: len(first)]
-        for d, a, b in zip(which.tolist(), first.tolist(), ends.tolist(), strict=True):
-            rows.append((int(uids[d]), bucket, value[a:b].tobytes()))
-    return pd.DataFrame(rows, columns=["uid", "bucket", "marks"])
-
-
-def _settler(whole: bool):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        from stelae.llm import suffix_dedup
+    wide[:, :width] = np.frombuffer(raw, np.uint8, width * count, at).reshape(width, count).T
+    return (wide.view("<u8").ravel() + np.uint64(base)).view(kind), at + width * count
 
-        return suffix_dedup.settle(int(group["bucket"].iloc[0]), list(group["blob"]), whole)
 
-    return run
+def _all_packed(*arrays: np.ndarray) -> bytes:
+    return b"".join(map(_packed, arrays))
 
 
-def _statuses(count: int, major: np.ndarray, buckets: int, marks) -> np.ndarray:
-    """Statuses of a document's entries from its marks (bucket, bytes)."""
-    status = np.zeros(count, np.uint8)
-    bucket = (major % np.uint64(buckets)).astype(np.int64)
-    by = np.argsort(bucket, kind="stable")
-    for mark in marks or ():
-        value = np.frombuffer(mark["marks"], "<i4")
-        begin = np.searchsorted(bucket[by], mark["bucket"])
-        status[by[begin + (value >> 2)]] = value & 3
-    return status
+def _all_unpacked(raw: bytes, kinds) -> tuple[list[np.ndarray], int]:
+    found, at = [], 0
+    for kind in kinds:
+        values, at = _unpacked(raw, at, kind)
+        found.append(values)
+    return found, at
 
 
-def _slabs(batch: pa.RecordBatch):
-    """Row ranges of a batch with about SLAB bytes of text, and the texts as bytes."""
-    texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
-    held, begin, size = [], 0, 0
-    for i, text in enumerate(texts):
-        raw = text.as_py() or b""
-        held.append(raw)
-        size += len(raw)
-        if size >= SLAB or i == len(texts) - 1:
-            yield batch.slice(begin, i + 1 - begin), held
-            held, begin, size = [], i + 1, 0
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows by keys (the last is the major one), and where a group begins, by
+    all keys but the first."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for key in keys[1:]:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    return order, new
 
 
-def _blob_batch(pairs) -> pa.RecordBatch:
-    pairs = list(pairs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.binary())], names=["bucket", "blob"]
-    )
+def _later(order: np.ndarray, new: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which rows have a larger key than the first of their group."""
+    starts = np.flatnonzero(new)
+    out = np.empty(len(order), bool)
+    if len(order):
+        out[order] = key[order] > key[order[starts]][np.cumsum(new) - 1]
+    return out
+
+
+class Dealer:
+    """Collects phrases of slabs, and deals them as blobs by bucket of the trigger."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.size, self.docs, self.held = buckets, 0, 0, []
+
+    def add(self, slab: int, at: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> None:
+        _, owner, _, _, _, major, minor = parse(texts)
+        here = np.full(len(keys), slab, np.int64)
+        self.held.append((here, at.astype(np.int64), keys.astype(np.int64), owner + self.docs, major, minor))
+        self.docs += len(keys)
+        self.size += sum(map(len, texts))
+
+    def blobs(self):
+        """Entries that a smaller document of those collected has too are only marked."""
+        if not self.held:
+            return
+        slab, at, keys, doc, major, minor = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.size, self.docs, self.held = 0, 0, []
+        order, new = _groups(keys[doc], minor, major)
+        known = _later(order, new, keys[doc])
+        del order, new
+        bucket = (major % np.uint64(self.buckets)).astype(np.int64)
+        major //= np.uint64(self.buckets)
+        by = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by], np.arange(self.buckets + 1))
+        for b in range(self.buckets):
+            own = by[edges[b] : edges[b + 1]]
+            if len(own):
+                docs, counts = np.unique(doc[own], return_counts=True)
+                mark = known[own]
+                sent = own[~mark]
+                low = np.uint64((1 << HASH_BITS) - 1)
+                yield b, _all_packed(slab[docs], at[docs], keys[docs], counts, np.flatnonzero(mark), major[sent] & low, minor[sent] & low)
+
+
+def settle(bucket: int, blobs: list[bytes]) -> pd.DataFrame:
+    """-> slab, bucket, opened (windows left open, at most), marks: documents of the slab and
+    4 * (the entry of the document in this bucket) + status. DUPLICATE: a smaller
+    document has the phrase too; OPEN: the trigger is shared with other documents, and
+    the phrase is not settled."""
+    u = np.uint64
+    parts = [_all_unpacked(b, (np.int64,) * 5 + (u, u))[0] for b in blobs]
+    sent = []
+    for _, _, _, counts, mark, _, _ in parts:
+        kept = np.ones(int(counts.sum()), bool)
+        kept[mark] = False
+        sent.append(kept)
+    key = np.concatenate([np.repeat(p[2], p[3])[s] for p, s in zip(parts, sent, strict=True)])
+    major, minor = np.concatenate([p[5] for p in parts]), np.concatenate([p[6] for p in parts])
+    order, new = _groups(key, minor, major)
+    status = np.where(_later(order, new, key), DUPLICATE, 0).astype(np.uint8)
+    if len(key):
+        new_major = np.ones(len(key), bool)
+        new_major[1:] = major[order[1:]] != major[order[:-1]]
+        starts = np.flatnonzero(new_major)
+        low, high = np.minimum.reduceat(key[order], starts), np.maximum.reduceat(key[order], starts)
+        several = np.add.reduceat(new.astype(np.int64), starts) > 1
+        unsure = ((low < high) & several)[np.cumsum(new_major) - 1]
+        status[order[unsure & (status[order] == 0)]] = OPEN
+    rows, begin = [], 0
+    for (slab, at, _, counts, _, _, _), kept in zip(parts, sent, strict=True):
+        own = np.full(len(kept), DUPLICATE, np.uint8)
+        n = int(kept.sum())
+        own[kept] = status[begin : begin + n]
+        begin += n
+        entry = np.arange(len(kept)) - np.repeat(np.cumsum(counts) - counts, counts)
+        found = np.flatnonzero(own)
+        doc = np.repeat(np.arange(len(counts)), counts)[found]
+        value = entry[found] * 4 + own[found]
+        for s, some in _by_slab(slab[doc]):
+            opened = int((value[some] & 3 == OPEN).sum()) * (SPAN - GRAM + 1)
+            rows.append((s, bucket, opened, _all_packed(at[doc[some]], value[some])))
+    return pd.DataFrame(rows, columns=["slab", "bucket", "opened", "marks"])
+
+
+def _by_slab(slab: np.ndarray):
+    """Slabs with their rows, in the order of rows."""
+    if not len(slab):
+        return
+    order = np.argsort(slab, kind="stable")
+    found, first = np.unique(slab[order], return_index=True)
+    for s, a, b in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+        yield s, order[a:b]
+
+
+def _statuses(at: np.ndarray, owner: np.ndarray, major: np.ndarray, buckets: int, marks) -> np.ndarray:
+    """Statuses of a slab's phrases from its marks (bucket, documents, values). at: of
+    the documents that the phrases' owners count."""
+    status = np.zeros(len(owner), np.uint8)
+    bucket = (major % np.uint64(buckets)).astype(np.int64)
+    by = np.lexsort((owner, bucket))
+    place = bucket[by] * (1 << 31) + owner[by]
+    number = np.full(int(at.max(initial=-1)) + 1, -1)
+    number[at] = np.arange(len(at))
+    for b, docs, value in marks:
+        begin = np.searchsorted(place, b * (1 << 31) + number[docs])
+        status[by[begin + (value >> 2)]] = value & 3
+    return status
 
 
-def deal_phrases(batches, buckets: int):
+def _table(table: pa.Table, *names: str) -> list:
+    """Columns of a table: numbers as arrays, texts as lists of bytes."""
+    out = []
+    for name in names:
+        column = table.column(name)
+        if pa.types.is_integer(column.type):
+            out.append(column.to_numpy())
+        else:
+            column = column if pa.types.is_binary(column.type) else column.cast(pa.binary())
+            out.append([x or b"" for x in column.to_pylist()])
+    return out
+
+
+def open_phrases(slab: int, at: np.ndarray, keys: np.ndarray, texts: list[bytes], marks, buckets: int, order_buckets: int):
+    """Of a slab: blobs with its open phrases by bucket of the order, and one with the
+    byte runs of its repeated phrases."""
+    marks = [(b, *_all_unpacked(raw, (np.int64, np.int64))[0]) for b, raw in marks]
+    marked = np.flatnonzero(np.isin(at, np.unique(np.concatenate([docs for _, docs, _ in marks]))))
+    at, keys, texts = at[marked], keys[marked], [texts[i] for i in marked]
+    data, owner, lo, hi, place, major, _ = parse(texts)
+    status = _statuses(at, owner, major, buckets, marks)
+    begins = np.cumsum([0, *map(len, texts)])[:-1]
+    sure = np.flatnonzero(status == DUPLICATE)
+    if len(sure):
+        # Phrases of a document follow each other, so runs that touch are merged.
+        new = np.ones(len(sure), bool)
+        new[1:] = (owner[sure[1:]] != owner[sure[:-1]]) | (lo[sure[1:]] > hi[sure[:-1]] + SPAN)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(sure)) - 1
+        doc = owner[sure[first]]
+        begin = lo[sure[first]] - begins[doc]
+        length = hi[sure[last]] + SPAN - lo[sure[first]]
+        yield slab % order_buckets, b"\0" + _all_packed(np.array([slab]), at[doc], begin, length)
+    unsure = np.flatnonzero(status == OPEN)
+    bucket = ((major[unsure] // np.uint64(buckets)) % np.uint64(order_buckets)).astype(np.int64)
+    for b in np.unique(bucket).tolist():
+        own = unsure[bucket == b]
+        doc, size = owner[own], hi[own] - lo[own] + SPAN
+        where = np.repeat(lo[own] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        head = _all_packed(np.array([slab]), at[doc], keys[doc], lo[own] - begins[doc], place[own] - lo[own], size)
+        yield b, b"\1" + head + data[where].tobytes()
+
+
+def _ranks(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of bytes: their sorted order, and for each place in it the bytes that it
+    shares with the row before (0 for the first)."""
+    n, width = strings.shape
+    wide = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    wide[:, :width] = strings
+    order = np.lexsort(wide.view(">u8").astype(np.uint64).T[::-1]) if width else np.arange(n)
+    shared = np.zeros(n, np.int64)
+    if width and n:
+        differs = strings[order[1:]] != strings[order[:-1]]
+        shared[1:] = np.where(differs.any(1), differs.argmax(1), width)
+    return order, shared
+
+
+def _classes(order: np.ndarray, shared: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of sorted strings by their first bytes alone."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(shared < length) - 1 if length else 0
+    return out
+
+
+def order_windows(data: np.ndarray, begin: np.ndarray, place: np.ndarray, size: np.ndarray, key: np.ndarray, span: int = SPAN, gram: int = GRAM):
+    """Windows of open phrases that a smaller document has too: the phrase, and the
+    window's start in it. begin, size: of each phrase in data; place: of its trigger."""
+    most = span - gram
+    padded = np.concatenate([data, np.zeros(span, np.uint8)])
+    trigger = begin + place
+    order, shared = _ranks(padded[trigger[:, None] + np.arange(gram)])
+    rank = _classes(order, shared, gram)
+    tail = size - place - gram
+    strings = padded[(trigger + gram)[:, None] + np.arange(most)]
+    strings[np.arange(most) >= tail[:, None]] = 0
+    follow, follow_shared = _ranks(strings)
+    alive, found = np.arange(len(begin)), []
+    for before in range(most + 1):  # bytes of the window before its trigger
+        if before:
+            # The order of suffixes one byte longer, from the order of those before.
+            alive = alive[place[alive] >= before]
+            step = padded[trigger[alive] - before].astype(np.int64) * (len(begin) + 1) + rank[alive]
+            rank[alive] = np.unique(step, return_inverse=True)[1]
+        rest = most - before
+        own = alive[tail[alive] >= rest]
+        after = _classes(follow, follow_shared, rest)
+        ordered, new = _groups(key[own], after[own], rank[own])
+        own = own[_later(ordered, new, key[own])]
+        found.append((own, place[own] - before))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def settle_order(blobs: list[bytes]) -> pd.DataFrame:
+    """-> slab, marks: documents of the slab, starts and lengths of repeated runs."""
+    rows, parts, texts = [], [], []
+    for raw in blobs:
+        if raw[0] == 0:
+            (slab, at, begin, length), _ = _all_unpacked(raw[1:], (np.int64,) * 4)
+            rows.append((int(slab[0]), _all_packed(at, begin, length)))
+        else:
+            (slab, at, *more), stop = _all_unpacked(raw[1:], (np.int64,) * 6)
+            parts.append((np.repeat(slab, len(at)), at, *more))
+            texts.append(raw[1 + stop :])
+    if parts:
+        slab, at, key, lo, place, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        which, start = order_windows(data, np.cumsum(size) - size, place, size, key)
+        start = start + lo[which]
+        order = np.lexsort((start, at[which], slab[which]))
+        slab, at, start = slab[which[order]], at[which[order]], start[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (slab[1:] != slab[:-1]) | (at[1:] != at[:-1]) | (start[1:] > start[:-1] + SPAN)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(order))[: len(first)] - 1
+        slab, at, begin, length = slab[first], at[first], start[first], start[last] + SPAN - start[first]
+        rows += [(s, _all_packed(at[some], begin[some], length[some])) for s, some in _by_slab(slab)]
+    return pd.DataFrame(rows, columns=["slab", "marks"])
+
+
+def number_slabs(batches, task: int):
+    """Rows with the number of their slab, and their own number in it."""
+    slab, at, size = task << 33, 0, 0
     for batch in batches:
-        for rows, texts in _slabs(batch):
-            keys, uids = (rows.column(rows.schema.get_field_index(c)).to_numpy() for c in ("key", "uid"))
-            _, _, _, owner, _, _, major, minor = parse(texts)
-            yield _blob_batch(deal(owner, keys, uids, major, minor, buckets))
+        column = batch.column(batch.schema.get_field_index("text"))
+        lengths = pa.compute.binary_length(column).to_numpy(zero_copy_only=False).tolist()
+        slabs, numbers = [], []
+        for n in lengths:
+            if at and (size + n > SLAB or at == SLAB_ROWS):
+                slab, at, size = slab + 1, 0, 0
+            slabs.append(slab)
+            numbers.append(at)
+            at, size = at + 1, size + n
+        arrays = [pa.array(slabs, pa.int64()), pa.array(numbers, pa.int32()), *batch.columns]
+        yield pa.RecordBatch.from_arrays(arrays, names=["slab", "at", *batch.schema.names])
 
 
-def _open_windows(texts: list[bytes], marks: list, buckets: int):
-    """Of each document's open phrases: the document, the place and hashes of windows;
-    and for every document the byte ranges of repeated phrases."""
-    data, rolling, stops, owner, lo, hi, major, _ = parse(texts)
-    status = np.zeros(len(owner), np.uint8)
-    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
-    for d in range(len(texts)):
-        a, b = edges[d], edges[d + 1]
-        status[a:b] = _statuses(b - a, major[a:b], buckets, marks[d])
-    unsure, sure = np.flatnonzero(status == OPEN), np.flatnonzero(status == DUPLICATE)
-    begins = np.concatenate([[0], stops[:-1]])
-    which, at, one, two = windows(data, rolling, lo[unsure], hi[unsure])
-    repeated = (owner[sure], lo[sure] - begins[owner[sure]], hi[sure] + SPAN - begins[owner[sure]])
-    doc = owner[unsure][which]
-    return doc, at - begins[doc], one, two, repeated
-
-
-def deal_windows(batches, buckets: int):
-    for batch in batches:
-        for rows, texts in _slabs(batch):
-            keys, uids = (rows.column(rows.schema.get_field_index(c)).to_numpy() for c in ("key", "uid"))
-            marks = rows.column(rows.schema.get_field_index("phrases")).to_pylist()
-            doc, _, one, two, _ = _open_windows(texts, marks, buckets)
-            yield _blob_batch(deal(doc, keys, uids, one, two, buckets))
+def deal_phrases(batches, buckets: int):
+    dealer = Dealer(buckets)
 
+    def dealt():
+        pairs = list(dealer.blobs())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.binary())], names=["bucket", "blob"]
+        )
 
-def cut(batches, buckets: int, names: list[str], whole_characters: bool = False):
     for batch in batches:
-        for rows, texts in _slabs(batch):
-            get = lambda c: rows.column(rows.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
-            phrases, wins = get("phrases"), get("windows")
-            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-            marked = [i for i, (p, w) in enumerate(zip(phrases, wins, strict=True)) if p or w]
-            if marked:
-                doc, at, one, _, repeated = _open_windows([texts[i] for i in marked], [phrases[i] for i in marked], buckets)
-                edges = np.searchsorted(doc, np.arange(len(marked) + 1))
-                sure = np.searchsorted(repeated[0], np.arange(len(marked) + 1))
-                for j, i in enumerate(marked):
-                    a, b = edges[j], edges[j + 1]
-                    begin = at[a:b][_statuses(b - a, one[a:b], buckets, wins[i]) == DUPLICATE]
-                    lo = np.concatenate([begin, repeated[1][sure[j] : sure[j + 1]]])
-                    hi = np.concatenate([begin + SPAN, repeated[2][sure[j] : sure[j + 1]]])
-                    spans[i] = merged(lo, hi)
-            drop = [_whole_characters(t, s) for t, s in zip(texts, spans, strict=True)] if whole_characters else spans
-            kept = [_without(t, s) for t, s in zip(texts, drop, strict=True)]
-            arrays = [
-                *[rows.column(rows.schema.get_field_index(c)) for c in names[:-3]],
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                pa.array(kept, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        slab, at, keys = (batch.column(i).to_numpy() for i in range(3))
+        edges = [0, *(np.flatnonzero(np.diff(slab)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b > a:
+                texts = [t or b"" for t in batch.column(3).slice(a, b - a).cast(pa.binary()).to_pylist()]
+                dealer.add(int(slab[a]), at[a:b], keys[a:b], texts)
+            if dealer.size >= DEAL:
+                yield dealt()
+    yield dealt()
+
+
+def cut(table: pa.Table, marks: list[bytes], names: list[str], whole_characters: bool) -> pa.Table:
+    """A slab's documents without the runs that its marks hold."""
+    at, texts = _table(table, "at", "text")
+    runs = [_all_unpacked(m, (np.int64,) * 3)[0] for m in marks]
+    doc, lo, length = (np.concatenate(x) for x in zip(*runs, strict=True)) if runs else (np.empty(0, np.int64),) * 3
+    order = np.argsort(doc, kind="stable")
+    doc, lo, length = doc[order], lo[order], length[order]
+    begins, ends = np.searchsorted(doc, at), np.searchsorted(doc, at, side="right")
+    spans = [merged(lo[a:b], lo[a:b] + length[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+    drop = [_whole_characters(t, s) for t, s in zip(texts, spans, strict=True)] if whole_characters else spans
+    kept = [_without(t, s) for t, s in zip(texts, drop, strict=True)]
+    shown = pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
+    arrays = [table.column("doc_id"), table.column("carried"), pa.array(list(map(len, texts)), pa.int64()), shown, pa.array(kept, pa.binary())]
+    return pa.Table.from_arrays(arrays, names=names)
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
@@ -367,14 +500,25 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_character
     byte ranges), kept (the other bytes, or with ``whole_characters`` those of them
     that don't belong to a character with removed bytes)."""
     ship_package(docs.sparkSession)
+    carry = tuple(c for c in carry if c not in RESULTS)
     rows = docs.select(
-        "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("key"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        "doc_id",
         F.struct(*carry).alias("carried") if carry else F.lit(0).alias("carried"),
     )
-    rows = rows.select("doc_id", "key", F.xxhash64("doc_id", "text").alias("uid"), "text", "carried")
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def numbered(batches):
+        from pyspark import TaskContext
+
+        from stelae.llm import suffix_dedup
+
+        return suffix_dedup.number_slabs(batches, TaskContext.get().partitionId())
+
+    slabs = rows.mapInArrow(numbered, "slab long, at int, " + ", ".join(f"{n} {k}" for n, k in kinds.items()))
+    slabs = stored(slabs, "slabs")
+    size = slabs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
     def phrase_run(batches):
@@ -382,32 +526,48 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_character
 
         return suffix_dedup.deal_phrases(batches, buckets)
 
-    def window_run(batches):
+    def phrase_settler(group: pd.DataFrame) -> pd.DataFrame:
         from stelae.llm import suffix_dedup
 
-        return suffix_dedup.deal_windows(batches, buckets)
+        return suffix_dedup.settle(int(group["bucket"].iloc[0]), list(group["blob"]))
 
-    names = ["doc_id", "carried", "n_bytes", "spans", "kept"]
+    blobs = slabs.select("slab", "at", "key", "text").mapInArrow(phrase_run, "bucket long, blob binary")
+    marks = blobs.groupBy("bucket").applyInPandas(phrase_settler, "slab long, bucket long, opened long, marks binary")
+    marks = stored(marks, "phrases")
+    opened = marks.agg(F.sum("opened")).first()[0] or 0
+    order_buckets = max(LEAST_BUCKETS, -(-opened // BUCKET_WINDOWS))
+
+    def open_run(table: pa.Table, own: pa.Table) -> pa.Table:
+        from stelae.llm import suffix_dedup
+
+        pairs = []
+        if table.num_rows and own.num_rows:
+            slab, at, keys, texts = suffix_dedup._table(table, "slab", "at", "key", "text")
+            sorted_ = np.argsort(at)
+            own = zip(*suffix_dedup._table(own, "bucket", "marks"), strict=True)
+            texts = [texts[i] for i in sorted_]
+            pairs = list(suffix_dedup.open_phrases(int(slab[0]), at[sorted_], keys[sorted_], texts, own, buckets, order_buckets))
+        return pa.table({"bucket": pa.array([p[0] for p in pairs], pa.int64()), "blob": pa.array([p[1] for p in pairs], pa.binary())})
 
-    def cut_run(batches):
+    def order_settler(group: pd.DataFrame) -> pd.DataFrame:
         from stelae.llm import suffix_dedup
 
-        return suffix_dedup.cut(batches, buckets, names, whole_characters)
+        return suffix_dedup.settle_order(list(group["blob"]))
+
+    names = ["doc_id", "carried", "n_bytes", "spans", "kept"]
+
+    def cut_run(table: pa.Table, own: pa.Table) -> pa.Table:
+        from stelae.llm import suffix_dedup
 
-    def by_document(blobs: DataFrame, whole: bool, name: str) -> DataFrame:
-        marks = blobs.groupBy("bucket").applyInPandas(_settler(whole), "uid long, bucket long, marks binary")
-        return marks.groupBy("uid").agg(F.collect_set(F.struct("bucket", "marks")).alias(name))
+        return suffix_dedup.cut(table, suffix_dedup._table(own, "marks")[0], names, whole_characters)
 
-    phrases = rows.select("key", "uid", "text").mapInArrow(phrase_run, "bucket long, blob binary")
-    phrases = stored(by_document(phrases, False, "phrases"), "phrases")
-    dealt = rows.repartition("uid")
-    opened = dealt.join(phrases, "uid").select("key", "uid", "text", "phrases")
-    opened = by_document(opened.mapInArrow(window_run, "bucket long, blob binary"), True, "windows")
-    joined = dealt.join(phrases, "uid", "left").join(opened, "uid", "left")
-    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
-    out = joined.select("doc_id", "carried", "text", "phrases", "windows").mapInArrow(
+    # Both cogroups deal the slabs alike, so that Spark shuffles the texts once.
+    dealt = slabs.groupBy("slab")
+    blobs = dealt.cogroup(marks.select("slab", "bucket", "marks").groupBy("slab")).applyInArrow(open_run, "bucket long, blob binary")
+    runs = blobs.groupBy("bucket").applyInPandas(order_settler, "slab long, marks binary")
+    out = dealt.cogroup(runs.groupBy("slab")).applyInArrow(
         cut_run,
-        f"doc_id {fields['doc_id']}, carried {fields['carried']}, n_bytes long, "
+        f"doc_id {kinds['doc_id']}, carried {kinds['carried']}, n_bytes long, "
         "spans array<struct<start:bigint,stop:bigint>>, kept binary",
     )
     own = [F.col(f"carried.{c}").alias(c) for c in carry]
