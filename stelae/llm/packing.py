@@ -8,8 +8,10 @@ to partitions of as many pieces, in turn by chance and by fill, and packed again
 earlier bins stay if that isn't better). This ends when one partition is left, or when
 neither way of dealing lessens the bins.
 
-Defined results: null text is empty text (only the end id); repeated rows are packed
-as often as they occur; an empty table gives no rows; further columns are ignored.
+Defined results: null text is empty text (only the end id); texts of any length are
+read whole and cut into pieces; repeated rows are packed as often as they occur; ids
+stay as they are, a null id too; an empty table gives no rows; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -124,8 +125,8 @@ def lower_bound(lengths: np.ndarray, limit: int) -> int:
 
 
 def histogram_bound(sizes: np.ndarray, counts: np.ndarray, limit: int) -> int:
-    """sizes: distinct lengths, ascending; counts: of pieces of each. The largest of these bounds on the bins: total length; for each threshold,
-    pieces above limit - threshold count whole and pieces below it not at all; and
+    """sizes: distinct lengths, ascending; counts: of pieces of each. The largest of these
+    bounds on the bins: total length; for each threshold, pieces above limit - threshold count whole and pieces below it not at all; and
     the stair functions u(k) for k up to 20. All are dual feasible."""
     if not len(sizes):
         return 0
@@ -174,23 +175,24 @@ def best_fit_decreasing(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np
     return bins, offsets, np.array(fill, np.int64)
 
 
-def _pack_partition(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
-    rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-    lengths = rows["length"].to_numpy(np.int64)
+def _pack_partition(rows: pa.Table, limit: int) -> pa.Table:
+    ways = [("length", "descending"), *[(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")]]
+    rows = rows.sort_by(ways).combine_chunks()
+    lengths = rows.column("length").to_numpy()
     bins, offsets, fill = best_fit_decreasing(lengths, limit)
-    if (rows["bin"] >= 0).all():
-        earlier, old = np.unique(rows[["from_part", "bin"]].to_numpy(), axis=0, return_inverse=True)
+    if (rows.column("bin").to_numpy() >= 0).all():
+        places = np.stack([rows.column(c).to_numpy() for c in ("from_part", "bin")], axis=1)
+        earlier, old = np.unique(places, axis=0, return_inverse=True)
         if len(earlier) <= len(fill):
-            bins, offsets = old.ravel(), rows["offset"].to_numpy(np.int64)
+            bins, offsets = old.ravel(), rows.column("offset").to_numpy()
             fill = np.bincount(bins, lengths).astype(np.int64)
-    rows["from_part"] = rows["part"]
-    rows["bin"], rows["offset"], rows["fill"] = bins, offsets, fill[bins]
-    rows["certified"] = len(fill) == lower_bound(lengths, limit)
-    return rows
+    certified = np.full(len(lengths), len(fill) == lower_bound(lengths, limit))
+    new = {"from_part": rows.column("part"), "bin": pa.array(bins), "offset": pa.array(offsets), "fill": pa.array(fill[bins]), "certified": pa.array(certified)}
+    return pa.table({c: new.get(c, rows.column(c)) for c in rows.column_names})
 
 
 def _packer(limit: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pa.Table) -> pa.Table:
         from stelae.llm import packing
 
         return packing._pack_partition(group, limit)
@@ -235,7 +237,7 @@ def pack(pieces: DataFrame, limit: int = 4096) -> DataFrame:
     )
     schema, settled, turn, full, fewest, idle = rows.schema, [], 0, 0, None, 0
     while True:
-        packed = stored(rows.groupBy("part").applyInPandas(_packer(limit), schema), "packed")
+        packed = stored(rows.groupBy("part").applyInArrow(_packer(limit), schema), "packed")
         number = F.shiftleft(F.lit(turn).cast("long"), 57) + F.shiftleft(F.col("part"), 24) + F.col("bin")
         packed = packed.withColumn("sequence_id", number)
         bins = packed.groupBy("fill").agg(F.count_if(F.col("offset") == 0).alias("bins"), F.count(F.lit(1)).alias("pieces"))

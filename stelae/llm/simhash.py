@@ -123,24 +123,25 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _with_components(own: DataFrame, found: DataFrame, node: str, id_col: str) -> DataFrame:
+def _with_components(own: DataFrame, found: DataFrame, node: str) -> DataFrame:
     """own (id, fp, node), found (a, b: linked nodes) -> id, fp, component_id."""
-    first = own.groupBy(node).agg(F.min(id_col).alias("first_id"))
+    first = own.groupBy(node).agg(F.min("id").alias("first_id"))
     roots = connected_components(found, "a", "b")
     named = first.join(roots.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node))
     named = stored(named, "named")
     components = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = stored(named.join(components, "root").select(node, "component_id"), "classes")
-    return own.join(classes, node).select(id_col, "fp", "component_id")
+    return own.join(classes, node).select("id", "fp", "component_id")
 
 
 def within_radius(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """-> id, fp, component_id: the smallest id that links reach, the row's own
     included. Copies count once in the join; every link between fingerprints that
     differ is found."""
-    own = stored(fingerprints(docs, id_col, text_col), "fingerprints")
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    own = stored(fingerprints(docs, "id", "text"), "fingerprints")
     found = stored(links(own.select("fp").distinct(), radius), "links")
-    return _with_components(own, found, "fp", id_col)
+    return _with_components(own, found, "fp").withColumnRenamed("id", id_col)
 
 
 def _order(held: np.ndarray, ranked: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -245,8 +246,9 @@ def near_duplicates(
     least = Fraction(str(similarity))
     if not 0 < least <= 1:
         raise ValueError("the similarity must lie above 0, and at 1 or below")
-    often = _often_seen(docs, id_col, text_col, width, least)
-    own = shingle_sets(docs, id_col, text_col, width, least, *often).withColumn("row", F.monotonically_increasing_id())
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    often = _often_seen(docs, "id", "text", width, least)
+    own = shingle_sets(docs, "id", "text", width, least, *often).withColumn("row", F.monotonically_increasing_id())
     own = stored(own, "shingle_sets")
     found = stored(similar_sets(own.select("row", "node", "n", "held", "prefix"), least), "links")
-    return _with_components(own.select(id_col, "fp", "node"), found, "node", id_col)
+    return _with_components(own.select("id", "fp", "node"), found, "node").withColumnRenamed("id", id_col)

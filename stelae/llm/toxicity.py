@@ -8,9 +8,10 @@ landmark words turns this into vectors; a linear machine with squared hinge loss
 learns from labelled sentences: in each document the one that scores highest stands
 for it. Runs of single letters are read as one word too.
 
-A word whose longest common subsequence with a landmark is short has a negligible
-kernel with it, which is taken as zero. Signed values of words are cached; a text's
-margin is the highest sum over a sentence, as in training.
+The kernel is worked out from explicit features (a word's three-letter subsequences
+with their weights), for every word and landmark. Training and serving score by one
+function: signed values of words, cached, are summed over sentences; a text's margin
+is the highest sum.
 
 Defined results: null or empty text has no words and takes the score of none; texts
 of any length are read whole (words over 32 letters in overlapping stretches);
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import cache
+from itertools import chain, combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,7 +32,11 @@ from pyspark.sql import DataFrame
 from stelae.llm.labelled import constant, training_rows
 from stelae.llm.quality import with_scores
 
-ORDER, DECAY, POWER, LEAST_COMMON = 3, 0.6, 3, 0.75
+ORDER, DECAY, POWER = 3, 0.6, 4
+#: Subsequences that a direct table may name.
+MOST_NAMES = 1 << 22
+#: Share of the best landmark's z score that the others need.
+SUPPORT = 0.25
 LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 400_000
 LONGEST, MOST_LETTERS = 16, 32
 #: Characters of text whose words are held at once.
@@ -37,7 +44,6 @@ BLOCK_CHARS = 1 << 20
 #: What ends a sentence, besides the end of a line.
 _STOPS = ".!?|"
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
-_SENTENCE = re.compile(r"[.!?|\n]")
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -71,59 +77,76 @@ def _self_kernel(codes: np.ndarray) -> np.ndarray:
     return np.maximum(subsequence_kernel(codes, codes), 1e-12)
 
 
+@cache
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the letters of all subsequences of ORDER letters of a word of n
+    letters, and their weights."""
+    places = np.array(list(combinations(range(n), ORDER)), np.int64).reshape(-1, ORDER)
+    return places, (DECAY ** (places[:, -1] - places[:, 0] + 1)).astype(np.float32)
+
+
 class Landmarks:
+    """The kernel as a product of explicit features: a word's weights of the
+    subsequences that landmarks have."""
+
     def __init__(self, words: list[str]):
         self.words = words
-        self.codes, self.sizes = _codes(words, LONGEST)
-        self.own = _self_kernel(self.codes)
         letters = sorted({c for w in words for c in w})
-        self.table = np.zeros(0x110000, np.uint8)
-        self.table[[ord(c) for c in letters]] = np.arange(len(letters)) % 63 + 1
-        self.masks = np.zeros((64, len(words)), np.uint16)
-        self.need = np.maximum(ORDER, np.ceil(LEAST_COMMON * self.sizes)).astype(np.int64)
-        held = self.table[self.codes]
-        for i, column in enumerate(held.T):
-            j = np.flatnonzero(column)
-            self.masks[column[j], j] |= np.uint16(1 << i)
-        self.letters = self._sets(held)
-        self.fewest = np.bitwise_count(self.letters) - (self.sizes - self.need)
-
-    @staticmethod
-    def _sets(held: np.ndarray) -> np.ndarray:
-        bits = np.where(held > 0, np.uint64(1) << held.astype(np.uint64), np.uint64(0))
-        return np.bitwise_or.reduce(bits, axis=1)
-
-    def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of words and landmarks with a common subsequence that is long enough
-        (found by bit vectors), among those that share enough letters."""
-        held = self.table[codes]
-        shared = np.bitwise_count(self._sets(held)[:, None] & self.letters[None, :])
-        w, l = np.nonzero(shared >= self.fewest)  # noqa: E741
-        rows = np.full(len(w), 0xFFFF, np.uint16)
-        for column in held.T:
-            u = rows & self.masks[column[w], l]
-            rows = (rows + u) | (rows - u)
-        full = ((1 << self.sizes) - 1).astype(np.uint16)
-        fit_ = np.bitwise_count(~rows & full[l]) >= self.need[l]
-        return w[fit_], l[fit_]
+        self.base = len(letters) + 1
+        kind = np.int32 if self.base**ORDER < 1 << 31 else np.int64
+        self.number = np.zeros(0x110000, kind)
+        self.number[[ord(c) for c in letters]] = np.arange(1, self.base)
+        held = []
+        for i, w in enumerate(words):
+            places, weight = _triples(len(w))
+            held.append((self._named(self.number[[ord(c) for c in w]][None, :], places)[0], np.full(len(places), i), weight))
+        name, word, weight = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.empty(0, np.int64),) * 3
+        self.names, row = np.unique(name, return_inverse=True)
+        self.features = np.zeros((len(self.names), len(words)), np.float32)
+        np.add.at(self.features, (row, word), weight)
+        self.own = np.maximum((self.features**2).sum(0), 1e-12)
+        self.rows = None
+        if self.base**ORDER <= MOST_NAMES:
+            self.rows = np.full(self.base**ORDER, -1, np.int32)
+            self.rows[self.names] = np.arange(len(self.names))
+
+    def _rows(self, name: np.ndarray) -> np.ndarray:
+        """The row of each subsequence, -1 where no landmark has it."""
+        if self.rows is not None:
+            return self.rows[name]
+        row = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+        return np.where(self.names[row] == name, row, -1)
+
+    def _named(self, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """One number for each subsequence of each word."""
+        name = numbers[:, places[:, 0]]
+        for j in range(1, ORDER):
+            name = name * self.base + numbers[:, places[:, j]]
+        return name
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Sharpened normalised kernel of words (MOST_LETTERS at most) and landmarks."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        by_size = np.argsort([len(w) for w in words], kind="stable")
-        for at in range(0, len(words), 4096):
-            part = by_size[at : at + 4096]
-            some = [words[i] for i in part]
-            codes, _ = _codes(some, max(1, max(map(len, some))))
-            w, l = self.near(codes)  # noqa: E741
-            if not len(w):
-                continue
-            used, back = np.unique(w, return_inverse=True)
-            own = _self_kernel(codes[used])[back]
-            for b in range(0, len(w), 2048):
-                s = slice(b, b + 2048)
-                k = subsequence_kernel(codes[w[s]], self.codes[l[s]]) / np.sqrt(own[s] * self.own[l[s]])
-                out[part[w[s]], l[s]] = k**POWER
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        by_size = np.argsort(sizes, kind="stable")
+        edges = np.searchsorted(sizes[by_size], np.arange(ORDER, sizes.max(initial=0) + 2))
+        for n, (a, b) in enumerate(zip(edges, edges[1:], strict=False), ORDER):
+            if not len(self.names):
+                break
+            places, weight = _triples(n)
+            step = max(64, (1 << 18) // len(places))
+            for at in range(a, b, step):
+                part = by_size[at : min(at + step, b)]
+                codes, _ = _codes([words[i] for i in part], n)
+                row = self._rows(self._named(self.number[codes], places)).ravel()
+                found = np.flatnonzero(row >= 0)
+                if not len(found):
+                    continue
+                w, which = np.divmod(found.astype(np.int32), np.int32(len(places)))
+                first = np.flatnonzero(np.diff(w, prepend=-1))
+                live = w[first]
+                shared = np.add.reduceat(self.features[row[found]] * weight[which][:, None], first)
+                out[part[live]] = (shared / np.sqrt(_self_kernel(codes[live])[:, None] * self.own)) ** POWER
         return out
 
 
@@ -134,41 +157,67 @@ def stretches(word: str) -> list[str]:
     return [word[i : i + MOST_LETTERS] for i in range(0, len(word) - half, half)]
 
 
-def sentences(text: str) -> list[list[str]]:
-    """The words of a text's sentences, lower-cased, without marks at their ends."""
+def _lines(text: str) -> list[list[str]]:
+    """The words of a text's sentences, lower-cased, as they stand between white space,
+    and then the runs of spelled letters."""
     text = text.lower()
-    out = []
-    for part in _SENTENCE.split(text):
-        words = [w for raw in part.split() if (w := raw.strip(_EDGES))]
-        words += ["".join(m.group().split()) for m in _SPELLED.finditer(part)]
-        if words:
-            out.append([s for w in words for s in stretches(w)])
-    return out
+    for stop in _STOPS:
+        text = text.replace(stop, "\n")
+    lines = [part.split() for part in text.split("\n")]
+    line = at = 0
+    for run in _SPELLED.finditer(text):
+        line += text.count("\n", at, run.start())
+        at = run.start()
+        lines[line].append("".join(run.group().split()))
+    return lines
+
+
+def _pieces(raw: str) -> list[str]:
+    word = raw.strip(_EDGES)
+    return stretches(word) if word else []
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The words of a text's sentences, without marks at their ends."""
+    found = [[p for raw in words for p in _pieces(raw)] for words in _lines(text)]
+    return [words for words in found if words]
 
 
 def choose_landmarks(docs: list[list[list[str]]], y: np.ndarray, count: int = LANDMARKS) -> list[str]:
-    """Words of toxic training documents that other documents lack, so that every toxic
-    document holds several of them; then frequent words of the others."""
+    """Words that toxic documents hold more often than others do in either half of the
+    training documents (the halves take turns) by a z score of at least SUPPORT of the
+    best, picked so that each toxic document holds several; then frequent words of the
+    others, as many at most."""
     sets = [{w for s in d for w in s if ORDER <= len(w) <= LONGEST} for d in docs]
-    seen = {c: Counter(w for words, t in zip(sets, y, strict=True) if t == c for w in words) for c in (0, 1)}
-    n1, n0 = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    odds = {w: np.log((c + 0.5) / n1) - np.log((seen[0][w] + 0.5) / n0) for w, c in seen[1].items() if c >= 2}
-    odds = {w: v for w, v in odds.items() if v > 1}
+    scores: list[dict[str, float]] = []
+    for half in (0, 1):
+        own = [(words, t) for words, t in zip(sets[half::2], y[half::2], strict=True)]
+        n = {c: max(1, sum(t == c for _, t in own)) for c in (0, 1)}
+        seen = {c: Counter(w for words, t in own if t == c for w in words) for c in (0, 1)}
+        z = {}
+        for w, k in seen[1].items():
+            share = (k + seen[0][w]) / (n[0] + n[1])
+            spread = share * (1 - share) * (1 / n[0] + 1 / n[1])
+            z[w] = (k / n[1] - seen[0][w] / n[0]) / np.sqrt(max(spread, 1e-12))
+        scores.append(z)
+    least = {w: min(z, scores[1][w]) for w, z in scores[0].items() if w in scores[1]}
+    bar = SUPPORT * max(least.values(), default=0.0)
+    where: dict[str, list[int]] = {w: [] for w, z in least.items() if z > 0 and z >= bar}
     need = {i: 3.0 for i in range(len(sets)) if y[i] == 1}
-    where: dict[str, list[int]] = {w: [] for w in odds}
     for i in need:
-        for w in sets[i] & odds.keys():
+        for w in sets[i] & where.keys():
             where[w].append(i)
-    picked: list[str] = []
-    while len(picked) < count * 3 // 4 and where:
-        best = max(where, key=lambda w: (odds[w] * sum(need[i] for i in where[w]), w))
+    toxic: list[str] = []
+    while len(toxic) < count * 3 // 4 and where:
+        best = max(where, key=lambda w: (least[w] * sum(need[i] for i in where[w]), w))
         if sum(need[i] for i in where[best]) <= 0:
             break
-        picked.append(best)
+        toxic.append(best)
         for i in where.pop(best):
             need[i] = max(0.0, need[i] - 1)
-    common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if w not in odds and len(w) >= 2 * ORDER]
-    return picked + common[: count - len(picked)]
+    common = Counter(w for words, t in zip(sets, y, strict=True) if t == 0 for w in words)
+    plain = [w for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0])) if least.get(w, 0.0) <= 0 and len(w) >= 2 * ORDER]
+    return toxic + plain[: min(count - len(toxic), max(len(toxic), count // 8))]
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, rounds: int = 400):
@@ -188,6 +237,9 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
 def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, rounds: int = 3) -> dict:
     docs = [sentences(t) for t in texts]
     marks = Landmarks(choose_landmarks(docs, y))
+    held = [{w for s in d for w in s} & set(marks.words) for d in docs]
+    seen = [Counter(w for words, t in zip(held, y, strict=True) if t == c for w in words) for c in (0, 1)]
+    toxic = {w for w in marks.words if seen[1][w] * (y == 0).sum() > seen[0][w] * (y == 1).sum()}
     words = sorted({w for d in docs for s in d for w in s})
     number = {w: i for i, w in enumerate(words)}
     raw = marks.kernel(words)
@@ -202,7 +254,7 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, rounds: int = 3) ->
         held = [raw[h].sum(0) @ nystrom for h in held if h]
         bags.append(np.array(held) if held else np.zeros((1, nystrom.shape[1])))
     bias = 0.0
-    gain = (np.arange(len(marks.words)) < len(marks.words) * 3 // 4).astype(float)
+    gain = np.array([1.0 if w in toxic else 0.0 for w in marks.words])
     coefficient = np.linalg.pinv(nystrom) @ gain
     for _ in range(rounds):
         top = np.array([b[np.argmax(b @ coefficient)] for b in bags])
@@ -244,13 +296,12 @@ class Scorer:
 
     def _learn(self, raws: list[str]) -> None:
         """Signed values of words as they stand between white space: zero only where
-        no landmark is near."""
+        no landmark has anything in common."""
         pieces, owner = [], []
         for i, raw in enumerate(raws):
-            if word := raw.strip(_EDGES):
-                own = stretches(word)
-                pieces += own
-                owner += [i] * len(own)
+            own = _pieces(raw)
+            pieces += own
+            owner += [i] * len(own)
         value, live = np.zeros(len(raws)), np.zeros(len(raws), bool)
         if pieces:
             kernel = self.marks.kernel(pieces)
@@ -260,7 +311,8 @@ class Scorer:
         self.cache.update(zip(raws, value.tolist(), strict=True))
 
     def margins(self, texts: list[str]) -> np.ndarray:
-        """The highest sentence margin of each text, over sentences near a landmark."""
+        """The highest sentence margin of each text, over sentences with something in
+        common with a landmark."""
         ends = np.cumsum([len(t) for t in texts]) // BLOCK_CHARS
         edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
         return np.concatenate([self._margins(texts[a:b]) for a, b in zip(edges, edges[1:], strict=False)])
@@ -268,32 +320,23 @@ class Scorer:
     def _margins(self, texts: list[str]) -> np.ndarray:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        cut = []
-        for text in texts:
-            text = text.lower()
-            for stop in _STOPS:
-                text = text.replace(stop, "\n")
-            cut.append([(part, part.split()) for part in text.split("\n")])
-        spelled = {}
-        for i, parts in enumerate(cut):
-            for j, (part, words) in enumerate(parts):
-                # A run of spelled letters takes four single characters at least.
-                if len(words) > 3 and (found := _SPELLED.findall(part)):
-                    spelled[i, j] = ["".join(run.split()) for run in found]
-        missing = set().union(*(words for parts in cut for _, words in parts), *spelled.values())
-        missing = missing.difference(self.cache)
+        lines = [[words for words in _lines(text) if words] for text in texts]
+        flat = [words for own in lines for words in own]
+        missing = set().union(*flat).difference(self.cache)
         if missing:
             self._learn(sorted(missing))
-        get, out = self.cache.__getitem__, np.zeros(len(texts))
-        for i, parts in enumerate(cut):
-            best = None
-            for j, (_, words) in enumerate(parts):
-                values = list(map(get, words))
-                if (i, j) in spelled:
-                    values += map(get, spelled[i, j])
-                if any(values) and (best is None or sum(values) > best):
-                    best = sum(values)
-            out[i] = best or 0.0
+        out = np.zeros(len(texts))
+        if flat:
+            sizes = np.fromiter(map(len, flat), np.int64, len(flat))
+            get = self.cache.__getitem__
+            values = np.fromiter(map(get, chain.from_iterable(flat)), np.float64, int(sizes.sum()))
+            first = np.cumsum(sizes) - sizes
+            total = np.add.reduceat(values, first)
+            total[~np.logical_or.reduceat(values != 0, first)] = -np.inf
+            counts = np.fromiter(map(len, lines), np.int64, len(lines))
+            some = np.flatnonzero(counts)
+            best = np.maximum.reduceat(total, (np.cumsum(counts) - counts)[some])
+            out[some] = np.where(np.isfinite(best), best, 0.0)
         return out + self.model["bias"]
 
 

@@ -178,9 +178,44 @@ def test_packing_odd_rows(spark, odd):
     assert packing.pack(packing.token_pieces(odd.where("false"), path)).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_null(spark):
+    big = (1 << 53) + 1
+    docs = spark.createDataFrame([(big, "a text"), (None, "no id"), (big + 2, None)], "doc_id long, text string")
+    rows = packing.pack(packing.token_pieces(docs, P.path("word_bpe_49k.json"))).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted([str(big), "None", str(big + 2)])
+
+
 # --- Suffix-array dedup
 
 
+def test_window_order_by_hand():
+    draw = np.random.default_rng(5)
+    texts = [bytes(draw.integers(97, 99, draw.integers(6, 40)).astype(np.uint8)) for _ in range(60)]
+    key = np.arange(60) // 2
+    data, owner, lo, hi, place, _, _ = suffix_dedup.parse(texts, span=6, gram=3)
+    begins = np.cumsum([0, *map(len, texts)])
+    which, start = suffix_dedup.order_windows(data, lo, place - lo, hi - lo + 6, key[owner], span=6, gram=3)
+    got = sorted(zip(owner[which].tolist(), (lo[which] + start - begins[owner[which]]).tolist(), strict=True))
+    first = {}
+    for i, t in enumerate(texts):
+        for at in range(len(t) - 5):
+            first[t[at : at + 6]] = min(first.get(t[at : at + 6], 99), int(key[i]))
+    assert got == [(i, at) for i, t in enumerate(texts) for at in range(len(t) - 5) if first[t[at : at + 6]] < key[i]]
+
+
+def test_repeats_with_small_slabs_and_carried_columns(spark, small, texts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLAB", 3000)
+    monkeypatch.setattr(suffix_dedup, "DEAL", 20_000)
+    draw = random.Random(11)
+    passage = "".join(draw.choices("abcdefg hij", k=400))
+    rows = {i: "".join(draw.choices("abcdefg hij", k=draw.randint(0, 900))) + passage[draw.randint(0, 200) :] for i in range(60)}
+    docs = spark.createDataFrame([(k, t, "s", "k") for k, t in rows.items()], "doc_id long, text string, spans string, lang string")
+    out = suffix_dedup.remove_repeats(docs.repartition(3), ("spans", "lang"))
+    assert out.columns == ["doc_id", "lang", "n_bytes", "spans", "kept"]
+    got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in out.collect()}
+    assert got == _cut_by_hand(rows)
+
+
 def _cut_by_hand(rows, span=50):
     seen, out = {}, {}
     for k, t in sorted(rows.items()):
@@ -307,6 +342,61 @@ def test_toxicity_above_a_higher_bar(spark):
     assert _auc(own.score.to_numpy(), own.toxic.to_numpy()) >= 0.75
 
 
+def test_toxicity_at_a_larger_scale(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = queries.op5_toxicity(spark, folder).toPandas()
+    own = rows.merge(pq.read_table(f"{folder}/labels.parquet").to_pandas(), on="doc_id")
+    own = own[own.held_out]
+    assert _auc(own.score.to_numpy(), own.toxic.to_numpy()) >= 0.9
+
+
+def test_toxicity_scores_against_brute_force(spark, small, texts, odd):
+    from stelae.runtime import read_table
+
+    docs = read_table(spark, small, "documents")
+    model = toxicity.train(docs, read_table(spark, small, "labels"))
+    d = toxicity.DECAY
+
+    def features(word):
+        out = {}
+        for i in range(len(word)):
+            for j in range(i + 1, len(word)):
+                for k in range(j + 1, len(word)):
+                    key = word[i] + word[j] + word[k]
+                    out[key] = out.get(key, 0) + d ** (k - i + 1)
+        return out
+
+    def kernel(a, b):
+        return sum(v * b.get(k, 0) for k, v in a.items())
+
+    marks = [features(w) for w in model["landmarks"]]
+    known = {}
+
+    def value(word):  # signed, or None without any common subsequence
+        if word not in known:
+            own = features(word)
+            k = [kernel(own, m) / np.sqrt((kernel(own, own) or 1) * kernel(m, m)) for m in marks]
+            known[word] = sum(w * x**toxicity.POWER for w, x in zip(model["weights"], k, strict=True)) if any(k) else None
+        return known[word]
+
+    def score(text):
+        sums = []
+        for words in toxicity.sentences(text or ""):
+            values = [v for w in words if (v := value(w)) is not None]
+            sums += [sum(values)] if values else []
+        margin = max(sums, default=0.0) + model["bias"]
+        return 1 / (1 + np.exp(-(model["slope"] * margin + model["shift"])))
+
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    some = sorted(texts)[::4]
+    assert [got[k] for k in some] == pytest.approx([score(texts[k]) for k in some], abs=1e-3)
+    # Null, empty, one word, repeated, long and other odd rows, by the trained machine.
+    rows = toxicity.score(odd.drop("score"), model).collect()
+    assert len(rows) == len(ODD_TEXTS)
+    for r in rows:
+        assert r.score == pytest.approx(score(r.text), abs=1e-3)
+
+
 def test_subsequence_kernel_by_hand():
     codes, _ = toxicity._codes(["cat", "car", "cart"], 4)
     d = toxicity.DECAY

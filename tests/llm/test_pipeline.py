@@ -62,3 +62,29 @@ def test_cuts_leave_whole_characters_and_those_of_the_source(spark, small):
             ends = [sum(map(len, held[: i + 1])) for i in range(len(held))]
             whole = b"".join(h for h, e in zip(held, ends, strict=True) if e <= a or e - len(h) >= b)
             assert suffix_dedup._without(text, suffix_dedup._whole_characters(text, [(a, b)])) == whole
+
+
+def test_different_texts_of_one_id_stay(spark, small):
+    import corpus_pipeline as pipeline
+
+    a, b = "the first text of words that repeats", "a wholly different text with other words in it"
+    rows = [(1, a), (2, a), (2, b), (None, b), (None, "still another text without an id"), (3, None), (4, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((str(r.doc_id), r.text or "") for r in pipeline.one_of_each_group(spark, docs, small).collect())
+    assert got == sorted([("1", a), ("2", b), ("3", ""), ("None", "still another text without an id")])
+
+
+def test_stages_of_an_empty_table_and_of_further_columns(spark, small):
+    import corpus_pipeline as pipeline
+    from stelae.runtime import read_table
+
+    docs = read_table(spark, small, "documents")
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, docs.where("false"), small).count() == 0, name
+    clash = [("score", "x"), ("kept", "y"), ("row", "z"), ("spans", "s"), ("label", "l"), ("carried", "c"), ("held", "h")]
+    rows = [(1, "plain words of one text, long enough to be kept whole", "en", "s", 10), (2, None, "en", "s", 0), (3, "", None, None, None), (4, "word " * 30_000, "en", "s", 1)]
+    odd = spark.createDataFrame([(*r, *[v for _, v in clash]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n, _ in clash))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, odd, small)
+        assert set(out.columns) == set(docs.columns) and out.count() in range(5), name
+    assert pipeline.STAGES[-1][1](spark, odd, small).where("doc_id = 4").count() == -(-30_001 // 4096)
