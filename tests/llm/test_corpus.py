@@ -448,6 +448,33 @@ def test_cover_tree_radii_hold():
         assert np.sqrt(((tree.points[a:b] - centre) ** 2).sum(1)).max() <= radius
 
 
+def test_block_pairs_are_pruned_and_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(covertree, "QUERY_ROWS", 10)
+    monkeypatch.setattr(covertree, "TASK_GROUPS", 2)
+    counted = {}
+    real = covertree.worth_searching
+
+    def counting(pairs, seeds):
+        left = real(pairs, seeds)
+        counted.update(all=pairs.count(), left=left.count(), asked=seeds.count())
+        return left
+
+    monkeypatch.setattr(covertree, "worth_searching", counting)
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(12, 6)) * 8
+    points = [(i, (centres[i % 12] + draw.normal(size=6) * 0.2).tolist()) for i in range(900)] + [(900 + i, centres[3].tolist()) for i in range(300)]
+    vectors = spark.createDataFrame(points, "vec_id long, embedding array<double>")
+    got = {}
+    for r in covertree.top_k(vectors, F.col("id") % 50 == 0, 5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.id, r.score))
+    whole = {i: np.floor(256 * np.array(v)).astype(int) for i, v in points}
+    for q in (i for i in whole if i % 50 == 0):
+        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert counted["left"] < 0.8 * (counted["all"] - covertree.SEEDS * counted["asked"]) and counted["asked"] > 2
+
+
 # --- Fingerprints
 
 
