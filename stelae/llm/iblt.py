@@ -1,8 +1,8 @@
 """Document fingerprints as invertible Bloom lookup tables, in Spark expressions.
 
-A text's units are its lines, cut further after a sentence end before a capital from
-A to E (a boundary that only nearby characters decide). The digests of its distinct
-units go to three cells each; a cell holds their number, the XOR of the digests and
+A text's units are passages: lines and sentences (of any script), of which each with an
+even digest ends a passage, so that only nearby text decides where one ends. The
+digests of its distinct units go to three cells each; a cell holds their number, the XOR of the digests and
 the XOR of their check values. The difference of two tables is taken cell by cell;
 peeling cells that hold one digest recovers the digests that only one side has. Where
 peeling stops early the digests are dealt to smaller groups with more cells each,
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from stelae.runtime import stored
 
 #: Cells of the fingerprint itself; digests per group and cells per group when it
-#: fails, and when that fails; rounds of peeling.
-BASE_CELLS, GROUP_ITEMS, GROUP_CELLS, WIDE_CELLS, ROUNDS = 18, 8, 24, 66, 10
-UNIT_END = r"\n|(?<=[.!?|]) (?=[A-E])"
+#: fails, and when that fails.
+BASE_CELLS, GROUP_ITEMS, GROUP_CELLS, WIDE_CELLS = 18, 8, 24, 66
+SENTENCE_END = r"\n|(?<=[.!?|]) |(?<=[。！？])"
 BUCKET_IDS, BROADCAST_ROWS = 512, 100_000
 
 _CELL = "struct<n:int,k:bigint,c:bigint>"
@@ -37,8 +37,15 @@ def _let(value: Column, body) -> Column:
 
 
 def digests(text: Column) -> Column:
-    units = F.split(F.coalesce(text, F.lit("")), UNIT_END, -1)
-    return F.array_distinct(F.transform(units, lambda u: F.xxhash64(u)))
+    sentences = F.transform(F.split(F.coalesce(text, F.lit("")), SENTENCE_END, -1), lambda u: F.xxhash64(u))
+
+    def passages(d: Column) -> Column:
+        last = F.size(d) - 1
+        ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.pmod(F.get(d, i), F.lit(2)) == 0))
+        begin = lambda e, j: F.coalesce(F.get(e, j - 1) + 1, F.lit(0))
+        return _let(ends, lambda e: F.transform(e, lambda x, j: F.xxhash64(F.slice(d, begin(e, j) + 1, x - begin(e, j) + 1))))
+
+    return F.array_distinct(_let(sentences, passages))
 
 
 def _check(key: Column) -> Column:
@@ -108,7 +115,7 @@ def peel(difference: Column, count: int) -> Column:
         )
 
     start = F.struct(difference.alias("cells"), F.array().cast(f"array<{_CELL}>").alias("out")).cast(_STATE)
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(count)), start, step)  # a round peels one cell at least
     rest = lambda s: F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0))
     return _let(end, lambda s: F.when(~rest(s), s["out"]))
 
@@ -120,23 +127,45 @@ def _as_sets(a: Column, b: Column) -> Column:
     return F.concat(side(F.array_except(a, b), 1), side(F.array_except(b, a), -1))
 
 
+def _grouped(a: Column, b: Column, groups: Column) -> Column:
+    """The digests of both sides dealt to groups: sorted by group behind one mark for
+    each group, and cut at the marks."""
+    entry = "struct<g:bigint,side:int,k:bigint>"
+
+    def side(keys, n):
+        group = lambda k: F.pmod(F.shiftrightunsigned(k, 3), groups)
+        return F.transform(keys, lambda k: F.struct(group(k).alias("g"), F.lit(n).alias("side"), k.alias("k")).cast(entry))
+
+    marks = F.transform(
+        F.sequence(F.lit(0).cast("long"), groups - 1),
+        lambda g: F.struct(g.alias("g"), F.lit(-1).alias("side"), F.lit(0).cast("long").alias("k")).cast(entry),
+    )
+
+    def cut(x: Column) -> Column:
+        at = F.filter(F.transform(x, lambda e, i: F.when(e["side"] < 0, i)), lambda i: i.isNotNull())
+        stop = lambda p, j: F.coalesce(F.get(p, j + 1), F.size(x))
+        return _let(at, lambda p: F.transform(p, lambda i, j: F.slice(x, i + 2, stop(p, j) - i - 1)))
+
+    return _let(F.array_sort(F.concat(marks, side(a, 0), side(b, 1))), cut)
+
+
 def difference(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
     """The digests that only one side has, from the base tables if they can be peeled."""
     groups = F.ceil(F.greatest(F.size(a), F.size(b)) / GROUP_ITEMS).cast("long")
 
-    def group(g):
-        own = lambda keys: F.filter(keys, lambda k: F.pmod(F.shiftrightunsigned(k, 3), groups) == g)
-        return _let(F.struct(own(a).alias("a"), own(b).alias("b")), wider)
+    def group(entries):
+        own = lambda n: F.transform(F.filter(entries, lambda e: e["side"] == n), lambda e: e["k"])
+        return _let(F.struct(own(0).alias("a"), own(1).alias("b")), wider)
 
     def wider(x):
         tried = [peel(subtract(cells(x["a"], n), cells(x["b"], n)), n) for n in (GROUP_CELLS, WIDE_CELLS)]
         return F.coalesce(*tried, _as_sets(x["a"], x["b"]))
 
-    larger = F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), groups - 1), group))
+    larger = F.flatten(F.transform(_grouped(a, b, groups), group))
+    # A table gives back no more digests than it has cells, so some need not be tried.
+    few = F.abs(F.size(a) - F.size(b)) <= BASE_CELLS
     return F.when(a_cells == b_cells, F.array().cast(f"array<{_CELL}>")).otherwise(
-        F.coalesce(
-            F.when(F.abs(F.size(a) - F.size(b)) <= BASE_CELLS, peel(subtract(a_cells, b_cells), BASE_CELLS)), larger
-        )
+        F.coalesce(F.when(few, peel(subtract(a_cells, b_cells), BASE_CELLS)), larger)
     )
 
 
@@ -163,10 +192,10 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("key"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("bucket", F.floor(F.col("key") / BUCKET_IDS))
-    firsts = stored(rows.groupBy("bucket").agg(F.min("key").alias("key")), "buckets")
-    firsts = firsts.withColumn("block", F.floor(F.col("bucket") / BUCKET_IDS))
+    firsts = rows.groupBy("bucket").agg(F.min("key").alias("key")).repartitionByRange("bucket")
+    firsts = stored(firsts.withColumn("block", F.spark_partition_id()), "buckets")
     blocks = firsts.groupBy("block").agg(F.max("bucket").alias("last"), F.min("bucket").alias("bucket"))
-    order = Window.orderBy("bucket")  # of buckets' blocks: one row for 2^18 neighbouring ids
+    order = Window.orderBy("bucket")  # of ranges: no more rows than shuffle partitions
     blocks = blocks.select("bucket", F.lag("last").over(order).alias("last_before"))
     ends = firsts.agg(F.max("bucket").alias("end"))
     inner = F.lag("bucket").over(Window.partitionBy("block").orderBy("bucket"))

@@ -16,8 +16,8 @@ shingle; then only documents that are still in different components meet. Every
 candidate's similarity is worked out from the whole sets.
 
 Defined results: null text is empty text, with fingerprint zero, linked like any
-other; equal texts and repeated rows share a fingerprint; rows with a null id keep
-their fingerprint and component; an empty table gives no rows; further columns are
+other; equal texts and repeated rows share a fingerprint; texts of any length
+are read whole; rows with a null id keep their fingerprint and component; an empty table gives no rows; further columns are
 ignored.
 """
 
@@ -94,6 +94,16 @@ def segment_counts(half: Column) -> Column:
     return half - F.shiftright(half, 1).bitwiseAND(F.lit(_EVEN_BITS))
 
 
+def manhattan(a: Column, b: Column) -> Column:
+    """Distance of the segment counts of two fingerprints. A count is written as two
+    bits, one where any bit is set and one where both are, so that the bits that differ
+    add up to the distance."""
+    even = F.lit(0x5555555555555555)
+    any_ = lambda x: x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(even)
+    both = lambda x: x.bitwiseAND(F.shiftrightunsigned(x, 1)).bitwiseAND(even)
+    return F.bit_count(any_(a).bitwiseXOR(any_(b))) + F.bit_count(both(a).bitwiseXOR(both(b)))
+
+
 def _half(fp: Column, index: int) -> Column:
     return (F.shiftrightunsigned(fp, 32) if index else fp).bitwiseAND(F.lit(0xFFFFFFFF))
 
@@ -118,8 +128,9 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
         probes.append(F.transform(near, _in_half(index)))
     at = points.select(F.col("fp").alias("a"), F.explode(F.array(*cells)).alias("at")).select("a", "at.half", "at.cell")
     to = points.select(F.col("fp").alias("b"), F.explode(F.concat(*probes)).alias("at")).select("b", "at.half", "at.cell")
+    bound = manhattan(F.col("a"), F.col("b")) <= radius
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, radius)
-    pairs = at.join(to, ["half", "cell"]).where(apart)
+    pairs = at.join(to, ["half", "cell"]).where(bound & apart)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -480,7 +480,17 @@ def test_block_pairs_are_pruned_and_lose_nothing(spark, monkeypatch):
 
 def test_fingerprints_against_sets(spark, small, texts):
     got = {r.doc_id: r for r in queries.op8_iblt(spark, small).collect()}
-    units = lambda t: set(re.split(r"\n|(?<=[.!?|]) (?=[A-E])", t))
+    from xxhash import xxh64_intdigest
+
+    def units(text):
+        found, held = set(), []
+        for sentence in re.split(r"\n|(?<=[.!?|]) |(?<=[。！？])", text):
+            held.append(sentence)
+            if xxh64_intdigest(sentence.encode(), 42) % 2 == 0:
+                found.add(tuple(held))
+                held = []
+        return found | ({tuple(held)} if held else set())
+
     like = lambda a, b: len(units(a) & units(b)) / len(units(a) | units(b))
     keys = sorted(texts)
     assert sorted(got) == keys
@@ -511,6 +521,34 @@ def test_next_text_over_gaps_and_odd_rows(spark, odd):
     assert iblt.with_next_text(odd).count() == len(ODD_TEXTS) and iblt.with_next_text(odd.where("false")).count() == 0
 
 
+def test_next_text_and_likeness_of_long_and_other_texts(spark):
+    many = "".join(f"Satz {i} ist da. " for i in range(20_000))
+    rows = [(1, many), (1 << 40, many + "Ende."), (1 << 60, "一句話。另一句！第三句？"), (-5, "第三句？一句話。")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = iblt.with_next_text(docs).select("id", iblt.digests(F.col("text")).alias("a"), iblt.digests(F.col("next_text")).alias("b"))
+    out = out.select("*", *[iblt.cells(F.col(x), iblt.BASE_CELLS).alias(f"{x}_cells") for x in "ab"])
+    lost = iblt.difference(F.col("a"), F.col("b"), F.col("a_cells"), F.col("b_cells"))
+    got = {r.id: (set(r.a), set(r.b), {x.k for x in r.d}) for r in out.select("id", "a", "b", lost.alias("d")).collect()}
+    assert all(a ^ b == d for a, b, d in got.values()) and len(got) == 4
+    assert len(got[1][0]) > 5000 and len(got[1][2]) <= 4
+
+
+def test_totals_over_several_chunks(spark):
+    values = [i % 7 for i in range(1000)]
+    row = spark.createDataFrame([(values,)], "v array<bigint>").select(chat._totals(F.col("v")).alias("t")).first()
+    assert list(row.t) == np.concatenate([[0], np.cumsum(values)[:-1]]).tolist()
+
+
+def test_embedding_distance_is_a_lower_bound(spark):
+    draw = random.Random(1)
+    pairs = [(draw.getrandbits(63), draw.getrandbits(63)) for _ in range(200)]
+    pairs += [(a, a ^ sum(1 << i for i in draw.sample(range(63), 3))) for a, _ in pairs]
+    counts = lambda x: [bin(x >> 2 * i & 3).count("1") for i in range(32)]
+    got = spark.createDataFrame(pairs, "a long, b long").select("a", "b", simhash.manhattan(F.col("a"), F.col("b")).alias("m")).collect()
+    for r in got:
+        assert r.m == sum(abs(x - y) for x, y in zip(counts(r.a), counts(r.b), strict=True)) <= bin(r.a ^ r.b).count("1")
+
+
 # --- Chat
 
 
