@@ -164,12 +164,11 @@ def _order(held: np.ndarray, ranked: np.ndarray, seen: np.ndarray) -> np.ndarray
 
 
 def shingle_sets(
-    docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction, ranked: np.ndarray, seen: np.ndarray
+    docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction | None, ranked: np.ndarray, seen: np.ndarray
 ) -> DataFrame:
-    """-> id, fp, node (digest of the set of shingles), n (its size), held (the set),
-    prefix (those of which two similar sets share one)."""
+    """-> id, fp, node (digest of the set of shingles), n (its size), held: those of which
+    two similar sets share one, or without ``least`` the whole set."""
     ship_package(docs.sparkSession)
-    top, under = least.numerator, least.denominator
 
     def run(batches):
         from xxhash import xxh64_intdigest as digest
@@ -181,27 +180,28 @@ def shingle_sets(
             for text in batch.column(1):
                 hashes = simhash.shingles(text.as_py() or "", width)
                 held = np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
-                n = len(held)
-                prefix = simhash._order(held, ranked, seen)[: n - -(-n * top // under) + 1]
-                node = np.uint64(digest(held.tobytes(), simhash.SEED))
-                rows.append((simhash.majority(hashes), node, n, held.view(np.int64), prefix.view(np.int64)))
-            fp, node, n, held, prefix = zip(*rows, strict=True)
+                n, node = len(held), np.uint64(digest(held.tobytes(), simhash.SEED))
+                if least is not None:
+                    most = n - -(-n * least.numerator // least.denominator) + 1
+                    held = simhash._order(held, ranked, seen)[:most]
+                rows.append((simhash.majority(hashes), node, n, held.view(np.int64)))
+            fp, node, n, held = zip(*rows, strict=True)
             unsigned = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (held, prefix)]
-            arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), *lists]
-            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "held", "prefix"])
+            arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), pa.array(held, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "held"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, fp long, node long, n long, held array<long>, prefix array<long>"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, fp long, node long, n long, held array<long>")
+
+
+_NONE = np.empty(0, np.uint64), np.empty(0, np.int64)
 
 
-def _often_seen(docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction):
+def _often_seen(docs: DataFrame, id_col: str, text_col: str, width: int):
     """Shingles of several documents of a sample, ascending, and of how many."""
-    none = np.empty(0, np.uint64), np.empty(0, np.int64)
     step = max(1, docs.count() // SAMPLE)
     some = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(step)) == 0)
-    held = shingle_sets(some, id_col, text_col, width, least, *none).select(F.explode("held").alias("shingle"))
+    held = shingle_sets(some, id_col, text_col, width, None, *_NONE).select(F.explode("held").alias("shingle"))
     counts = held.groupBy("shingle").count().where(F.col("count") >= LEAST_SEEN)
     got = counts.orderBy(F.desc("count"), "shingle").limit(MOST_RANKED).toArrow()
     ranked, seen = got["shingle"].to_numpy().view(np.uint64), got["count"].to_numpy()
@@ -209,17 +209,24 @@ def _often_seen(docs: DataFrame, id_col: str, text_col: str, width: int, least:
     return ranked[by], seen[by]
 
 
-def similar_sets(own: DataFrame, least: Fraction) -> DataFrame:
-    """own (row, node, n, held, prefix; nodes may repeat) -> a, b: pairs of nodes of at
-    least this similarity, enough of them that every such pair is connected."""
+def _text_digests(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two")
+
+
+def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction) -> DataFrame:
+    """own (row, node, n, held: the prefix, id, one, two: digests of the text; nodes may
+    repeat), texts (id, text) -> a, b: pairs of nodes of at least this similarity, enough of
+    them that every such pair is connected. Whole sets are made again from the texts,
+    only for nodes of pairs whose prefixes and sizes leave them in question."""
     top, under = least.numerator, least.denominator
     ones = stored(own.groupBy("node").agg(F.min("row").alias("row")).select("row"), "ones")
-    sets = own.join(ones, "row").select("node", "n", "held", "prefix")
-    tokens = sets.select("node", "n", F.explode("prefix").alias("token"))
+    first = own.join(ones, "row")
+    tokens = first.select("node", "n", F.explode("held").alias("token"))
     groups = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("hub"))
     groups = groups.where("size > 1").select("token", "hub")
     tokens = stored(tokens.join(groups, "token"), "shared_tokens")
     sized = (F.col("na") * under >= F.col("nb") * top) & (F.col("nb") * under >= F.col("na") * top)
+    digests = texts.select("id", *_text_digests(F.col("text")), "text")
 
     def enough(common: Column) -> Column:  # common shingles for the similarity
         return common * (top + under) >= (F.col("na") + F.col("nb")) * top
@@ -230,8 +237,14 @@ def similar_sets(own: DataFrame, least: Fraction) -> DataFrame:
         beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
         pairs = meetings.where(sized).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("met"))
         pairs = stored(pairs.where(enough(F.col("met") + beyond)).drop("met"), "pairs")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = first.join(nodes, "node").select(F.col("node").alias("of"), *[F.col(c).alias(f"its_{c}") for c in ("id", "one", "two")])
+        same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("id", "one", "two")]
+        found = digests.join(stored(wanted, "wanted"), same).dropDuplicates(["id", "one", "two"])
+        sets = shingle_sets(found.select("of", "text"), "of", "text", width, None, *_NONE)
+        sets = stored(sets.select("of", "held"), "sets")
         for x in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("held").alias(f"held_{x}")), x)
+            pairs = pairs.join(sets.select(F.col("of").alias(x), F.col("held").alias(f"held_{x}")), x)
         common = F.size(F.array_intersect("held_a", "held_b"))
         return stored(pairs.where(enough(common)).select("a", "b"), "similar")
 
@@ -258,8 +271,9 @@ def near_duplicates(
     if not 0 < least <= 1:
         raise ValueError("the similarity must lie above 0, and at 1 or below")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    often = _often_seen(docs, "id", "text", width, least)
-    own = shingle_sets(docs, "id", "text", width, least, *often).withColumn("row", F.monotonically_increasing_id())
-    own = stored(own, "shingle_sets")
-    found = stored(similar_sets(own.select("row", "node", "n", "held", "prefix"), least), "links")
+    often = _often_seen(docs, "id", "text", width)
+    keyed = docs.select(F.struct("id", *_text_digests(F.col("text"))).alias("keys"), "text")
+    own = shingle_sets(keyed, "keys", "text", width, least, *often).select("keys.*", "fp", "node", "n", "held")
+    own = stored(own.withColumn("row", F.monotonically_increasing_id()), "shingle_sets")
+    found = stored(similar_sets(own, docs, width, least), "links")
     return _with_components(own.select("id", "fp", "node"), found, "node").withColumnRenamed("id", id_col)
