@@ -12,8 +12,9 @@ similarity share one of the first shingles of each in any common order (prefix
 filter), so pairs that share none are never looked at and no pair is lost, however
 far its fingerprints lie apart. Shingles that a sample finds in several documents
 come last in the order. First each document meets the least document of each shared
-shingle; then only documents that are still in different components meet. Every
-candidate's similarity is worked out from the whole sets.
+shingle; then only documents that are still in different components meet, and of these
+pairs only those whose sketches (parities of shingles by bit) leave them in question.
+Every candidate's similarity is worked out from the whole sets.
 
 Defined results: null text is empty text, with fingerprint zero, linked like any
 other; equal texts and repeated rows share a fingerprint; texts of any length
@@ -38,6 +39,7 @@ SEED, SHINGLE, RADIUS = 42, 3, 3
 #: documents of the sample, shingles that it ranks at most, documents from which on.
 WIDE_SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, MOST_RANKED, LEAST_SEEN = 10_000, 200_000, 3
+SKETCH = 8  # words of 64 bits in which a shingle set is sketched
 BLOCK_ROWS = 512  # whose shingle sets are held at once
 _EVEN_BITS = 0x55555555
 
@@ -163,11 +165,18 @@ def _order(held: np.ndarray, ranked: np.ndarray, seen: np.ndarray) -> np.ndarray
     return held[np.argsort(np.where(ranked[at] == held, seen[at], 0), kind="stable")]
 
 
+def sketch(held: np.ndarray) -> np.ndarray:
+    """The parity of how many digests fall on each bit. Sets that differ in d digests have
+    sketches that differ in d bits at most."""
+    bits = np.bincount((held >> np.uint64(32)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def shingle_sets(
     docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction | None, ranked: np.ndarray, seen: np.ndarray
 ) -> DataFrame:
-    """-> id, fp, node (digest of the set of shingles), n (its size), held: those of which
-    two similar sets share one, or without ``least`` the whole set."""
+    """-> id, fp, node (digest of the set of shingles), n (its size), bits (its sketch),
+    held: those of which two similar sets share one, or without ``least`` the whole set."""
     ship_package(docs.sparkSession)
 
     def run(batches):
@@ -180,18 +189,18 @@ def shingle_sets(
             for text in batch.column(1):
                 hashes = simhash.shingles(text.as_py() or "", width)
                 held = np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
-                n, node = len(held), np.uint64(digest(held.tobytes(), simhash.SEED))
+                n, node, bits = len(held), np.uint64(digest(held.tobytes(), simhash.SEED)), simhash.sketch(held)
                 if least is not None:
                     most = n - -(-n * least.numerator // least.denominator) + 1
                     held = simhash._order(held, ranked, seen)[:most]
-                rows.append((simhash.majority(hashes), node, n, held.view(np.int64)))
-            fp, node, n, held = zip(*rows, strict=True)
+                rows.append((simhash.majority(hashes), node, n, bits, held.view(np.int64)))
+            fp, node, n, bits, held = zip(*rows, strict=True)
             unsigned = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, node)]
-            arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), pa.array(held, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "held"])
+            arrays = [batch.column(0), *unsigned, pa.array(n, pa.int64()), *[pa.array(x, pa.list_(pa.int64())) for x in (bits, held)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "bits", "held"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, fp long, node long, n long, held array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, fp long, node long, n long, bits array<long>, held array<long>")
 
 
 _NONE = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -214,7 +223,7 @@ def _text_digests(text: Column) -> tuple[Column, Column]:
 
 
 def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction) -> DataFrame:
-    """own (row, node, n, held: the prefix, id, one, two: digests of the text; nodes may
+    """own (row, node, n, bits, held: the prefix, id, one, two: digests of the text; nodes may
     repeat), texts (id, text) -> a, b: pairs of nodes of at least this similarity, enough of
     them that every such pair is connected. Whole sets are made again from the texts,
     only for nodes of pairs whose prefixes and sizes leave them in question."""
@@ -255,10 +264,20 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
     rest = tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rest = stored(rest, "rest")
     mixed = rest.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = stored(rest.join(mixed.select("token"), "token"), "mixed")
-    a = rest.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("root_a"))
-    b = rest.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"))
-    return found.unionByName(similar(a.join(b, "token").where("root_a < root_b")))
+    rest = rest.join(mixed.select("token"), "token")
+    words = [F.get("bits", i).alias(f"word{i}") for i in range(SKETCH)]
+    rest = stored(rest.join(first.select("node", *words), "node"), "mixed")
+
+    def side(x: str) -> DataFrame:
+        named = {"node": x, "n": f"n{x}", "root": f"root_{x}"} | {f"word{i}": f"{x}{i}" for i in range(SKETCH)}
+        return rest.select("token", *[F.col(k).alias(v) for k, v in named.items()])
+
+    # The sketches bound from below how many shingles two sets don't share.
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, SKETCH)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    both = F.col("na") + F.col("nb")
+    pairs = side("a").join(side("b"), "token").where(F.col("root_a") < F.col("root_b"))
+    pairs = pairs.where(sized & ((both - apart) * (top + under) >= both * (2 * top)))
+    return found.unionByName(similar(pairs.select("a", "na", "b", "nb")))
 
 
 def near_duplicates(
@@ -273,7 +292,7 @@ def near_duplicates(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     often = _often_seen(docs, "id", "text", width)
     keyed = docs.select(F.struct("id", *_text_digests(F.col("text"))).alias("keys"), "text")
-    own = shingle_sets(keyed, "keys", "text", width, least, *often).select("keys.*", "fp", "node", "n", "held")
+    own = shingle_sets(keyed, "keys", "text", width, least, *often).select("keys.*", "fp", "node", "n", "bits", "held")
     own = stored(own.withColumn("row", F.monotonically_increasing_id()), "shingle_sets")
     found = stored(similar_sets(own, docs, width, least), "links")
     return _with_components(own.select("id", "fp", "node"), found, "node").withColumnRenamed("id", id_col)

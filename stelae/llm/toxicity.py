@@ -22,7 +22,6 @@ known class, else 0); an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from functools import cache
 from itertools import chain, combinations
 
@@ -183,40 +182,40 @@ def sentences(text: str) -> list[list[str]]:
     return [words for words in found if words]
 
 
-def choose_landmarks(docs: list[list[list[str]]], y: np.ndarray, count: int = LANDMARKS) -> list[str]:
+def choose_landmarks(words: list[str], docs: list[np.ndarray], y: np.ndarray, count: int = LANDMARKS) -> list[str]:
     """Words that toxic documents hold more often than others do in either half of the
     training documents (the halves take turns) by a z score of at least SUPPORT of the
     best, picked so that each toxic document holds several; then frequent words of the
-    others, as many at most."""
-    sets = [{w for s in d for w in s if ORDER <= len(w) <= LONGEST} for d in docs]
-    scores: list[dict[str, float]] = []
+    others, as many at most. docs: the numbers of each document's distinct words."""
+    fit_ = np.fromiter((ORDER <= len(w) <= LONGEST for w in words), bool, len(words))
+    docs = [d[fit_[d]] for d in docs]
+    tally = lambda some: np.bincount(np.concatenate([*some, np.empty(0, np.int64)]), minlength=len(words))
+    scores = []
     for half in (0, 1):
-        own = [(words, t) for words, t in zip(sets[half::2], y[half::2], strict=True)]
-        n = {c: max(1, sum(t == c for _, t in own)) for c in (0, 1)}
-        seen = {c: Counter(w for words, t in own if t == c for w in words) for c in (0, 1)}
-        z = {}
-        for w, k in seen[1].items():
-            share = (k + seen[0][w]) / (n[0] + n[1])
-            spread = share * (1 - share) * (1 / n[0] + 1 / n[1])
-            z[w] = (k / n[1] - seen[0][w] / n[0]) / np.sqrt(max(spread, 1e-12))
-        scores.append(z)
-    least = {w: min(z, scores[1][w]) for w, z in scores[0].items() if w in scores[1]}
-    bar = SUPPORT * max(least.values(), default=0.0)
-    where: dict[str, list[int]] = {w: [] for w, z in least.items() if z > 0 and z >= bar}
-    need = {i: 3.0 for i in range(len(sets)) if y[i] == 1}
+        own = list(zip(docs[half::2], y[half::2], strict=True))
+        n = [max(1, sum(t == c for _, t in own)) for c in (0, 1)]
+        seen = [tally([d for d, t in own if t == c]) for c in (0, 1)]
+        share = (seen[0] + seen[1]) / (n[0] + n[1])
+        spread = share * (1 - share) * (1 / n[0] + 1 / n[1])
+        scores.append((seen[1] / n[1] - seen[0] / n[0]) / np.sqrt(np.maximum(spread, 1e-12)) * (seen[1] > 0))
+    least = np.minimum(*scores)
+    held = (least > 0) & (least >= SUPPORT * least.max(initial=0.0))
+    need = {i: 3.0 for i in range(len(docs)) if y[i] == 1}
+    where: dict[int, list[int]] = {w: [] for w in np.flatnonzero(held).tolist()}
     for i in need:
-        for w in sets[i] & where.keys():
+        for w in docs[i][held[docs[i]]].tolist():
             where[w].append(i)
     toxic: list[str] = []
     while len(toxic) < count * 3 // 4 and where:
-        best = max(where, key=lambda w: (least[w] * sum(need[i] for i in where[w]), w))
+        best = max(where, key=lambda w: (least[w] * sum(need[i] for i in where[w]), words[w]))
         if sum(need[i] for i in where[best]) <= 0:
             break
-        toxic.append(best)
+        toxic.append(words[best])
         for i in where.pop(best):
             need[i] = max(0.0, need[i] - 1)
-    common = Counter(w for words, t in zip(sets, y, strict=True) if t == 0 for w in words)
-    plain = [w for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0])) if least.get(w, 0.0) <= 0 and len(w) >= 2 * ORDER]
+    common = tally([d for d, t in zip(docs, y, strict=True) if t == 0])
+    order = sorted(np.flatnonzero((common > 0) & (least <= 0)).tolist(), key=lambda w: (-common[w], words[w]))
+    plain = [words[w] for w in order if len(words[w]) >= 2 * ORDER]
     return toxic + plain[: min(count - len(toxic), max(len(toxic), count // 8))]
 
 
@@ -235,26 +234,32 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
 
 
 def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, rounds: int = 3) -> dict:
-    docs = [sentences(t) for t in texts]
-    marks = Landmarks(choose_landmarks(docs, y))
-    held = [{w for s in d for w in s} & set(marks.words) for d in docs]
-    seen = [Counter(w for words, t in zip(held, y, strict=True) if t == c for w in words) for c in (0, 1)]
-    toxic = {w for w in marks.words if seen[1][w] * (y == 0).sum() > seen[0][w] * (y == 1).sum()}
-    words = sorted({w for d in docs for s in d for w in s})
-    number = {w: i for i, w in enumerate(words)}
-    raw = marks.kernel(words)
-    base = marks.kernel(marks.words)
+    number: dict[str, int] = {}
+    docs = []  # numbers of words, and of how many words a sentence has
+    for text in texts:
+        found = sentences(text)
+        flat = np.array([number.setdefault(w, len(number)) for words in found for w in words], np.int64)
+        docs.append((flat, np.array([len(words) for words in found], np.int64)))
+    words = list(number)
+    sets = [np.unique(flat) for flat, _ in docs]
+    marks = Landmarks(choose_landmarks(words, sets, y))
+    at = np.array([number[w] for w in marks.words], np.int64)
+    seen = [np.bincount(np.concatenate([*[d for d, t in zip(sets, y, strict=True) if t == c], at]), minlength=len(words))[at] - 1 for c in (0, 1)]
+    gain = (seen[1] * (y == 0).sum() > seen[0] * (y == 1).sum()).astype(float)
+    base = marks.kernel(marks.words).astype(float)
     base = (base + base.T) / 2 + 1e-3 * np.eye(len(base))
     values, vectors = np.linalg.eigh(base)
     nystrom = vectors / np.sqrt(np.maximum(values, 1e-3))
+    raw = marks.kernel(words)
     live = raw.any(1)
-    bags = []
-    for d in docs:
-        held = [[number[w] for w in s if live[number[w]]] for s in d]
-        held = [raw[h].sum(0) @ nystrom for h in held if h]
-        bags.append(np.array(held) if held else np.zeros((1, nystrom.shape[1])))
+    small, bags = nystrom.astype(np.float32), []
+    for flat, sizes in docs:
+        of = np.repeat(np.arange(len(sizes)), sizes)[live[flat]]
+        flat = flat[live[flat]]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        bags.append(np.add.reduceat(raw[flat], first) @ small if len(flat) else np.zeros((1, small.shape[1]), np.float32))
+    del raw, number, words, sets, docs
     bias = 0.0
-    gain = np.array([1.0 if w in toxic else 0.0 for w in marks.words])
     coefficient = np.linalg.pinv(nystrom) @ gain
     for _ in range(rounds):
         top = np.array([b[np.argmax(b @ coefficient)] for b in bags])
