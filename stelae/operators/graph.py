@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,20 +66,21 @@ def degrees(nodes: DataFrame, edges: DataFrame, types: list[str] | None = None)
     """stable_id, in_degree, out_degree; nodes without edges have zero."""
     kept = edges if types is None else edges.where(F.col("type").isin(*types))
     ends = kept.select(F.explode(F.array(F.struct(F.col("from_id").alias("id"), F.lit(0).alias("came")), F.struct(F.col("to_id").alias("id"), F.lit(1).alias("came")))).alias("e"))
-    count = ends.groupBy(F.col("e.id").alias("stable_id")).agg(
+    counted = ends.groupBy(F.col("e.id").alias("stable_id")).agg(
         F.sum("e.came").alias("in_degree"), F.sum(1 - F.col("e.came")).alias("out_degree")
     )
-    return nodes.join(count, "stable_id", "left").select(
+    return nodes.join(counted, "stable_id", "left").select(
         *nodes.columns, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("in_degree", "out_degree")]
     )
 
 
-def reach(edges: DataFrame, roots: DataFrame, most_steps: int = 14) -> DataFrame:
-    """stable_id, depth of everything that directed edges reach from the roots: frontier
-    joins against what has been visited, cut each round; a cycle ends by itself."""
+def reach(edges: DataFrame, roots: DataFrame, most_steps: int | None = None) -> DataFrame:
+    """stable_id, depth of everything that directed edges reach from the roots (in
+    ``most_steps`` at most, if given): frontier joins against what has been visited, cut
+    each round; a cycle ends by itself."""
     visited = stored(roots.select("stable_id", F.lit(0).alias("depth")).distinct(), "reach")
-    frontier, steps = visited, edges.select("from_id", "to_id").distinct()
-    for depth in range(1, most_steps + 1):
+    frontier, steps = visited, stored(edges.select("from_id", "to_id").distinct(), "steps")
+    for depth in count(1) if most_steps is None else range(1, most_steps + 1):
         fresh = frontier.join(steps, frontier.stable_id == steps.from_id).select(F.col("to_id").alias("stable_id")).distinct()
         fresh = fresh.join(visited, "stable_id", "left_anti").withColumn("depth", F.lit(depth))
         frontier = stored(fresh, "frontier")
@@ -113,6 +116,31 @@ def neighbours(edges: DataFrame, owning: str) -> DataFrame:
     )
 
 
+def neighbour_counts(edges: DataFrame, owning: str) -> DataFrame:
+    """stable_id, n: how many nodes ``neighbours`` gives, each once. Siblings under a single
+    owner are counted by the owner's children; only nodes of several owners are paired."""
+    own = edges.where(F.col("type") == owning).select(F.col("to_id").alias("stable_id"), F.col("from_id").alias("owner"))
+    own = stored(own.distinct(), "owned")
+    owners_of = own.groupBy("stable_id").agg(F.count(F.lit(1)).alias("n"))
+    children = own.groupBy("owner").agg(F.count(F.lit(1)).alias("children"))
+    several = owners_of.where("n > 1").select("stable_id")
+    one = own.join(several, "stable_id", "left_anti").join(children, "owner").select("stable_id", (F.col("children") - 1).alias("n"))
+    other = own.select("owner", F.col("stable_id").alias("neighbour"))
+    pairs = own.join(several, "stable_id").join(other, "owner").where(F.col("stable_id") != F.col("neighbour"))
+    paired = pairs.groupBy("stable_id").agg(F.countDistinct("neighbour").alias("n"))
+    targets = edges.where(F.col("type") != owning).select(F.col("from_id").alias("stable_id"), F.col("to_id").alias("neighbour")).distinct()
+    under_one = targets.where(F.col("stable_id") != F.col("neighbour")).join(own, "stable_id").join(other, ["owner", "neighbour"], "left_semi")
+    known = own.select("stable_id", F.col("owner").alias("neighbour")).unionByName(under_one.select("stable_id", "neighbour"))
+    more = targets.join(known, ["stable_id", "neighbour"], "left_anti").groupBy("stable_id").agg(F.count(F.lit(1)).alias("n"))
+    # A node that is owner and sibling at once counts once.
+    both = own.join(own.select(F.col("stable_id").alias("owner"), F.col("owner").alias("above")), "owner")
+    both = both.join(own.select("stable_id", F.col("owner").alias("above")), ["stable_id", "above"], "left_semi")
+    both = both.where(F.col("stable_id") != F.col("owner")).select("stable_id", "owner").distinct()
+    both = both.groupBy("stable_id").agg((-F.count(F.lit(1))).alias("n"))
+    parts = owners_of.unionByName(one).unionByName(paired).unionByName(more).unionByName(both)
+    return parts.groupBy("stable_id").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def sibling_ordinal(rows: DataFrame, parent: str, order: list[Column | str]) -> DataFrame:
     """Zero-based place among siblings and their number."""
     own = Window.partitionBy(parent)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stelae.runtime import ship_package, stored
@@ -95,3 +95,21 @@ def encoded_vectors(vectors: DataFrame) -> DataFrame:
 
     rows = vectors.select("vec_id", encode("embedding").alias("encoded"))
     return rows.withColumn("width", (F.length(F.unbase64("encoded")) / 4).cast("int"))
+
+
+def decoded_vectors(rows: DataFrame) -> DataFrame:
+    """vec_id, encoded -> the same with ``vector``, read back from its bytes."""
+
+    @F.pandas_udf("array<float>")
+    def decode(column):
+        import numpy as np
+
+        return column.map(lambda raw: None if raw is None else np.frombuffer(raw, "<f4"))
+
+    return rows.withColumn("vector", decode(F.unbase64("encoded")))
+
+
+def merged_sums(maps: Column) -> Column:
+    """An array of map<string, bigint> as one map; values of one key are added."""
+    add = lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    return F.aggregate(maps, F.create_map().cast("map<string,bigint>"), lambda acc, m: F.map_zip_with(acc, m, add))

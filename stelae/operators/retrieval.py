@@ -18,6 +18,11 @@ def unfit_vectors(vectors: DataFrame, width: int) -> DataFrame:
     return vectors.where(F.col("vector").isNull() | (F.size("vector") != width) | wrong)
 
 
+def _fit(vectors: DataFrame) -> DataFrame:
+    wrong = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vectors.where(F.col("vector").isNotNull() & F.col("id").isNotNull() & ~wrong)
+
+
 def _blocks(vectors: DataFrame, count: int, side: str) -> DataFrame:
     """One row per block: ids and a float64 matrix, as bytes."""
 
@@ -36,11 +41,17 @@ def cosine_top_k(subjects: DataFrame, cards: DataFrame, k: int, floor: float, sk
     """subjects, cards (id long, vector) -> subject, card, cosine, rank: for each subject
     the k cards of highest cosine (raw, in double) that reach the floor, ties to the
     smaller id. Blocks of subjects meet blocks of cards; a subject's best of each block
-    are ranked together. skip_own: a subject is no card of itself."""
+    are ranked together. skip_own: a subject is no card of itself. Vectors that can't be
+    compared (null, holding null or non-finite components, or of another length than most
+    cards have) take no part."""
     if k < 1:
         raise ValueError("k must be at least 1")
     ship_package(subjects.sparkSession)
-    n_subjects, n_cards = subjects.count(), cards.count()
+    subjects, cards = _fit(subjects), _fit(cards)
+    widths = cards.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    width, n_cards = (widths["width"], widths["count"]) if widths else (0, 0)
+    subjects, cards = (x.where(F.size("vector") == width) for x in (subjects, cards))
+    n_subjects = subjects.count()
     left, right = max(1, -(-n_subjects // BLOCK)), max(1, -(-n_cards // BLOCK))
     asked = _blocks(subjects, left, "s").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(right - 1).cast("long"))))
     pairs = asked.join(_blocks(cards, right, "c"), "c")

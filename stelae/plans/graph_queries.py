@@ -119,7 +119,7 @@ SELECT id AS stable_id, count(*) AS n FROM (SELECT id, owner AS x FROM own
 UNION SELECT a.id, b.id FROM own a JOIN own b USING (owner) WHERE a.id <> b.id
 UNION SELECT from_id, to_id FROM edges WHERE type <> 'HAS_PROPERTY') GROUP BY 1""")
 def neighbour_set(t: Tables):
-    return graph.neighbours(edges(t), "HAS_PROPERTY").groupBy("stable_id").agg(F.count(F.lit(1)).alias("n"))
+    return graph.neighbour_counts(edges(t), "HAS_PROPERTY")
 
 
 @query("""SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ordinal,

@@ -9,6 +9,7 @@ from stelae.functions import scalars as S
 from stelae.operators import bridge, retrieval
 from stelae.plans.model import Tables
 from stelae.plans.registry import query
+from stelae.runtime import stored
 
 TOPK_SQL = """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (
 SELECT a.vec_id AS subject, b.vec_id AS card, a.label AS own, b.label AS theirs, list_cosine_similarity(a.v, b.v) AS cosine
@@ -31,7 +32,7 @@ def cosine_topk(t: Tables):
 def recall_at_k(t: Tables):
     labels = t.embeddings.select(F.col("vec_id").alias("card"), F.col("label").alias("theirs"))
     own = t.embeddings.select(F.col("vec_id").alias("subject"), F.col("label").alias("own"))
-    ranked = _top(t).join(labels, "card").join(own, "subject")
+    ranked = stored(_top(t).join(labels, "card").join(own, "subject"), "ranked")  # both branches read it
     truth = ranked.where("own = theirs").select("subject", "card").unionByName(
         ranked.groupBy("subject").agg(F.lit(None).cast("long").alias("card"))
     )

@@ -228,18 +228,22 @@ def uri_mint_and_parse(t: Tables):
     return rows.withColumn("name", F.url_decode(F.regexp_extract("uri", "^https://e.example/card/([^/]+)$", 1)))
 
 
-@query("SELECT vec_id, 64 AS width FROM embeddings")
+@query("""SELECT vec_id, len(embedding)::INTEGER AS width, embedding[1]::FLOAT::DOUBLE AS first, embedding[len(embedding)]::FLOAT::DOUBLE AS last,
+list_max(list_transform(embedding, lambda x: x::FLOAT))::DOUBLE AS most FROM embeddings""")
 def vector_encode_decode(t: Tables):
-    return hub.encoded_vectors(t.embeddings.select("vec_id", "embedding")).select("vec_id", "width")
+    rows = hub.decoded_vectors(hub.encoded_vectors(t.embeddings.select("vec_id", "embedding")))
+    value = lambda c: c.cast("double")
+    first, last = value(F.get("vector", 0)), value(F.get("vector", F.size("vector") - 1))
+    return rows.select("vec_id", "width", first.alias("first"), last.alias("last"), value(F.array_max("vector")).alias("most"))
 
 
 @query("""SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS totals FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY 1""")
 def map_merge_sum(t: Tables):
-    maps = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("event_type", F.lit(0))))).alias("m"))
-    counts = t.events.groupBy("user_id", "event_type").agg(_count().alias("n"))
-    kept = counts.join(maps.select("user_id").distinct(), "user_id")
-    text = F.concat("event_type", F.lit("="), F.col("n").cast("string"))
-    return kept.groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("totals"))
+    counts = t.events.groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(_count().alias("n"))
+    maps = counts.groupBy("user_id", "day").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    merged = maps.groupBy("user_id").agg(hub.merged_sums(F.collect_list("m")).alias("m"))
+    text = F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return merged.select("user_id", F.array_join(F.array_sort(text), ",").alias("totals"))
 
 
 @query("""SELECT l_returnflag AS tier, l_linestatus AS kind, count(*) AS n, count(DISTINCT l_suppkey) AS sources FROM lineitem GROUP BY ALL""")

@@ -41,13 +41,25 @@ def read_log(spark: SparkSession, path: str, schema: str, strict: bool = True) -
     return stored(kept, "log")
 
 
-def put_once(table: DataFrame, new: DataFrame, key: str, content: str) -> tuple[DataFrame, DataFrame]:
+def put_once(table: DataFrame, new: DataFrame, key: str, content: str, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Content-addressed append: (rows to add, rows refused because their key is held
-    with other content). The first write of a key wins."""
-    first = new.groupBy(key).agg(F.min(content).alias(content))
+    with other content). The first write of a key wins: what the table holds, else the
+    row of least ``order``, beside which other contents of the batch are refused; those
+    that tie for the first place are all refused. Without ``order`` the batch's least
+    content stands for its key."""
     held = table.select(key, F.col(content).alias("held"))
-    fresh = first.join(held, key, "left_anti")
-    return fresh, first.join(held, key).where(F.col(content) != F.col("held")).select(key, content)
+    if order is None:
+        first = new.groupBy(key).agg(F.min(content).alias(content))
+        fresh = first.join(held, key, "left_anti")
+        return fresh, first.join(held, key).where(F.col(content) != F.col("held")).select(key, content)
+    rows = new.groupBy(key, content).agg(F.min(order).alias("place"))
+    least = rows.groupBy(key).agg(F.min("place").alias("place"))
+    first = rows.join(least, [key, "place"]).groupBy(key).agg(F.min(content).alias("held"), F.count(F.lit(1)).alias("n"))
+    first = first.join(table.select(key), key, "left_anti")
+    fresh = first.where("n = 1").select(key, F.col("held").alias(content))
+    kept = held.unionByName(first.select(key, F.when(F.col("n") == 1, F.col("held")).alias("held")))
+    refused = rows.join(kept, key).where(~F.col(content).eqNullSafe(F.col("held")))
+    return fresh, refused.select(key, content)
 
 
 def checksum_failures(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

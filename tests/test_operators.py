@@ -161,3 +161,56 @@ def test_fingerprint_tells_every_changed_row(spark):
     a, b = print_of([keys[0], keys[1], keys[-1]]), print_of([keys[0], keys[2], keys[-1]])
     assert (a.n_rows, a.n_distinct) == (b.n_rows, b.n_distinct) == (3, 3) and a.fingerprint != b.fingerprint
     assert print_of([keys[-1], keys[1], keys[0]]).fingerprint == a.fingerprint
+
+
+def test_first_write_in_order_wins_and_the_rest_is_refused(spark):
+    from stelae.sources import blocks
+
+    held = spark.createDataFrame([("a", 1)], "id string, content int")
+    new = [("a", 2, 0), ("a", 1, 5), ("b", 4, 1), ("b", 3, 2), ("b", 4, 9), ("c", 7, 3), ("c", 8, 3), ("d", 5, 4)]
+    fresh, refused = blocks.put_once(held, spark.createDataFrame(new, "id string, content int, at int"), "id", "content", "at")
+    assert {tuple(r) for r in fresh.collect()} == {("b", 4), ("d", 5)}
+    assert {tuple(r) for r in refused.collect()} == {("a", 2), ("b", 3), ("c", 7), ("c", 8)}
+
+
+def test_vectors_that_cannot_be_compared_take_no_part(spark):
+    from stelae.operators import retrieval
+
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, None), (4, [1.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = {(r.subject, r.card) for r in retrieval.cosine_top_k(vectors, vectors, 1, -1.0, skip_own=True).collect()}
+    assert got == {(1, 2), (2, 1), (7, 2)}
+    assert retrieval.cosine_top_k(vectors.where("false"), vectors.where("false"), 1, -1.0).count() == 0
+
+
+def test_reach_goes_on_beyond_any_fixed_depth(spark):
+    from stelae.operators import graph
+
+    edges = spark.createDataFrame([(str(i), str(i + 1)) for i in range(20)], "from_id string, to_id string")
+    roots = spark.createDataFrame([("0",)], "stable_id string")
+    assert graph.reach(edges, roots).count() == 21
+    assert graph.reach(edges, roots, most_steps=3).count() == 4
+
+
+def test_neighbour_counts_are_those_of_the_pairs(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from stelae.operators import graph
+
+    draw = random.Random(4)
+    rows = [(draw.choice(["OWNS", "OWNS", "REFERS"]), str(draw.randint(0, 14)), str(draw.randint(0, 14))) for _ in range(90)]
+    edges = spark.createDataFrame(rows, "type string, from_id string, to_id string")
+    want = graph.neighbours(edges, "OWNS").groupBy("stable_id").agg(F.countDistinct("neighbour").alias("n"))
+    as_dict = lambda df: {r.stable_id: r.n for r in df.collect()}
+    assert as_dict(graph.neighbour_counts(edges, "OWNS")) == as_dict(want)
+
+
+def test_maps_are_merged_by_sums(spark):
+    from pyspark.sql import functions as F
+
+    from stelae.operators import hub
+
+    rows = spark.createDataFrame([([{"a": 1, "b": 2}, {"b": 3, "c": 4}, {}],)], "m array<map<string,bigint>>")
+    assert rows.select(hub.merged_sums(F.col("m")).alias("m")).first().m == {"a": 1, "b": 5, "c": 4}
