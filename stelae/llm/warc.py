@@ -10,7 +10,8 @@ records that start inside its range; it reads past the end of the range where it
 last record does.
 
 Defined results: null payload is an empty one; a null URL leaves its header out; a
-null id is kept as null; rows that repeat the least id of their group are all
+null id is kept as null; payloads of any length are written whole; URLs are read back as
+given; rows that repeat the least id of their group are all
 responses; an empty table makes an archive without records, which reads as no rows;
 further columns are ignored.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,10 @@ def member(page_id, url, payload: bytes, digest: str, refers_to, date: str, leve
         ("Content-Length", str(len(block))),
     ]
     if url is not None:
-        fields.append(("WARC-Target-URI", quote(url, safe="%:/?#[]@!$&'()*+,;=~-._")))
+        target = quote(url, safe="%:/?#[]@!$&'()*+,;=~-._")
+        fields.append(("WARC-Target-URI", target))
+        if target != url:  # as given, percent-encoded whole
+            fields.append(("X-Target-Given", quote(url, safe="")))
     if refers_to is not None:
         fields += [("WARC-Refers-To", name(refers_to)), ("WARC-Profile", REVISIT_PROFILE)]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
@@ -64,13 +68,15 @@ def with_revisits(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     """page_id, url, html -> page_id, url, payload, digest, refers_to."""
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    groups = rows.where(F.octet_length("payload") >= least_bytes).groupBy("digest")
+    # Short payloads have no key, so that they don't all meet in one task of a join.
+    rows = rows.withColumn("long_digest", F.when(F.octet_length("payload") >= least_bytes, F.col("digest")))
+    groups = rows.where("long_digest is not null").groupBy("long_digest")
     firsts = groups.agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = stored(firsts.select("digest", "first_id"), "revisited")
+    firsts = stored(firsts.select("long_digest", "first_id"), "revisited")
     if firsts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         firsts = F.broadcast(firsts)
     later = F.when(F.col("page_id").eqNullSafe(F.col("first_id")), None).otherwise(F.col("first_id"))
-    return rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "digest", later.alias("refers_to"))
+    return rows.join(firsts, "long_digest", "left").select("page_id", "url", "payload", "digest", later.alias("refers_to"))
 
 
 def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -108,6 +114,7 @@ def _parse(raw: bytes) -> dict | None:
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     length = int(re.search(rb"(?i)content-length: (\d+)", http)[1])
+    given = fields.get("X-Target-Given")
     revisit = fields["WARC-Type"] == "revisit"
     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
     if not revisit and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
@@ -115,7 +122,7 @@ def _parse(raw: bytes) -> dict | None:
     number = lambda x: None if x == "<urn:page:>" else int(x[len("<urn:page:") : -1])
     return {
         "page_id": number(fields["WARC-Record-ID"]),
-        "url": fields.get("WARC-Target-URI"),
+        "url": fields.get("WARC-Target-URI") if given is None else unquote(given),
         "record_type": fields["WARC-Type"],
         "payload_bytes": length,
         "payload_digest": digest,

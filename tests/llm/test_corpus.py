@@ -265,6 +265,7 @@ def test_archive_round_trip_with_small_ranges(spark):
         assert got[page_id].refers_to == first and got[page_id].record_type == ("revisit" if first else "response")
         assert got[page_id].payload_bytes == len(raw) and got[page_id].payload_digest == hashlib.sha256(raw).hexdigest()
         assert got[page_id].payload == (None if first else raw)
+    assert [got[i].url for i, _, _ in odd] == [u for _, u, _ in odd]
     empty = new_shared_path(spark, "test-warc")
     warc.write_archive(warc.with_revisits(pages.where("false")), empty)
     assert warc.read_archive(spark, empty).count() == 0
@@ -586,6 +587,13 @@ def test_bpe_like_the_library():
 def test_bpe_round_trip(spark, small, texts, odd):
     got = {r.doc_id: r for r in queries.op10_bpe(spark, small).collect()}
     assert {k: r.decoded_sha256 for k, r in got.items()} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in texts.items()}
+    import tiktoken
+
+    ranks = bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for k, t in texts.items():
+        ids = library.encode_ordinary(t)
+        assert (got[k].n_tokens, got[k].ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
     path = P.path("byte_bpe_multi_50k.tiktoken")
     out = bpe.encode(odd, path).select("doc_id", bpe.decode(F.col("ids"), path).alias("raw")).collect()
     assert sorted(bytes(r.raw) for r in out) == sorted((t or "").encode() for _, t, _ in ODD_TEXTS)
