@@ -128,3 +128,19 @@ def confidence_band(category: Column) -> Column:
 def version_key(text: Column) -> Column:
     """major.minor.patch as numbers, which compare member by member."""
     return F.transform(F.split(text, r"\."), lambda p: p.cast("int"))
+
+
+def wrap(value: Column) -> Column:
+    """A value as a list of one."""
+    return F.array(value)
+
+
+def id_prefix(stable_id: Column) -> Column:
+    """What stands before the first colon of a stable id."""
+    return F.split_part(stable_id, F.lit(":"), F.lit(1))
+
+
+def compose_text(*slots: Column) -> Column:
+    """Slots joined by a middle dot (empty and null ones left out), white space collapsed."""
+    held = F.filter(F.array(*slots), lambda s: s.isNotNull() & (F.trim(s) != ""))
+    return F.trim(F.regexp_replace(F.array_join(held, " · "), r"\s+", " "))

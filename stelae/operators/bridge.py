@@ -102,3 +102,18 @@ def page(rows: DataFrame, order: list, number: int, size: int) -> DataFrame:
     if number < 1 or not 1 <= size <= 1000:
         raise ValueError("pages count from 1 and hold 1 to 1000 rows")
     return rows.orderBy(*order).offset((number - 1) * size).limit(size)
+
+
+def first_judge(pool: Column) -> Column:
+    """Always the first place of a pool; a pool without cards has none (0)."""
+    return F.when(pool > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+
+def abstaining_judge() -> Column:
+    return F.lit(0).cast("long")
+
+
+def planned_order(edges: DataFrame, first: list[str], place: str = "place") -> DataFrame:
+    """A zero-based place within each value of the first column, by the columns after it."""
+    order = Window.partitionBy(first[0]).orderBy(*first[1:])
+    return edges.withColumn(place, (F.row_number().over(order) - 1).cast("long"))
