@@ -12,8 +12,9 @@ similarity share one of the first shingles of each in any common order (prefix
 filter), so pairs that share none are never looked at and no pair is lost, however
 far its fingerprints lie apart. Shingles that a sample finds in several documents
 come last in the order. First each document meets the least document of each shared
-shingle; then only documents that are still in different components meet, and of these
-pairs only those whose sketches (parities of shingles by bit) leave them in question.
+shingle; then only documents that are still in different components meet, each pair at
+its least common shingle. Pairs whose sketches (parities of shingles by bit, two bits a
+shingle) lie too far apart go.
 Every candidate's similarity is worked out from the whole sets.
 
 Defined results: null text is empty text, with fingerprint zero, linked like any
@@ -39,7 +40,8 @@ SEED, SHINGLE, RADIUS = 42, 3, 3
 #: documents of the sample, shingles that it ranks at most, documents from which on.
 WIDE_SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, MOST_RANKED, LEAST_SEEN = 10_000, 200_000, 3
-SKETCH = 8  # words of 64 bits in which a shingle set is sketched
+SKETCH = 8  # words of 64 bits in which a shingle set is sketched, or the power of two that gives two bits a shingle
+LEAST_SHARED = 8  # of a document's shared shingles, by which a pair knows where it met before
 BLOCK_ROWS = 512  # whose shingle sets are held at once
 _EVEN_BITS = 0x55555555
 
@@ -168,10 +170,23 @@ def _order(held: np.ndarray, ranked: np.ndarray, seen: np.ndarray) -> np.ndarray
 def sketch(held: np.ndarray) -> np.ndarray:
     """The parity of how many digests fall on each bit. Sets that differ in d digests have
     sketches that differ in d bits at most."""
-    bits = np.bincount((held >> np.uint64(32)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    words = max(SKETCH, 1 << (-(-len(held) // 32) - 1).bit_length())
+    bits = np.bincount((held >> np.uint64(32)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def sketches_apart(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, the longer one folded to the shorter one's words."""
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(of: Column, at: Column) -> Column:
+        every = F.sequence(at, F.size(of) - 1, words)
+        return F.aggregate(every, F.lit(0).cast("long"), lambda held, i: held.bitwiseXOR(F.get(of, i)))
+
+    each = F.transform(F.sequence(F.lit(0), words - 1), lambda at: F.bit_count(folded(a, at).bitwiseXOR(folded(b, at))))
+    return F.aggregate(each, F.lit(0), lambda sum_, n: sum_ + n)
+
+
 def shingle_sets(
     docs: DataFrame, id_col: str, text_col: str, width: int, least: Fraction | None, ranked: np.ndarray, seen: np.ndarray
 ) -> DataFrame:
@@ -240,12 +255,15 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
     def enough(common: Column) -> Column:  # common shingles for the similarity
         return common * (top + under) >= (F.col("na") + F.col("nb")) * top
 
-    def similar(meetings: DataFrame) -> DataFrame:
-        """meetings (a, na, b, nb; one row for each common prefix shingle). Common
-        shingles beyond both prefixes are at most what one of the sets has there."""
-        beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
-        pairs = meetings.where(sized).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("met"))
-        pairs = stored(pairs.where(enough(F.col("met") + beyond)).drop("met"), "pairs")
+    def similar(pairs: DataFrame) -> DataFrame:
+        """pairs (a, na, b, nb; distinct) -> a, b of the similar ones. Sketches bound from
+        below how many shingles two sets don't share; whole sets decide."""
+        for x in "ab":
+            pairs = pairs.join(first.select(F.col("node").alias(x), F.col("bits").alias(f"bits_{x}")), x)
+        both = F.col("na") + F.col("nb")
+        shared = both - sketches_apart(F.col("bits_a"), F.col("bits_b"))  # in both sets, counted twice
+        pairs = pairs.where(shared * (top + under) >= both * (2 * top))
+        pairs = stored(pairs.select("a", "na", "b", "nb"), "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = first.join(nodes, "node").select(F.col("node").alias("of"), *[F.col(c).alias(f"its_{c}") for c in ("id", "one", "two")])
         same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("id", "one", "two")]
@@ -259,25 +277,28 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
 
     stars = tokens.where("node <> hub.node")
     hub = [F.col("hub.node").alias("a"), F.col("hub.n").alias("na")]
-    found = similar(stars.select(*hub, F.col("node").alias("b"), F.col("n").alias("nb")))
+    met = stars.select(*hub, F.col("node").alias("b"), F.col("n").alias("nb")).where(sized)
+    met = met.groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("met"))
+    # Common shingles beyond both prefixes are at most what one of the sets has there.
+    beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
+    found = similar(met.where(enough(F.col("met") + beyond)).drop("met"))
     roots = connected_components(found, "a", "b")
     rest = tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rest = stored(rest, "rest")
     mixed = rest.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = rest.join(mixed.select("token"), "token")
-    words = [F.get("bits", i).alias(f"word{i}") for i in range(SKETCH)]
-    rest = stored(rest.join(first.select("node", *words), "node"), "mixed")
+    rest = rest.join(mixed.select("token"), "token").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    rest = rest.select("node", "n", "root", F.slice("tokens", 1, LEAST_SHARED).alias("least"), F.explode("tokens").alias("token"))
+    rest = stored(rest, "mixed")
 
     def side(x: str) -> DataFrame:
-        named = {"node": x, "n": f"n{x}", "root": f"root_{x}"} | {f"word{i}": f"{x}{i}" for i in range(SKETCH)}
-        return rest.select("token", *[F.col(k).alias(v) for k, v in named.items()])
-
-    # The sketches bound from below how many shingles two sets don't share.
-    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, SKETCH)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    both = F.col("na") + F.col("nb")
-    pairs = side("a").join(side("b"), "token").where(F.col("root_a") < F.col("root_b"))
-    pairs = pairs.where(sized & ((both - apart) * (top + under) >= both * (2 * top)))
-    return found.unionByName(similar(pairs.select("a", "na", "b", "nb")))
+        return rest.select("token", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"root_{x}"), F.col("least").alias(f"least_{x}"))
+
+    # A pair is made at its least common shingle, and elsewhere only where that isn't
+    # among the least shingles that each side holds.
+    earlier = F.array_min(F.array_intersect("least_a", "least_b")) < F.col("token")
+    pairs = side("a").join(side("b"), "token").where((F.col("root_a") < F.col("root_b")) & sized)
+    pairs = pairs.where(~F.coalesce(earlier, F.lit(False)))
+    return found.unionByName(similar(pairs.select("a", "na", "b", "nb").distinct()))
 
 
 def near_duplicates(
