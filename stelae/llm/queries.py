@@ -8,7 +8,22 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stelae.llm import bpe, chat, covertree, iblt, labelled, packing, quality, simhash, suffix_dedup, toxicity, warc
+from stelae.llm import (
+    bpe,
+    chat,
+    covertree,
+    cuckoo,
+    iblt,
+    kdfilter,
+    labelled,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    warc,
+    whitening,
+)
 from stelae.runtime import new_shared_path, read_table
 
 STRESS_TEXT = r"\### Assistant: </turn> ok"
@@ -179,8 +194,71 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(quality.score(docs.select("doc_id", "text"), model), 0.3)
 
 
+def op12_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cuckoo.exact_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents
+), g AS (SELECT *, min(doc_id) OVER w AS keep_id, count(*) OVER w AS n FROM d WINDOW w AS (PARTITION BY h))
+SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
+"""
+
+
+def op11_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kdfilter.cluster(read_table(spark, sf_dir, "embeddings"))
+    parts = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", F.sha2(parts, 256).alias("centroid_sha256")
+    )
+
+
+def _op11_sql() -> str:
+    """The start and three rounds, one table expression each."""
+    steps = ["""v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT (row_number() OVER (ORDER BY h, vec_id) - 1)::INTEGER AS cluster, v AS c
+  FROM (SELECT *, sha256('1:' || vec_id) AS h FROM v ORDER BY h, vec_id LIMIT 16)
+)"""]
+    for k in range(4):
+        steps.append(f"""a{k} AS (
+  SELECT vec_id, any_value(v) AS v, arg_min(cluster, d * 16 + cluster) AS cluster, min(d) AS distance FROM (
+    SELECT vec_id, v, cluster,
+      (list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c))::BIGINT AS d
+    FROM v CROSS JOIN c{k}
+  ) GROUP BY vec_id
+)""")
+        if k < 3:
+            steps.append(f"""m{k} AS (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM (
+    SELECT cluster, place, sum(x)::BIGINT AS s, count(*)::BIGINT AS n
+    FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{k}) GROUP BY cluster, place
+  ) GROUP BY cluster
+), c{k + 1} AS (SELECT c{k}.cluster, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))""")
+    return "WITH " + ", ".join(steps) + """
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=32)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict:
     return {
+        "op11_kdtree": op11_kdtree,
+        "op12_cuckoo": op12_cuckoo,
+        "op13_whitening": op13_whitening,
         "op5_toxicity": op5_toxicity,
         "op7_quality": op7_quality,
         "op3_suffix_dedup": op3_suffix_dedup,
@@ -195,4 +273,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op6_topk": OP6_SQL, "op9_chat_format": OP9_SQL}
+    return {
+        "op4_warc": OP4_SQL,
+        "op6_topk": OP6_SQL,
+        "op9_chat_format": OP9_SQL,
+        "op11_kdtree": _op11_sql(),
+        "op12_cuckoo": OP12_SQL,
+    }
