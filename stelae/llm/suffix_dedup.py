@@ -6,8 +6,8 @@ window holds one, found from the window's bytes alone. Triggers cut the text int
 phrases: a head that ends with its trigger, and the bytes that the parse goes on with
 (so many that each window lies in one phrase).
 
-Dictionary: each phrase goes, as hashes of its trigger and of itself, to the bucket
-of its trigger, where equal phrases lie together with their least document. A phrase
+Dictionary: each phrase goes, as a hash of its trigger and two of itself (128 bits, by
+which phrases of one trigger are told apart), to the bucket of its trigger, where equal phrases lie together with their least document. A phrase
 that a smaller document has as well is repeated whole; a trigger of one document, or
 of equal phrases only, is settled.
 
@@ -47,12 +47,15 @@ SPAN, GRAM = 50, 20
 #: Bytes and rows of a slab; bytes of text whose phrases are dealt at once; bytes of
 #: text per bucket of triggers; open windows per bucket of their order.
 SLAB, SLAB_ROWS, DEAL, BUCKET_BYTES, BUCKET_WINDOWS, LEAST_BUCKETS = 1 << 20, 1 << 14, 16 << 20, 16 << 20, 1 << 20, 24
-#: Sent bits of either hash, the trigger's beside those that chose the bucket.
-HASH_BITS = 40
+#: Sent bits of the trigger's hash, beside those that chose the bucket. Triggers that are
+#: taken for one because of them only leave more phrases open, to be compared as strings.
+TRIGGER_BITS = 32
 DUPLICATE, OPEN = 1, 2
 RESULTS = ("doc_id", "n_bytes", "spans", "kept")
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
-_POWERS: list = []
+#: Of the second hash of a phrase: its own base, and its own value for each byte.
+_SECOND = 0xD6E8FEB86659FD93
+_POWERS: dict = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,24 +65,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
         made = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(n, b, np.uint64)
             p[0] = 1
             made.append(np.cumprod(p))
-        _POWERS[:] = made
-    return _POWERS[0], _POWERS[1]
+        _POWERS[base] = made
+    return _POWERS[base]
+
+
+_VALUES = {_BASE: np.arange(1, 257, dtype=np.uint64), _SECOND: _mix(np.arange(1, 257, dtype=np.uint64))}
 
 
 class Rolling:
     """Hashes of any substring of a byte array, from prefix sums modulo 2^64."""
 
-    def __init__(self, data: np.ndarray):
-        up, self.down = _powers(len(data) + 1)
+    def __init__(self, data: np.ndarray, base: int = _BASE):
+        up, self.down = _powers(len(data) + 1, base)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
+        np.cumsum(_VALUES[base][data] * up[: len(data)], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return _mix((self.sums[stop] - self.sums[start]) * self.down[start])
@@ -103,7 +109,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 def parse(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
     """The texts' bytes, and of each phrase: document's place, first and last window
-    start, trigger place, trigger hash, phrase hash."""
+    start, trigger place, trigger hash, phrase hash (the first of two)."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     stops = np.cumsum(sizes)
@@ -121,9 +127,17 @@ def parse(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(inside)]])[: len(first)] - 1
     lo, hi, place = inside[first], inside[last], trigger[first].astype(np.int64)
-    phrase = rolling(lo, hi + span)
-    phrase = _mix(phrase ^ ((hi - lo).astype(np.uint64) << np.uint64(32)) ^ (place - lo).astype(np.uint64))
-    return data, owner[first].astype(np.int64), lo, hi, place, grams[place], phrase
+    return data, owner[first].astype(np.int64), lo, hi, place, grams[place], _phrase_hash(rolling, lo, hi, place, span)
+
+
+def _phrase_hash(rolling: Rolling, lo: np.ndarray, hi: np.ndarray, place: np.ndarray, span: int) -> np.ndarray:
+    return _mix(rolling(lo, hi + span) ^ ((hi - lo).astype(np.uint64) << np.uint64(32)) ^ (place - lo).astype(np.uint64))
+
+
+def second_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, place: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """Of whole phrases, independent of the first: phrases are the same if both hashes,
+    128 bits in all, are."""
+    return _phrase_hash(Rolling(data, _SECOND), lo, hi, place, span)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -185,9 +199,9 @@ class Dealer:
         self.buckets, self.size, self.docs, self.held = buckets, 0, 0, []
 
     def add(self, slab: int, at: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> None:
-        _, owner, _, _, _, major, minor = parse(texts)
+        data, owner, lo, hi, place, major, one = parse(texts)
         here = np.full(len(keys), slab, np.int64)
-        self.held.append((here, at.astype(np.int64), keys.astype(np.int64), owner + self.docs, major, minor))
+        self.held.append((here, at.astype(np.int64), keys.astype(np.int64), owner + self.docs, major, one, second_hash(data, lo, hi, place)))
         self.docs += len(keys)
         self.size += sum(map(len, texts))
 
@@ -195,9 +209,9 @@ class Dealer:
         """Entries that a smaller document of those collected has too are only marked."""
         if not self.held:
             return
-        slab, at, keys, doc, major, minor = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        slab, at, keys, doc, major, one, two = (np.concatenate(x) for x in zip(*self.held, strict=True))
         self.size, self.docs, self.held = 0, 0, []
-        order, new = _groups(keys[doc], minor, major)
+        order, new = _groups(keys[doc], two, one, major)
         known = _later(order, new, keys[doc])
         del order, new
         bucket = (major % np.uint64(self.buckets)).astype(np.int64)
@@ -210,8 +224,8 @@ class Dealer:
                 docs, counts = np.unique(doc[own], return_counts=True)
                 mark = known[own]
                 sent = own[~mark]
-                low = np.uint64((1 << HASH_BITS) - 1)
-                yield b, _all_packed(slab[docs], at[docs], keys[docs], counts, np.flatnonzero(mark), major[sent] & low, minor[sent] & low)
+                low = np.uint64((1 << TRIGGER_BITS) - 1)
+                yield b, _all_packed(slab[docs], at[docs], keys[docs], counts, np.flatnonzero(mark), major[sent] & low, one[sent], two[sent])
 
 
 def settle(bucket: int, blobs: list[bytes]) -> pd.DataFrame:
@@ -220,15 +234,15 @@ def settle(bucket: int, blobs: list[bytes]) -> pd.DataFrame:
     document has the phrase too; OPEN: the trigger is shared with other documents, and
     the phrase is not settled."""
     u = np.uint64
-    parts = [_all_unpacked(b, (np.int64,) * 5 + (u, u))[0] for b in blobs]
+    parts = [_all_unpacked(b, (np.int64,) * 5 + (u, u, u))[0] for b in blobs]
     sent = []
-    for _, _, _, counts, mark, _, _ in parts:
+    for _, _, _, counts, mark, _, _, _ in parts:
         kept = np.ones(int(counts.sum()), bool)
         kept[mark] = False
         sent.append(kept)
     key = np.concatenate([np.repeat(p[2], p[3])[s] for p, s in zip(parts, sent, strict=True)])
-    major, minor = np.concatenate([p[5] for p in parts]), np.concatenate([p[6] for p in parts])
-    order, new = _groups(key, minor, major)
+    major, one, two = (np.concatenate([p[i] for p in parts]) for i in (5, 6, 7))
+    order, new = _groups(key, two, one, major)
     status = np.where(_later(order, new, key), DUPLICATE, 0).astype(np.uint8)
     if len(key):
         new_major = np.ones(len(key), bool)
@@ -239,7 +253,7 @@ def settle(bucket: int, blobs: list[bytes]) -> pd.DataFrame:
         unsure = ((low < high) & several)[np.cumsum(new_major) - 1]
         status[order[unsure & (status[order] == 0)]] = OPEN
     rows, begin = [], 0
-    for (slab, at, _, counts, _, _, _), kept in zip(parts, sent, strict=True):
+    for (slab, at, _, counts, _, _, _, _), kept in zip(parts, sent, strict=True):
         own = np.full(len(kept), DUPLICATE, np.uint8)
         n = int(kept.sum())
         own[kept] = status[begin : begin + n]

@@ -251,3 +251,30 @@ def test_deviations_beyond_a_long():
     points = np.array([[1 << 39, 5], [-(1 << 39), 7]])
     centre = whitening.Centre(2, points.sum(0).tolist())
     assert centre.deviations(points) == [(1 << 80) + 4, (1 << 80) + 4]
+
+
+# --- suffix dedup: phrases of one trigger
+
+
+def test_phrases_that_share_40_bits_of_one_hash_stay(spark):
+    """Two texts without a common 50-byte string, whose phrases agree in the trigger and in
+    40 bits of their first hash."""
+    from stelae.llm import suffix_dedup
+
+    texts = [
+        "neyjceiixtenbqfmwepijdklrmyyfjplskivnwktbfvittcsunyosjfvqhiphqukqfnupvgwpmtqdidr",
+        "avxoiodpvgiqpvupqlnktcdqzmvqkvplskivnwktbfvittcsunaontqihgxdwsjavuefhfhewhvyqhus",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.spans for r in suffix_dedup.remove_repeats(docs).collect()] == [[], []]
+
+
+def test_phrase_hashes_are_independent():
+    from stelae.llm import suffix_dedup
+
+    data = np.random.default_rng(9).integers(97, 101, 200_000).astype(np.uint8)
+    at = np.arange(0, 199_900)
+    one = suffix_dedup._phrase_hash(suffix_dedup.Rolling(data), at, at + 20, at + 3, 50)
+    two = suffix_dedup.second_hash(data, at, at + 20, at + 3)
+    assert len(np.unique(one)) == len(np.unique(two)) == len(at)
+    assert ((one & np.uint64(0xFFFF)) == (two & np.uint64(0xFFFF))).mean() < 0.0002
