@@ -117,3 +117,12 @@ def planned_order(edges: DataFrame, first: list[str], place: str = "place") -> D
     """A zero-based place within each value of the first column, by the columns after it."""
     order = Window.partitionBy(first[0]).orderBy(*first[1:])
     return edges.withColumn(place, (F.row_number().over(order) - 1).cast("long"))
+
+
+def declared_target(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """rules (pattern with one group, prefix), in order: the prefix and the group of the
+    first pattern that the text fits; null where none does."""
+    found = F.lit(None).cast("string")
+    for pattern, prefix in reversed(rules):
+        found = F.when(text.rlike(pattern), F.concat(F.lit(prefix), F.regexp_extract(text, pattern, 1))).otherwise(found)
+    return found

@@ -34,8 +34,17 @@ def compare_records(a: DataFrame, b: DataFrame, key: str, columns: list[str]) ->
 
 
 def record_hash(columns: list[Column]) -> Column:
-    """SHA-256 of the values in order; absent and empty differ."""
-    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns]), 256)
+    """SHA-256 of the values in order, joined by U+001F; null is U+0000. Where a value holds
+    one of these, or U+001E, it is written as U+001E and a letter, so that no two lists of
+    values make one text."""
+
+    def plain(c: Column) -> Column:
+        text = c.cast("string")
+        for held, letter in (("\u001e", "e"), ("\u001f", "s"), ("\u0000", "n")):
+            text = F.replace(text, F.lit(held), F.lit("\u001e" + letter))
+        return F.coalesce(text, F.lit("\u0000"))
+
+    return F.sha2(F.concat_ws("\u001f", *map(plain, columns)), 256)
 
 
 def statement_diff(source: DataFrame, graph: DataFrame, omitted: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stelae.runtime import ship_package, stored
@@ -49,9 +52,14 @@ def missing_properties(nodes: DataFrame, role: str, required: list[str]) -> Data
 
 def capped_lists(rows: DataFrame, group: str, value: str, most: int) -> DataFrame:
     """The first values of each group as text, and how many more there are."""
-    held = rows.groupBy(group).agg(F.array_sort(F.collect_set(value)).alias("v"))
-    text = F.array_join(F.slice("v", 1, most).cast("array<string>"), ",")
-    more = F.when(F.size("v") > most, F.concat(F.lit(" +"), (F.size("v") - most).cast("string"), F.lit(" more"))).otherwise("")
+    each = rows.select(group, value).distinct()
+    # The limit is applied in each task before the shuffle, so no group is gathered.
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.col(value).asc_nulls_last()))
+    shown = each.withColumn("place", place).where(F.col("place") <= most)
+    shown = shown.groupBy(group).agg(F.array_sort(F.collect_list(value)).alias("v"))
+    held = each.groupBy(group).agg(F.count(value).alias("n")).join(shown, group)
+    text = F.array_join(F.col("v").cast("array<string>"), ",")
+    more = F.when(F.col("n") > most, F.concat(F.lit(" +"), (F.col("n") - most).cast("string"), F.lit(" more"))).otherwise("")
     return held.select(group, F.concat(text, more).alias("sample"))
 
 
@@ -85,26 +93,28 @@ def encoded_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding -> base64 of little-endian floats, and the width read back."""
     ship_package(vectors.sparkSession)
 
-    @F.pandas_udf("string")
-    def encode(column):
-        import base64
+    @F.arrow_udf("binary")
+    def encode(column: pa.Array) -> pa.Array:
+        # The lists' flat values are the bytes; only the offsets are counted anew.
+        flat = column.flatten().cast(pa.float32()).to_numpy(zero_copy_only=False).astype("<f4")
+        sizes = pyarrow.compute.fill_null(pyarrow.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32) * 4
+        raw = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(flat.tobytes())])
+        return pyarrow.compute.if_else(column.is_null(), pa.scalar(None, pa.binary()), raw)
 
-        import numpy as np
-
-        return column.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f4").tobytes()).decode())
-
-    rows = vectors.select("vec_id", encode("embedding").alias("encoded"))
+    rows = vectors.select("vec_id", F.base64(encode("embedding")).alias("encoded"))
     return rows.withColumn("width", (F.length(F.unbase64("encoded")) / 4).cast("int"))
 
 
 def decoded_vectors(rows: DataFrame) -> DataFrame:
     """vec_id, encoded -> the same with ``vector``, read back from its bytes."""
 
-    @F.pandas_udf("array<float>")
-    def decode(column):
-        import numpy as np
-
-        return column.map(lambda raw: None if raw is None else np.frombuffer(raw, "<f4"))
+    @F.arrow_udf("array<float>")
+    def decode(column: pa.Array) -> pa.Array:
+        sizes = pyarrow.compute.fill_null(pyarrow.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        flat = np.frombuffer(b"".join(x.as_py() or b"" for x in column), "<f4")
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes // 4)]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.float32()), mask=column.is_null())
 
     return rows.withColumn("vector", decode(F.unbase64("encoded")))
 

@@ -29,32 +29,27 @@ def _blocks(vectors: DataFrame, count: int, side: str) -> DataFrame:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
         matrix = np.stack([np.asarray(v, np.float64) for v in group["vector"]])
-        return pd.DataFrame(
-            {side: [group[side].iloc[0]], f"{side}_ids": [group["id"].tolist()], f"{side}_matrix": [matrix.tobytes()]}
-        )
+        key = {c: [group[c].iloc[0]] for c in ("width", side)}
+        return pd.DataFrame({**key, f"{side}_ids": [group["id"].tolist()], f"{side}_matrix": [matrix.tobytes()]})
 
-    keyed = vectors.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(count)).alias(side))
-    return keyed.groupBy(side).applyInPandas(run, f"{side} long, {side}_ids array<bigint>, {side}_matrix binary")
+    keyed = vectors.select("id", "vector", F.size("vector").alias("width"), F.pmod(F.xxhash64("id"), F.lit(count)).alias(side))
+    return keyed.groupBy("width", side).applyInPandas(run, f"width int, {side} long, {side}_ids array<bigint>, {side}_matrix binary")
 
 
 def cosine_top_k(subjects: DataFrame, cards: DataFrame, k: int, floor: float, skip_own: bool = False) -> DataFrame:
     """subjects, cards (id long, vector) -> subject, card, cosine, rank: for each subject
     the k cards of highest cosine (raw, in double) that reach the floor, ties to the
     smaller id. Blocks of subjects meet blocks of cards; a subject's best of each block
-    are ranked together. skip_own: a subject is no card of itself. Vectors that can't be
-    compared (null, holding null or non-finite components, or of another length than most
-    cards have) take no part."""
+    are ranked together. skip_own: a subject is no card of itself. Vectors of each length are
+    compared with each other; those that can't be (null, empty, or holding null or
+    non-finite components) take no part."""
     if k < 1:
         raise ValueError("k must be at least 1")
     ship_package(subjects.sparkSession)
-    subjects, cards = _fit(subjects), _fit(cards)
-    widths = cards.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    width, n_cards = (widths["width"], widths["count"]) if widths else (0, 0)
-    subjects, cards = (x.where(F.size("vector") == width) for x in (subjects, cards))
-    n_subjects = subjects.count()
-    left, right = max(1, -(-n_subjects // BLOCK)), max(1, -(-n_cards // BLOCK))
+    subjects, cards = (_fit(x).where("size(vector) > 0") for x in (subjects, cards))
+    left, right = (max(1, -(-x.count() // BLOCK)) for x in (subjects, cards))
     asked = _blocks(subjects, left, "s").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(right - 1).cast("long"))))
-    pairs = asked.join(_blocks(cards, right, "c"), "c")
+    pairs = asked.join(_blocks(cards, right, "c"), ["width", "c"])
 
     def run(frames):
         for frame in frames:

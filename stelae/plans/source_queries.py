@@ -133,6 +133,25 @@ def vector_put(t: Tables):
     return blocks.put_once(held, rows.select("id", "text"), "id", "text")[0]
 
 
+@query("""WITH c AS (SELECT sha256(event_type || '|' || user_id) AS id, event_id AS content, ts FROM events),
+f AS (SELECT id, arg_min(content, (ts, content)) AS held FROM c GROUP BY 1)
+SELECT id, content FROM c JOIN f USING (id) WHERE content <> held""")
+def content_conflicts_in_order(t: Tables):
+    """Every content of an address after its first, in the order of writing, is refused."""
+    address = F.sha2(F.concat_ws("|", "event_type", F.col("user_id").cast("string")), 256).alias("id")
+    rows = t.events.select(address, F.col("event_id").alias("content"), F.struct("ts", "event_id").alias("at"))
+    return blocks.put_once(rows.select("id", "content").where("false"), rows, "id", "content", "at")[1]
+
+
+@query("""WITH c AS (SELECT p_name AS id, p_partkey AS content FROM part), h AS (SELECT p_name AS id, min(p_partkey) AS content FROM part WHERE p_size = 50 GROUP BY 1)
+SELECT id, min(content) AS content FROM c WHERE id NOT IN (SELECT id FROM h) GROUP BY 1""")
+def block_save_in_order(t: Tables):
+    """What a store takes of a batch whose addresses have several contents: the first."""
+    rows = t.part.select(F.col("p_name").alias("id"), F.col("p_partkey").alias("content"), F.col("p_partkey").alias("at"), "p_size")
+    held = rows.where("p_size = 50").groupBy("id").agg(F.min("content").alias("content"))
+    return blocks.put_once(held, rows.drop("p_size"), "id", "content", "at")[0]
+
+
 @query("SELECT p_partkey, sha256('m1' || chr(0) || '64' || chr(0) || p_name) AS id FROM part")
 def vector_get_verified(t: Tables):
     path = new_shared_path(t.spark, "vectors")

@@ -120,11 +120,8 @@ def structural_cross_join(t: Tables):
 @query("""SELECT p_partkey, CASE WHEN regexp_matches(p_name, 'ring$') THEN 'ring:' || split_part(p_name, ' ', 1)
 WHEN regexp_matches(p_name, '^red') THEN 'red:' || split_part(p_name, ' ', 2) END AS target FROM part""")
 def declared_target_rules(t: Tables):
-    rules = [(r"^(\w+) .*ring$|^(\w+) ring$", "ring:", 0), ("^red (.+)$", "red:", 1)]
-    name = F.col("p_name")
-    first = F.concat(F.lit(rules[0][1]), F.substring_index(name, " ", 1))
-    second = F.concat(F.lit(rules[1][1]), F.element_at(F.split(name, " "), 2))
-    return t.part.select("p_partkey", F.when(name.rlike("ring$"), first).when(name.rlike("^red"), second).alias("target"))
+    rules = [(r"^(?=.*ring$)([^ ]*)", "ring:"), (r"^red[^ ]* ([^ ]*)", "red:")]
+    return t.part.select("p_partkey", bridge.declared_target(F.col("p_name"), rules).alias("target"))
 
 
 @query("""SELECT coalesce(j.o_custkey, s.o_custkey) AS unit, j.v IS NULL AS by_subject FROM (SELECT DISTINCT o_custkey FROM orders) r

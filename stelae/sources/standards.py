@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stelae.operators.compare import record_hash
+
 
 def openapi_graph(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """documents (name, json) -> nodes (id, role), edges (type, from_id, to_id). Schemas
@@ -93,8 +95,9 @@ def digest_references(shapes: DataFrame, components: DataFrame, parts: list[str]
     """shapes (id, parts), components (name, parts): a shape references the component
     with its digest; several with one digest refer only by an equal title, else it is
     refused (name null)."""
-    digest = F.sha2(F.concat_ws("\n", *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts]), 256).alias("digest")
-    held = components.select("name", digest).groupBy("digest").agg(F.collect_set("name").alias("names"))
-    found = shapes.select("id", "title", digest).join(held, "digest", "left")
-    name = F.when(F.size("names") == 1, F.col("names")[0]).when(F.array_contains("names", F.col("title")), F.col("title"))
-    return found.select("id", name.alias("name"))
+    digest = record_hash([F.col(p) for p in parts]).alias("digest")
+    named = components.select("name", digest).distinct()
+    held = named.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("only"))
+    titled = named.select("digest", F.col("name").alias("title"), F.lit(True).alias("named"))
+    found = shapes.select("id", "title", digest).join(held, "digest", "left").join(titled, ["digest", "title"], "left")
+    return found.select("id", F.when(F.col("n") == 1, F.col("only")).when(F.col("named"), F.col("title")).alias("name"))
