@@ -29,7 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stelae.llm.components import connected_components
@@ -41,6 +41,9 @@ SEED, SHINGLE, RADIUS = 42, 3, 3
 WIDE_SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE, MOST_RANKED, LEAST_SEEN = 10_000, 200_000, 3
 SKETCH = 8  # words of 64 bits in which a shingle set is sketched, or the power of two that gives two bits a shingle
+#: Further hubs of a shingle whose documents fall into more components than that, and how often they are chosen.
+HUBS, HUB_TURNS = 4, 2
+BRIEF = 4  # words to which sketches are folded where shingles are joined
 LEAST_SHARED = 8  # of a document's shared shingles, by which a pair knows where it met before
 BLOCK_ROWS = 512  # whose shingle sets are held at once
 _EVEN_BITS = 0x55555555
@@ -175,15 +178,17 @@ def sketch(held: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _folded(of: Column, at: Column, words: Column) -> Column:
+    """The word ``at`` of a sketch folded to so many words."""
+    every = F.sequence(at, F.size(of) - 1, words)
+    return F.aggregate(every, F.lit(0).cast("long"), lambda held, i: held.bitwiseXOR(F.get(of, i)))
+
+
 def sketches_apart(a: Column, b: Column) -> Column:
     """Bits in which two sketches differ, the longer one folded to the shorter one's words."""
     words = F.least(F.size(a), F.size(b))
 
-    def folded(of: Column, at: Column) -> Column:
-        every = F.sequence(at, F.size(of) - 1, words)
-        return F.aggregate(every, F.lit(0).cast("long"), lambda held, i: held.bitwiseXOR(F.get(of, i)))
-
-    each = F.transform(F.sequence(F.lit(0), words - 1), lambda at: F.bit_count(folded(a, at).bitwiseXOR(folded(b, at))))
+    each = F.transform(F.sequence(F.lit(0), words - 1), lambda at: F.bit_count(_folded(a, at, words).bitwiseXOR(_folded(b, at, words))))
     return F.aggregate(each, F.lit(0), lambda sum_, n: sum_ + n)
 
 
@@ -251,6 +256,16 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
     tokens = stored(tokens.join(groups, "token"), "shared_tokens")
     sized = (F.col("na") * under >= F.col("nb") * top) & (F.col("nb") * under >= F.col("na") * top)
     digests = texts.select("id", *_text_digests(F.col("text")), "text")
+    brief = first.select("node", *[_folded(F.col("bits"), F.lit(i), F.lit(BRIEF)).alias(f"brief_{i}") for i in range(BRIEF)])
+    apart = sum((F.bit_count(F.col(f"brief_{i}_a").bitwiseXOR(F.col(f"brief_{i}_b"))) for i in range(BRIEF)), F.lit(0))
+
+    def bounded(apart: Column) -> Column:
+        """Whether sets whose sketches differ in so many bits can be similar."""
+        both = F.col("na") + F.col("nb")
+        return (both - apart) * (top + under) >= both * (2 * top)
+
+    def side_of(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select([F.col(c).alias(c if c == "token" else x if c == "node" else f"n{x}" if c == "n" else f"{c}_{x}") for c in rows.columns])
 
     def enough(common: Column) -> Column:  # common shingles for the similarity
         return common * (top + under) >= (F.col("na") + F.col("nb")) * top
@@ -260,9 +275,7 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         below how many shingles two sets don't share; whole sets decide."""
         for x in "ab":
             pairs = pairs.join(first.select(F.col("node").alias(x), F.col("bits").alias(f"bits_{x}")), x)
-        both = F.col("na") + F.col("nb")
-        shared = both - sketches_apart(F.col("bits_a"), F.col("bits_b"))  # in both sets, counted twice
-        pairs = pairs.where(shared * (top + under) >= both * (2 * top))
+        pairs = pairs.where(bounded(sketches_apart(F.col("bits_a"), F.col("bits_b"))))
         pairs = stored(pairs.select("a", "na", "b", "nb"), "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = first.join(nodes, "node").select(F.col("node").alias("of"), *[F.col(c).alias(f"its_{c}") for c in ("id", "one", "two")])
@@ -282,21 +295,33 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
     # Common shingles beyond both prefixes are at most what one of the sets has there.
     beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
     found = similar(met.where(enough(F.col("met") + beyond)).drop("met"))
-    roots = connected_components(found, "a", "b")
-    rest = tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = stored(rest, "rest")
+
+    def rooted() -> DataFrame:
+        roots = connected_components(found, "a", "b")
+        return stored(tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rest")
+
+    rest = rooted()
+    for turn in range(HUB_TURNS):
+        # Tokens that still join many components: a few other hubs of each, against the
+        # nodes of other components, so that a large group of near copies becomes one
+        # before its pairs are made.
+        many = rest.groupBy("token").agg(F.countDistinct("root").alias("roots")).where(F.col("roots") > HUBS).select("token")
+        crowd = stored(rest.join(many, "token").join(brief, "node"), "crowd")
+        if not crowd.limit(1).count():
+            break
+        by = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+        chosen = crowd.withColumn("place", F.row_number().over(by)).where(F.col("place") <= HUBS).drop("place")
+        near = side_of(chosen, "a").join(side_of(crowd, "b"), "token").where((F.col("root_a") != F.col("root_b")) & sized & bounded(apart))
+        found = stored(found.unionByName(similar(near.select("a", "na", "b", "nb").distinct())), "similar")
+        rest = rooted()
     mixed = rest.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     rest = rest.join(mixed.select("token"), "token").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    rest = rest.select("node", "n", "root", F.slice("tokens", 1, LEAST_SHARED).alias("least"), F.explode("tokens").alias("token"))
-    rest = stored(rest, "mixed")
-
-    def side(x: str) -> DataFrame:
-        return rest.select("token", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"root_{x}"), F.col("least").alias(f"least_{x}"))
-
+    rest = rest.join(brief, "node").withColumn("least", F.slice("tokens", 1, LEAST_SHARED))
+    rest = stored(rest.withColumn("token", F.explode("tokens")).drop("tokens"), "mixed")
     # A pair is made at its least common shingle, and elsewhere only where that isn't
     # among the least shingles that each side holds.
     earlier = F.array_min(F.array_intersect("least_a", "least_b")) < F.col("token")
-    pairs = side("a").join(side("b"), "token").where((F.col("root_a") < F.col("root_b")) & sized)
+    pairs = side_of(rest, "a").join(side_of(rest, "b"), "token").where((F.col("root_a") < F.col("root_b")) & sized & bounded(apart))
     pairs = pairs.where(~F.coalesce(earlier, F.lit(False)))
     return found.unionByName(similar(pairs.select("a", "na", "b", "nb").distinct()))
 
