@@ -28,7 +28,8 @@ from stelae.runtime import ship_package, stored
 
 #: Pieces per partition in each round; the last turn that sequence ids have bits for.
 PIECES_PER_PARTITION, LAST_TURN = 1500, 63
-CACHE_WORDS = 300_000
+#: Words of the cache; of one that stays for a worker's next task.
+CACHE_WORDS, KEPT_WORDS = 300_000, 150_000
 
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,./:;=?@^_{}~-]*)")
 _WORKER: dict = {}
@@ -115,6 +116,9 @@ def token_pieces(
             types = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             names = [x.split()[0] for x in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
+        if len(encode.cache) > KEPT_WORDS:  # workers outlive their tasks, and other work
+            encode.cache.clear()
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

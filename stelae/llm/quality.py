@@ -170,6 +170,7 @@ def with_scores(docs: DataFrame, score_texts) -> DataFrame:
             for rows, texts in quality._slabs(batch):
                 found = pa.array(np.asarray(scores(texts), np.float64))
                 yield pa.RecordBatch.from_arrays([*rows.columns, found], names=[*names, "score"])
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     rows = docs.select(*names)
     return rows.mapInArrow(run, rows.withColumn("score", F.lit(0.0)).schema)

@@ -36,7 +36,7 @@ ORDER, DECAY, POWER = 3, 0.6, 4
 MOST_NAMES = 1 << 22
 #: Share of the best landmark's z score that the others need.
 SUPPORT = 0.25
-LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 400_000
+LANDMARKS, PER_CLASS, CACHE_WORDS = 64, 1500, 150_000
 LONGEST, MOST_LETTERS = 16, 32
 #: Characters of text whose words are held at once.
 BLOCK_CHARS = 1 << 20
