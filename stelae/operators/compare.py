@@ -89,3 +89,71 @@ def contains_all(members: DataFrame, sets: DataFrame, group: str, key: str) -> D
     held = members.select(group, key).distinct().join(sets.select("set", key).distinct(), key)
     held = held.groupBy("set", group).agg(F.count(F.lit(1)).alias("held"))
     return held.join(size, "set").where("held = size").select("set", group)
+
+
+def compare_graphs(golden_nodes: DataFrame, new_nodes: DataFrame, golden_edges: DataFrame, new_edges: DataFrame, key: str) -> DataFrame:
+    """what (nodes or edges), key, side for all that differs between two graphs; no rows
+    where they are the same. An absent side is a fault, not an empty comparison."""
+    sides = {"golden_nodes": golden_nodes, "new_nodes": new_nodes, "golden_edges": golden_edges, "new_edges": new_edges}
+    absent = [name for name, rows in sides.items() if rows is None]
+    if absent:
+        raise ValueError(f"nothing to compare: {absent}")
+    nodes = diff_sets(golden_nodes, new_nodes, key).withColumn("what", F.lit("nodes"))
+    return nodes.unionByName(diff_sets(golden_edges, new_edges, key).withColumn("what", F.lit("edges"))).select("what", key, "side")
+
+
+def compare_blocks(baseline: DataFrame, candidate: DataFrame, fields: list[str]) -> DataFrame:
+    """Latest blocks of two stores (pair, text, fingerprint, and header fields) -> pair, verdict,
+    differing: BASELINE_ONLY, CANDIDATE_ONLY, IDENTICAL, ONLY_FINGERPRINT_DIFFERS (the text is
+    the same once the fingerprint is), or DIFFERENT with the names of the header fields that
+    differ, or ``body`` where none does."""
+    sides = [x.select("pair", F.struct("text", "fingerprint", *fields).alias(n)) for x, n in ((baseline, "a"), (candidate, "b"))]
+    both = sides[0].join(sides[1], "pair", "full")
+    same = F.replace(F.col("b.text"), F.col("b.fingerprint"), F.col("a.fingerprint")) == F.col("a.text")
+    verdict = F.when(F.col("a").isNull(), "CANDIDATE_ONLY").when(F.col("b").isNull(), "BASELINE_ONLY").when(F.col("a.text") == F.col("b.text"), "IDENTICAL")
+    verdict = verdict.when(same, "ONLY_FINGERPRINT_DIFFERS").otherwise("DIFFERENT")
+    names = F.array_sort(F.array_compact(F.array(*[F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), F.lit(c)) for c in fields])))
+    names = F.when(F.size(names) > 0, names).otherwise(F.array(F.lit("body")))
+    found = both.select("pair", verdict.alias("verdict"), names.alias("names"))
+    return found.select("pair", "verdict", F.when(F.col("verdict") == "DIFFERENT", F.col("names")).alias("differing"))
+
+
+def typed_value(column: Column, kind) -> Column:
+    """A value as JSON text that tells its type: the integer 1, the float 1.0 and the text
+    "1" differ, as do -0.0 and 0.0; lists keep their order, maps are sorted by key. kind: the
+    column's data type."""
+    from pyspark.sql import types as T
+
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    tag = lambda name, c: F.concat(F.lit(f'["{name}",'), c, F.lit("]"))
+    if isinstance(kind, T.StringType):
+        made = tag("str", quoted(column))
+    elif isinstance(kind, T.BooleanType):
+        made = tag("bool", column.cast("string"))
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        made = tag("int", quoted(column.cast("string")))
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        made = tag("float", quoted(column.cast("double").cast("string")))
+    elif isinstance(kind, T.BinaryType):
+        made = tag("bytes", quoted(F.lower(F.hex(column))))
+    elif isinstance(kind, T.ArrayType):
+        made = tag("list", F.concat(F.lit("["), F.array_join(F.transform(column, lambda x: typed_value(x, kind.elementType)), ","), F.lit("]")))
+    elif isinstance(kind, T.MapType):
+        each = F.transform(F.array_sort(F.map_entries(column)), lambda e: F.concat(F.lit("["), quoted(e["key"]), F.lit(","), typed_value(e["value"], kind.valueType), F.lit("]")))
+        made = tag("map", F.concat(F.lit("["), F.array_join(each, ","), F.lit("]")))
+    elif isinstance(kind, T.StructType):
+        each = [F.concat(F.lit(f'["{f.name}",'), typed_value(column[f.name], f.dataType), F.lit("]")) for f in sorted(kind.fields, key=lambda f: f.name)]
+        made = tag("map", F.concat(F.lit("["), F.concat_ws(",", *each), F.lit("]")))
+    else:
+        made = tag(kind.simpleString(), quoted(column.cast("string")))
+    return F.when(column.isNull(), F.lit('["null"]')).otherwise(made)
+
+
+def set_digest(hashes: DataFrame, hash_col: str, lead: int = 3) -> DataFrame:
+    """n and digest of a bag of hex hashes, whatever their order: the sorted hashes of each
+    leading part are digested, then the sorted digests of these. A part is as many times
+    smaller than the whole as there are parts (16 to the power of ``lead``)."""
+    own = hashes.select(F.substring(hash_col, 1, lead).alias("part"), F.col(hash_col).alias("h"))
+    parts = own.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda x: x["d"]), "\n")
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sha2(whole, 256).alias("digest"))
