@@ -33,6 +33,12 @@ def assertion_id(subject: Column, predicate: Column, target: Column, author: Col
     return F.sha2(text, 256)
 
 
+def match_id(block: Column, subject: Column, predicate: Column, target: Column, instance: Column | None = None) -> Column:
+    """SHA-256 of four lines, of five where a mapping is written to an instance."""
+    lines = F.concat_ws("\n", block, subject, predicate, target)
+    return F.sha2(lines if instance is None else F.when(instance.isNull(), lines).otherwise(F.concat(lines, F.lit("\n"), instance)), 256)
+
+
 def mapping_sameness_id(subjects: Column, predicate: Column, objects: Column, negative: Column) -> Column:
     """One id for a mapping however its member lists are ordered."""
     listed = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), " ")

@@ -116,6 +116,32 @@ def fold_up(tree: Tree, digest: bool = False, bare_of: str | None = None) -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
+def without(tree: Tree, names: tuple[str, ...]) -> Tree:
+    """The tree without the members of these names, at any depth; a container that they were
+    all of is empty then."""
+    left = tree.nodes.where(~F.exists("steps", lambda s: F.coalesce(s["key"].isin(*names), F.lit(False))))
+    left = stored(left, "kept")
+    parents = left.where("level > 0").select("doc", F.slice("steps", 1, F.size("steps") - 1).alias("steps")).distinct().withColumn("held", F.lit(True))
+    nodes = left.join(parents, ["doc", "steps"], "left")
+    bare = (F.col("kind") != "leaf") & F.col("held").isNull()
+    value = F.when(bare, F.when(F.col("kind") == "object", "{}").otherwise("[]")).otherwise(F.col("value"))
+    nodes = nodes.withColumns({"value": value, "kind": F.when(bare, "leaf").otherwise(F.col("kind"))})
+    return Tree(stored(nodes.select("doc", "steps", "kind", "value", "level"), "kept"), tree.depth)
+
+
+def frozen_text(docs: DataFrame) -> DataFrame:
+    """docs (doc, text) -> doc, text in canonical JSON, digest (its SHA-256): one text for
+    documents that differ in order and spacing alone. What JSON can't say (NaN, infinities)
+    fails the job."""
+    return rebuilt(unnest(docs)).withColumn("digest", F.sha2("text", 256))
+
+
+def definition_digests(docs: DataFrame, omitted: tuple[str, ...] = ("position", "comments")) -> DataFrame:
+    """docs (doc, text) -> doc, digest of the canonical JSON without the members that say
+    where a definition stands, not what it is."""
+    return rebuilt(without(unnest(docs), omitted)).select("doc", F.sha2("text", 256).alias("digest"))
+
+
 def rebuilt(tree: Tree) -> DataFrame:
     """-> doc, text: the documents in canonical JSON."""
     return fold_up(tree).where("level = 0").select("doc", F.col("value").alias("text"))

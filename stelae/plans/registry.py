@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from stelae.plans import card_queries, derived_queries, document_queries, gate_queries, graph_queries, mapping_queries, relation_queries, source_queries, standards_queries, store_queries, structure_queries, text_queries, voting_queries  # noqa: F401
+    from stelae.plans import card_queries, derived_queries, document_queries, gate_queries, graph_queries, kit_queries, mapping_queries, relation_queries, source_queries, standards_queries, store_queries, structure_queries, text_queries, voting_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
