@@ -13,7 +13,10 @@ Defined results: null payload is an empty one; a null URL leaves its header out;
 null id is kept as null; payloads of any length are written whole; URLs are read back as
 given; rows that repeat the least id of their group are all
 responses; an empty table makes an archive without records, which reads as no rows;
-further columns are ignored.
+further columns are ignored. Of other writers' archives (a gzip member for each record)
+responses, resources and revisits are read, with a null page_id and, for what carries its
+payload, the SHA-256 of it; a revisit has the digest only if it is a SHA-256. Records of
+other kinds (warcinfo, request, metadata) are passed over.
 """
 
 from __future__ import annotations
@@ -68,15 +71,15 @@ def with_revisits(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     """page_id, url, html -> page_id, url, payload, digest, refers_to."""
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    # Short payloads have no key, so that they don't all meet in one task of a join.
-    rows = rows.withColumn("long_digest", F.when(F.octet_length("payload") >= least_bytes, F.col("digest")))
-    groups = rows.where("long_digest is not null").groupBy("long_digest")
-    firsts = groups.agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = stored(firsts.select("long_digest", "first_id"), "revisited")
+    # Short payloads take no part in the join: as rows without a key they would all meet in one task.
+    short = rows.where(F.octet_length("payload") < least_bytes).withColumn("refers_to", F.lit(None).cast(rows.schema["page_id"].dataType))
+    rows = rows.where(F.octet_length("payload") >= least_bytes)
+    firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = stored(firsts.select("digest", "first_id"), "revisited")
     if firsts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         firsts = F.broadcast(firsts)
     later = F.when(F.col("page_id").eqNullSafe(F.col("first_id")), None).otherwise(F.col("first_id"))
-    return rows.join(firsts, "long_digest", "left").select("page_id", "url", "payload", "digest", later.alias("refers_to"))
+    return rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "digest", later.alias("refers_to")).unionByName(short)
 
 
 def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -107,26 +110,44 @@ def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z
 
 
 def _parse(raw: bytes) -> dict | None:
+    """A record; None for bytes that are none; an empty dict for a record of another kind
+    than responses, revisits and resources."""
     head, gap, rest = raw.partition(b"\r\n\r\n")
     if not gap or not head.startswith(b"WARC/1."):
         return None
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8").split("\r\n")[1:])
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(re.search(rb"(?i)content-length: (\d+)", http)[1])
-    given = fields.get("X-Target-Given")
-    revisit = fields["WARC-Type"] == "revisit"
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-    if not revisit and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
-    number = lambda x: None if x == "<urn:page:>" else int(x[len("<urn:page:") : -1])
+    lines = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    fields = {name.strip().lower(): value.strip() for name, _, value in lines}
+    kind, size = fields.get("warc-type"), fields.get("content-length", "")
+    if not kind or not size.isdigit():
+        return None
+    if kind not in ("response", "revisit", "resource"):
+        return {}
+    block, revisit = rest[: int(size)], kind == "revisit"
+    http, gap, payload = block.partition(b"\r\n\r\n")
+    if not http.startswith(b"HTTP/"):
+        http, payload = b"", block
+    said = re.search(rb"(?i)\ncontent-length:[ \t]*(\d+)", http)
+    own = fields.get("warc-payload-digest", "").startswith("sha256:")  # as this writer has it
+    digest = fields["warc-payload-digest"].removeprefix("sha256:") if own else None
+    length = int(said[1]) if said and (own or revisit) else len(payload)
+    if not revisit:
+        actual = hashlib.sha256(payload).hexdigest()
+        if own and (len(payload) != length or actual != digest):
+            raise ValueError(f"damaged record {fields.get('warc-record-id')}")
+        digest = actual
+
+    def number(name: str) -> int | None:
+        found = re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(name, ""))
+        return int(found[1]) if found else None
+
+    given = fields.get("x-target-given")
     return {
-        "page_id": number(fields["WARC-Record-ID"]),
-        "url": fields.get("WARC-Target-URI") if given is None else unquote(given),
-        "record_type": fields["WARC-Type"],
+        "page_id": number("warc-record-id"),
+        "url": fields.get("warc-target-uri") if given is None else unquote(given),
+        "record_type": kind,
         "payload_bytes": length,
         "payload_digest": digest,
-        "refers_to": number(fields["WARC-Refers-To"]) if revisit else None,
+        "refers_to": number("warc-refers-to") if revisit else None,
         "payload": None if revisit else payload,
     }
 
@@ -172,7 +193,7 @@ def records_of_range(read_at, start: int, stop: int):
         used = fed - len(unpack.unused_data)
         del held[:used]
         base, at = base + used, base + used
-        if record is not None:
+        if record:
             yield record
 
 

@@ -278,3 +278,49 @@ def test_phrase_hashes_are_independent():
     two = suffix_dedup.second_hash(data, at, at + 20, at + 3)
     assert len(np.unique(one)) == len(np.unique(two)) == len(at)
     assert ((one & np.uint64(0xFFFF)) == (two & np.uint64(0xFFFF))).mean() < 0.0002
+
+
+# --- WARC records of other writers
+
+
+def test_records_of_other_writers(spark):
+    import gzip
+    import os
+
+    from stelae.llm import warc
+    from stelae.runtime import new_shared_path
+
+    def record(kind, block, *fields):
+        head = "".join(f"{f}\r\n" for f in (f"WARC-Type: {kind}", *fields, f"Content-Length: {len(block)}"))
+        return gzip.compress(b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n")
+
+    body = b"<p>hello</p>"
+    members = [
+        record("warcinfo", b"software: x\r\n"), record("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n"),
+        record("response", b"HTTP/1.1 200 OK\r\nServer: s\r\n\r\n" + body, "WARC-Record-ID: <urn:uuid:1>", "warc-target-uri:http://h/", "WARC-Payload-Digest: sha1:ABC"),
+        record("response", b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\n" + body, "WARC-Record-ID: <urn:uuid:2>"),
+        record("resource", body, "WARC-Record-ID: <urn:uuid:3>", "WARC-Target-URI: ftp://h/"), record("metadata", b"a: b"),
+        record("revisit", b"HTTP/1.1 200 OK\r\nServer: s\r\n\r\n", "WARC-Record-ID: <urn:uuid:4>", "WARC-Refers-To: <urn:uuid:1>"), record("conversion", b""),
+    ]
+    path = new_shared_path(spark, "foreign")
+    os.makedirs(path.removeprefix("file://"))
+    with open(f"{path.removeprefix('file://')}/part-0.gz", "wb") as out:
+        out.write(b"".join(members))
+    for size in (4 << 20, 100):
+        rows = warc.read_archive(spark, path, size).collect()
+        digest = hashlib.sha256(body).hexdigest()
+        assert sorted((r.record_type, r.url or "", r.payload_bytes, r.payload_digest or "") for r in rows) == [
+            ("resource", "ftp://h/", 12, digest), ("response", "", 12, digest), ("response", "http://h/", 12, digest), ("revisit", "", 0, ""),
+        ]
+        assert {r.page_id for r in rows} == {None} and {bytes(r.payload) for r in rows if r.payload is not None} == {body}
+
+
+def test_short_payloads_stay_out_of_the_join(spark, monkeypatch):
+    from stelae.llm import warc
+
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    rows = [(i, None, "x" if i % 2 else "y" * 100) for i in range(40)] + [(None, None, None)]
+    found = warc.with_revisits(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert found.count() == 41
+    assert {r.refers_to for r in found.collect() if len(r.payload) == 100 and r.page_id} == {0}
+    assert all(r.refers_to is None for r in found.collect() if len(r.payload) < 100)
