@@ -8,7 +8,7 @@ from stelae.operators import cycles, routes
 from stelae.plans.model import Tables
 from stelae.plans.registry import query
 from stelae.runtime import new_shared_path, stored
-from stelae.sources import edge_writer, log_blocks, schema_sets
+from stelae.sources import edge_writer, log_blocks, rdf, schema_sets
 
 
 def _text(column: str):
@@ -199,3 +199,36 @@ def uri_resolution(t: Tables):
     found = routes.matched(asked.select("uri").distinct(), routes.route_table(t.spark, TEMPLATES))
     answers = routes.resolved(found, known, ["layer", "layerVersion", "manifest", "meaning", "element"], ["manifest"])
     return asked.join(answers, "uri").groupBy("form", "kind", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- ontologies
+
+
+def _ontology_files(t: Tables):
+    """A file for each nation: its class, its customers as properties with a range declared
+    in place, and their values."""
+    names = 'xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns:skos="http://www.w3.org/2004/02/skos/core#"'
+    person = F.concat(
+        F.lit('<rdf:Property rdf:about="c:'), _text("c_custkey"), F.lit('" rdfs:label="'), "c_name", F.lit('"><rdfs:domain rdf:resource="n:'), _text("c_nationkey"),
+        F.lit('"/><rdfs:range><skos:ConceptScheme rdf:about="s:'), "c_mktsegment", F.lit('"/></rdfs:range></rdf:Property><skos:Concept rdf:about="v:'), _text("c_custkey"),
+        F.lit('"><skos:inScheme rdf:resource="s:'), "c_mktsegment", F.lit('"/></skos:Concept>'),
+    )
+    held = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.array_join(F.collect_list(person), "").alias("people"))
+    own = F.concat(
+        F.lit('<rdfs:Class rdf:about="n:'), _text("n_nationkey"), F.lit('"><rdfs:label xml:lang="de">Land</rdfs:label><rdfs:label xml:lang="en">'), "n_name",
+        F.lit('</rdfs:label><rdfs:subClassOf rdf:resource="r:'), _text("n_regionkey"), F.lit('"/></rdfs:Class>'),
+    )
+    text = F.concat(F.lit(f"<rdf:RDF {names}>"), own, F.coalesce("people", F.lit("")), F.lit("</rdf:RDF>"))
+    return t.nation.join(held, "n_nationkey", "left").select(_text("n_nationkey").alias("path"), text.alias("text"))
+
+
+@query("""SELECT 'n:' || n_nationkey AS id, 'class' AS role, n_name AS label FROM nation UNION ALL SELECT 'c:' || c_custkey, 'property', c_name FROM customer
+UNION ALL SELECT DISTINCT 's:' || c_mktsegment, 'optionSet', NULL FROM customer UNION ALL SELECT 'v:' || c_custkey, 'optionValue', NULL FROM customer""")
+def ontology_nodes(t: Tables):
+    return rdf.ontology(rdf.statements(_ontology_files(t)))[0]
+
+
+@query("""SELECT 'SUBCLASS_OF' AS type, 'n:' || n_nationkey AS from_id, 'r:' || n_regionkey AS to_id FROM nation UNION ALL SELECT 'HAS_PROPERTY', 'n:' || c_nationkey, 'c:' || c_custkey FROM customer
+UNION ALL SELECT 'RANGE', 'c:' || c_custkey, 's:' || c_mktsegment FROM customer UNION ALL SELECT 'HAS_VALUE', 's:' || c_mktsegment, 'v:' || c_custkey FROM customer""")
+def ontology_edges(t: Tables):
+    return rdf.ontology(rdf.statements(_ontology_files(t)))[1]

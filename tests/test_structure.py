@@ -243,3 +243,28 @@ def test_answers_by_status(spark):
     known = spark.createDataFrame([("a", "1", "one"), ("b", "1", "one"), ("c", "1", "c-one")], "kind string, key string, answer string")
     got = {r.uri: (r.status, r.answer) for r in routes.resolved(found, known, ["a", "c"], ["c"]).collect()}
     assert got == {"edc:a/1": (200, "one"), "edc:a/2": (404, None), "edc:b/1": (501, None), "edc:z": (400, None), "edc:a/1?page=1": (400, None), "edc:c/1?page=1": (200, "c-one"), None: (400, None)}
+
+
+# --- RDF/XML
+
+
+def test_statements_of_a_file(spark):
+    from stelae.sources import rdf
+
+    text = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns:owl="http://www.w3.org/2002/07/owl#" xmlns:e="urn:e#" xml:base="http://b/x" xml:lang="en">
+    <owl:Class rdf:ID="A" e:note="n"><rdfs:label>Ä</rdfs:label><rdfs:label xml:lang="fr">à</rdfs:label><rdfs:subClassOf><rdfs:Class rdf:about="B"/></rdfs:subClassOf></owl:Class>
+    <rdf:Description rdf:about="#A"><e:n rdf:datatype="urn:int">5</e:n><e:list rdf:parseType="Collection"><rdf:Description rdf:about="urn:1"/><e:T/></e:list><e:x rdf:parseType="Literal">a<b>c</b></e:x></rdf:Description>
+    <owl:ObjectProperty rdf:about="urn:p"><rdf:type rdf:resource="http://www.w3.org/2000/01/rdf-schema#Class"/><rdfs:domain rdf:resource="#A"/><rdfs:label/></owl:ObjectProperty></rdf:RDF>"""
+    said = rdf.statements(spark.createDataFrame([("f", text)], "path string, text string"))
+    short = lambda x: x.rsplit("#", 1)[-1] if x.startswith("http://www.w3") or x.startswith("urn:e#") else x
+    got = {(r.subject, short(r.predicate), short(r.object), r.kind, r.lang, r.datatype and short(r.datatype), r.place) for r in said.collect()}
+    a = "http://b/x#A"
+    assert got == {
+        (a, "type", "Class", "iri", None, None, None), (a, "note", "n", "literal", "en", None, None), (a, "label", "Ä", "literal", "en", None, None), (a, "label", "à", "literal", "fr", None, None),
+        (a, "subClassOf", "http://b/B", "iri", None, None, None), ("http://b/B", "type", "Class", "iri", None, None, None), (a, "n", "5", "literal", None, "urn:int", None),
+        (a, "list", "urn:1", "iri", None, None, 0), (a, "list", "_:f#1", "blank", None, None, 1), ("_:f#1", "type", "T", "iri", None, None, None), (a, "x", "a<b>c</b>", "literal", None, "XMLLiteral", None),
+        ("urn:p", "type", "ObjectProperty", "iri", None, None, None), ("urn:p", "type", "Class", "iri", None, None, None), ("urn:p", "domain", a, "iri", None, None, None), ("urn:p", "label", "", "literal", "en", None, None),
+    }
+    nodes, edges = rdf.ontology(said)
+    assert {(r.id, r.role, r.label) for r in nodes.collect()} == {(a, "class", "Ä"), ("http://b/B", "class", None), ("urn:p", "class", "")}
+    assert {(r.type, r.from_id, r.to_id) for r in edges.collect()} == {("SUBCLASS_OF", a, "http://b/B"), ("HAS_PROPERTY", a, "urn:p")}
