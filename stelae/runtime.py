@@ -64,4 +64,17 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     cut, every executor can read them, and later joins are free to deal rows anew."""
     path = new_shared_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: what was made of them has to be
+    stored itself."""
+    for table in tables:
+        path = getattr(table, "stored_path", None)
+        if path:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
