@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stelae.runtime import stored
+from stelae.runtime import discard, stored
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -22,7 +22,9 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before = edges
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(before)
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1000003)).first()
         if state == seen:
             break

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stelae.llm.components import connected_components
-from stelae.runtime import ship_package, stored
+from stelae.runtime import discard, ship_package, stored
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
 #: Of near duplicates by similarity: words of a shingle, least Jaccard similarity,
@@ -276,17 +276,20 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         for x in "ab":
             pairs = pairs.join(first.select(F.col("node").alias(x), F.col("bits").alias(f"bits_{x}")), x)
         pairs = pairs.where(bounded(sketches_apart(F.col("bits_a"), F.col("bits_b"))))
-        pairs = stored(pairs.select("a", "na", "b", "nb"), "pairs")
+        pairs = made = stored(pairs.select("a", "na", "b", "nb"), "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = first.join(nodes, "node").select(F.col("node").alias("of"), *[F.col(c).alias(f"its_{c}") for c in ("id", "one", "two")])
         same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("id", "one", "two")]
-        found = digests.join(stored(wanted, "wanted"), same).dropDuplicates(["id", "one", "two"])
+        wanted = stored(wanted, "wanted")
+        found = digests.join(wanted, same).dropDuplicates(["id", "one", "two"])
         sets = shingle_sets(found.select("of", "text"), "of", "text", width, None, *_NONE)
         sets = stored(sets.select("of", "held"), "sets")
         for x in "ab":
             pairs = pairs.join(sets.select(F.col("of").alias(x), F.col("held").alias(f"held_{x}")), x)
         common = F.size(F.array_intersect("held_a", "held_b"))
-        return stored(pairs.where(enough(common)).select("a", "b"), "similar")
+        out = stored(pairs.where(enough(common)).select("a", "b"), "similar")
+        discard(made, wanted, sets)
+        return out
 
     stars = tokens.where("node <> hub.node")
     hub = [F.col("hub.node").alias("a"), F.col("hub.n").alias("na")]
@@ -313,17 +316,23 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         chosen = crowd.withColumn("place", F.row_number().over(by)).where(F.col("place") <= HUBS).drop("place")
         near = side_of(chosen, "a").join(side_of(crowd, "b"), "token").where((F.col("root_a") != F.col("root_b")) & sized & bounded(apart))
         found = stored(found.unionByName(similar(near.select("a", "na", "b", "nb").distinct())), "similar")
+        discard(crowd, rest)
         rest = rooted()
+    discard(tokens)
+    whole = rest
     mixed = rest.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     rest = rest.join(mixed.select("token"), "token").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     rest = rest.join(brief, "node").withColumn("least", F.slice("tokens", 1, LEAST_SHARED))
     rest = stored(rest.withColumn("token", F.explode("tokens")).drop("tokens"), "mixed")
+    discard(whole)
     # A pair is made at its least common shingle, and elsewhere only where that isn't
     # among the least shingles that each side holds.
     earlier = F.array_min(F.array_intersect("least_a", "least_b")) < F.col("token")
     pairs = side_of(rest, "a").join(side_of(rest, "b"), "token").where((F.col("root_a") < F.col("root_b")) & sized & bounded(apart))
     pairs = pairs.where(~F.coalesce(earlier, F.lit(False)))
-    return found.unionByName(similar(pairs.select("a", "na", "b", "nb").distinct()))
+    last = similar(pairs.select("a", "na", "b", "nb").distinct())
+    discard(rest)
+    return found.unionByName(last)
 
 
 def near_duplicates(

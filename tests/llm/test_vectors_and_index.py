@@ -324,3 +324,34 @@ def test_short_payloads_stay_out_of_the_join(spark, monkeypatch):
     assert found.count() == 41
     assert {r.refers_to for r in found.collect() if len(r.payload) == 100 and r.page_id} == {0}
     assert all(r.refers_to is None for r in found.collect() if len(r.payload) < 100)
+
+
+# --- near duplicates of crowded shingles
+
+
+def test_a_crowd_of_near_copies_against_brute_force(spark, monkeypatch):
+    """Many documents share one passage and differ elsewhere, so that shingles join more
+    components than there are hubs."""
+    from stelae.llm import simhash
+
+    monkeypatch.setattr(simhash, "HUBS", 2)
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    base, rows = [word() for _ in range(120)], {}
+    for i in range(60):
+        words = list(base)
+        for _ in range(draw.randint(0, 9)):
+            words[draw.randrange(len(words))] = word()
+        rows[i] = " ".join(words)
+    for i in range(60, 75):
+        rows[i] = " ".join([*base[:40], *(word() for _ in range(draw.randint(5, 60)))])
+    sets = {k: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in rows.items())}
+    root = {k: k for k in rows}
+    for a in rows:
+        for b in rows:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((root[a], root[b]))
+                root = {k: x if r == y else r for k, r in root.items()}
+    assert len(set(root.values())) > 5
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == root
