@@ -21,6 +21,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ L, N, P, A1, A2, WR, WL, SL, SEP = range(9)
 FRESH, IN_L, IN_N, IN_P, IN_W, JOIN, C2, C1 = range(8)
 BLOCK = 64
 #: Code points worked on at a time, and pieces kept in a worker's cache.
-SLAB_CHARS, CACHE_PIECES = 2_000_000, 300_000
+SLAB_CHARS, CACHE_PIECES = 400_000, 300_000
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -303,25 +304,43 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
                     [pa.array(keys, batch.schema.field(0).type), bpe._lists([d[0] for d in done]), bpe._lists([d[1] for d in done])],
                     names=[id_col, "ids", "offsets"],
                 )
+                del done
+            del batch, texts
+            pa.default_memory_pool().release_unused()  # what a batch took isn't kept for the next
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, ids array<int>, offsets array<int>")
 
 
+def bytes_of_lists(ids: pa.ListArray, table: pa.BinaryArray) -> pa.BinaryArray:
+    """For each list of ids the bytes that they stand for, one after another. table: the
+    bytes of each id. No object is made for an id: the tokens of all lists are gathered
+    into one buffer, of which each list has a range."""
+    tokens = table.take(ids.flatten())
+    ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)])
+    _, places, held = tokens.buffers()
+    begins = np.frombuffer(places, np.int32)[tokens.offset :][ends] if len(tokens) else np.zeros(len(ends), np.int32)
+    out = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(begins.astype(np.int32)), held or pa.py_buffer(b"")])
+    return pc.if_else(ids.is_valid(), out, pa.scalar(None, pa.binary())) if ids.null_count else out
+
+
+def _bytes_table(path: str) -> pa.BinaryArray:
+    if ("bytes", path) not in _WORKER:
+        ranks = load_ranks(path)
+        table = [b""] * (max(ranks.values()) + 1)
+        for raw, i in ranks.items():
+            table[i] = raw
+        _WORKER["bytes", path] = pa.array(table, pa.binary())
+    return _WORKER["bytes", path]
+
+
 def decode(ids: Column, ranks_path: str) -> Column:
     """The bytes that token ids stand for; null ids give null."""
 
-    @F.pandas_udf("binary")
-    def decoded(column):
+    @F.arrow_udf("binary")
+    def decoded(column: pa.Array) -> pa.Array:
         from stelae.llm import bpe
 
-        if ("bytes", ranks_path) not in bpe._WORKER:
-            ranks = bpe.load_ranks(ranks_path)
-            table = [b""] * (max(ranks.values()) + 1)
-            for raw, i in ranks.items():
-                table[i] = raw
-            bpe._WORKER["bytes", ranks_path] = table
-        get = bpe._WORKER["bytes", ranks_path].__getitem__
-        return column.map(lambda x: None if x is None else b"".join(map(get, x.tolist())))
+        return bpe.bytes_of_lists(column, bpe._bytes_table(ranks_path))
 
     return decoded(ids)

@@ -584,6 +584,32 @@ def test_bpe_like_the_library():
         assert all(raw[o : o + len(p)] == p for o, p in zip(offsets.tolist(), parts, strict=True))
 
 
+def test_bpe_decodes_lists_without_objects_for_ids():
+    import pyarrow as pa
+
+    table = pa.array([b"a", b"", b"\xff\x00", b"word"], pa.binary())
+    lists = pa.array([[9], [3, 0], None, [], [2, 1, 2], None, [0]], pa.list_(pa.int32()))
+    for at in range(1, len(lists) + 1):
+        want = [b"worda", None, b"", b"\xff\x00\xff\x00", None, b"a"][at - 1 :]
+        assert bpe.bytes_of_lists(lists[at:], table).to_pylist() == want
+    assert bpe.bytes_of_lists(pa.array([None, []], lists.type), table).to_pylist() == [None, b""]
+
+
+def test_bpe_slab_takes_little_memory():
+    import tracemalloc
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    classes, merger = bpe._tools(path)
+    texts = [" ".join(f"w{(i * j) % 900}" for j in range(400)) for i in range(1500)]  # 2.4 million characters or so
+    list(bpe.encode_texts(texts[:300], classes, merger))
+    tracemalloc.start()
+    for _, slab in bpe._slabs(list(range(len(texts))), texts):
+        bpe.encode_texts(slab, classes, merger)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 def test_bpe_round_trip(spark, small, texts, odd):
     got = {r.doc_id: r for r in queries.op10_bpe(spark, small).collect()}
     assert {k: r.decoded_sha256 for k, r in got.items()} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in texts.items()}
