@@ -7,14 +7,17 @@ differ in at most one bit in one of their halves, so the counts of that half lie
 one grid cell or in cells that touch (one count apart in one segment). Points are
 joined with the touching cells and every candidate is verified exactly.
 
-Near duplicates by similarity: two shingle sets of at least a given Jaccard
+Near duplicates by similarity start with the same join: documents whose fingerprints
+lie within the radius are candidates, and become components where the similarity of
+their whole shingle sets is high enough. No radius bounds how far apart the
+fingerprints of similar sets lie, so what the fingerprints can't reach is completed
+exactly, between different components only: two shingle sets of at least a given Jaccard
 similarity share one of the first shingles of each in any common order (prefix
-filter), so pairs that share none are never looked at and no pair is lost, however
-far its fingerprints lie apart. Shingles that a sample finds in several documents
-come last in the order. First each document meets the least document of each shared
-shingle; then only documents that are still in different components meet, each pair at
-its least common shingle. Pairs whose sketches (parities of shingles by bit, two bits a
-shingle) lie too far apart go.
+filter), so pairs that share none are never looked at and no pair is lost. Shingles that
+a sample finds in several documents come last in the order. Each document meets the least
+document of each shared shingle; then documents that are still in different components
+meet, each pair at its least common shingle. Pairs whose sketches (parities of shingles
+by bit, two bits a shingle) lie too far apart go.
 Every candidate's similarity is worked out from the whole sets.
 
 Defined results: null text is empty text, with fingerprint zero, linked like any
@@ -46,6 +49,7 @@ HUBS, HUB_TURNS = 4, 2
 BRIEF = 4  # words to which sketches are folded where shingles are joined
 LEAST_SHARED = 8  # of a document's shared shingles, by which a pair knows where it met before
 BLOCK_ROWS = 512  # whose shingle sets are held at once
+FILTER_BITS = 24  # of a bitmap of wanted texts, sent to all tasks: 2^18 words at most
 _EVEN_BITS = 0x55555555
 
 
@@ -242,14 +246,41 @@ def _text_digests(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two")
 
 
+def _perhaps_wanted(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys may be among those wanted: all that are, and few others, by a bitmap
+    of their hashes. Its size is bounded, so it is broadcast, whatever their number; the
+    others needn't be shuffled for an exact join."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << FILTER_BITS))
+    word, bit = F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    bitmap = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bitmap"))
+    held = rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
+    return held.where(F.col("bitmap").bitwiseAND(F.col("bit")) != 0).drop("word", "bit", "bitmap")
+
+
+def close_prints(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """sets (fp, node, n; nodes differ) -> a, na, b, nb: of each fingerprint the least node
+    with the others, and with the least node of each fingerprint within the radius."""
+    heads = stored(sets.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("head")), "prints")
+
+    def of(x: str) -> DataFrame:
+        return heads.select(F.col("fp").alias(f"fp_{x}"), F.col("head.node").alias(x), F.col("head.n").alias(f"n{x}"))
+
+    near = links(heads.select("fp"), radius).toDF("fp_a", "fp_b").join(of("a"), "fp_a").join(of("b"), "fp_b")
+    equal = sets.select(F.col("fp").alias("fp_a"), F.col("node").alias("b"), F.col("n").alias("nb")).join(of("a"), "fp_a").where("a <> b")
+    names = ["a", "na", "b", "nb"]
+    return near.select(names).unionByName(equal.select(names))
+
+
 def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction) -> DataFrame:
-    """own (row, node, n, bits, held: the prefix, id, one, two: digests of the text; nodes may
-    repeat), texts (id, text) -> a, b: pairs of nodes of at least this similarity, enough of
-    them that every such pair is connected. Whole sets are made again from the texts,
+    """own (row, fp, node, n, bits, held: the prefix, id, one, two: digests of the text; nodes
+    may repeat), texts (id, text) -> a, b: pairs of nodes of at least this similarity, enough of
+    them that every such pair is connected: first those of close fingerprints, then those of
+    shared prefixes between different components. Whole sets are made again from the texts,
     only for nodes of pairs whose prefixes and sizes leave them in question."""
     top, under = least.numerator, least.denominator
     ones = stored(own.groupBy("node").agg(F.min("row").alias("row")).select("row"), "ones")
-    first = own.join(ones, "row")
+    first = stored(own.join(ones, "row"), "sets_once")
+    discard(ones)
     tokens = first.select("node", "n", F.explode("held").alias("token"))
     groups = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("hub"))
     groups = groups.where("size > 1").select("token", "hub")
@@ -281,7 +312,8 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         wanted = first.join(nodes, "node").select(F.col("node").alias("of"), *[F.col(c).alias(f"its_{c}") for c in ("id", "one", "two")])
         same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("id", "one", "two")]
         wanted = stored(wanted, "wanted")
-        found = digests.join(wanted, same).dropDuplicates(["id", "one", "two"])
+        held = _perhaps_wanted(digests, wanted.select(F.col("its_id").alias("id"), F.col("its_one").alias("one"), F.col("its_two").alias("two")), ["id", "one", "two"])
+        found = held.join(wanted, same).dropDuplicates(["of"])
         sets = shingle_sets(found.select("of", "text"), "of", "text", width, None, *_NONE)
         sets = stored(sets.select("of", "held"), "sets")
         for x in "ab":
@@ -291,13 +323,19 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         discard(made, wanted, sets)
         return out
 
+    found = similar(close_prints(first).where(sized))
+    roots = stored(connected_components(found, "a", "b"), "roots")
     stars = tokens.where("node <> hub.node")
     hub = [F.col("hub.node").alias("a"), F.col("hub.n").alias("na")]
     met = stars.select(*hub, F.col("node").alias("b"), F.col("n").alias("nb")).where(sized)
     met = met.groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("met"))
     # Common shingles beyond both prefixes are at most what one of the sets has there.
     beyond = F.greatest(*[F.floor((F.col(n) * top + under - 1) / under) - 1 for n in ("na", "nb")])
-    found = similar(met.where(enough(F.col("met") + beyond)).drop("met"))
+    met = met.where(enough(F.col("met") + beyond)).drop("met")
+    for x in "ab":
+        met = met.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x, "left")
+    apart_yet = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    found = stored(found.unionByName(similar(met.where(apart_yet).select("a", "na", "b", "nb"))), "similar")
 
     def rooted() -> DataFrame:
         roots = connected_components(found, "a", "b")
@@ -331,8 +369,9 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
     pairs = side_of(rest, "a").join(side_of(rest, "b"), "token").where((F.col("root_a") < F.col("root_b")) & sized & bounded(apart))
     pairs = pairs.where(~F.coalesce(earlier, F.lit(False)))
     last = similar(pairs.select("a", "na", "b", "nb").distinct())
-    discard(rest)
-    return found.unionByName(last)
+    out = stored(found.unionByName(last), "links")
+    discard(rest, first, roots)
+    return out
 
 
 def near_duplicates(
@@ -349,5 +388,7 @@ def near_duplicates(
     keyed = docs.select(F.struct("id", *_text_digests(F.col("text"))).alias("keys"), "text")
     own = shingle_sets(keyed, "keys", "text", width, least, *often).select("keys.*", "fp", "node", "n", "bits", "held")
     own = stored(own.withColumn("row", F.monotonically_increasing_id()), "shingle_sets")
-    found = stored(similar_sets(own, docs, width, least), "links")
-    return _with_components(own.select("id", "fp", "node"), found, "node").withColumnRenamed("id", id_col)
+    found = similar_sets(own, docs, width, least)
+    brief = stored(own.select("id", "fp", "node"), "nodes")
+    discard(own)
+    return _with_components(brief, found, "node").withColumnRenamed("id", id_col)

@@ -118,6 +118,37 @@ def test_similar_texts_far_apart_in_bits(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == root
 
 
+def test_near_duplicates_start_from_fingerprints(spark, monkeypatch):
+    draw, seen = random.Random(21), []
+    grid = simhash.links
+    monkeypatch.setattr(simhash, "links", lambda points, radius=3: seen.append(grid(points, radius).collect()) or grid(points, radius))
+    words = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(400)]
+    first, edits = " ".join(words), (" ".join([*words[:-1], f"other{i}"]) for i in range(300))
+    bits = lambda t: bin(simhash.fingerprint(first, simhash.WIDE_SHINGLE) ^ simhash.fingerprint(t, simhash.WIDE_SHINGLE)).count("1")
+    texts = {1: first, 2: next(t for t in edits if 1 <= bits(t) <= 3), 3: " ".join([*words[:200], *words[:200:-1]])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    prints = {k: simhash.fingerprint(t, simhash.WIDE_SHINGLE) for k, t in texts.items()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert [{r.a & (2**64 - 1), r.b & (2**64 - 1)} for r in seen[0]] == [{prints[1], prints[2]}]
+
+
+def test_pairs_of_close_fingerprints(spark):
+    prints = [0, 0, 0, 7, 15, 1 << 63, -1, -1]
+    sets = spark.createDataFrame([(p - (1 << 64) if p >> 63 == 1 else p, i, 10 + i) for i, p in enumerate(prints)], "fp long, node long, n long")
+    got = {(*sorted((r.a, r.b)), r.na - r.a, r.nb - r.b) for r in simhash.close_prints(sets).collect()}
+    assert got == {(0, 1, 10, 10), (0, 2, 10, 10), (0, 3, 10, 10), (3, 4, 10, 10), (0, 5, 10, 10), (6, 7, 10, 10)}
+
+
+def test_texts_perhaps_wanted(spark, monkeypatch):
+    rows = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), F.xxhash64("id").alias("one"))
+    wanted = rows.where("id % 100 = 0 or id is null")
+    for bits, most in ((24, 32), (6, 3000)):
+        monkeypatch.setattr(simhash, "FILTER_BITS", bits)
+        got = simhash._perhaps_wanted(rows, wanted, ["id", "one"])
+        assert got.columns == rows.columns and got.count() <= most and wanted.join(got, "one", "left_anti").count() == 0
+
+
 # --- Packing
 
 
