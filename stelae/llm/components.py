@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stelae.runtime import discard, stored
@@ -19,13 +19,15 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before = edges
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, seen_now = edges, Observation()  # of what is written, so that it needn't be read for that
+        edges = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        marks = F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("digest"), F.sum(F.col("v") % 1000003).alias("sum")
+        edges = stored(edges.observe(seen_now, *marks), "edges")
         discard(before)
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1000003)).first()
+        state = seen_now.get
         if state == seen:
             break
         seen = state

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 
 from stelae.llm.labelled import constant, training_rows
 from stelae.llm.quality import with_scores
+from stelae.runtime import give_back_memory
 
 ORDER, DECAY, POWER = 3, 0.6, 4
 #: Subsequences that a direct table may name.
@@ -290,7 +291,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     if not 0 < y.sum() < len(y):
         return {"constant": float(y.mean()) if len(y) else 0.0}
     weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
-    return fit([r["text"] or "" for r in got], y, weight / weight.mean())
+    model = fit([r["text"] or "" for r in got], y, weight / weight.mean())
+    del got
+    give_back_memory()
+    return model
 
 
 class Scorer:
