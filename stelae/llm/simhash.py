@@ -324,7 +324,7 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
         return out
 
     found = similar(close_prints(first).where(sized))
-    roots = stored(connected_components(found, "a", "b"), "roots")
+    roots = connected_components(found, "a", "b")
     stars = tokens.where("node <> hub.node")
     hub = [F.col("hub.node").alias("a"), F.col("hub.n").alias("na")]
     met = stars.select(*hub, F.col("node").alias("b"), F.col("n").alias("nb")).where(sized)
@@ -339,7 +339,9 @@ def similar_sets(own: DataFrame, texts: DataFrame, width: int, least: Fraction)
 
     def rooted() -> DataFrame:
         roots = connected_components(found, "a", "b")
-        return stored(tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rest")
+        out = stored(tokens.drop("hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rest")
+        discard(roots)
+        return out
 
     rest = rooted()
     for turn in range(HUB_TURNS):

@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stelae.llm import bpe, chat, covertree, iblt, packing, quality, queries, simhash, suffix_dedup, toxicity, warc
+from stelae.llm import bpe, chat, components, covertree, iblt, packing, quality, queries, simhash, suffix_dedup, toxicity, warc
 from stelae.llm.components import connected_components
 from stelae.runtime import new_shared_path
 from tests.conftest import rows_of
@@ -85,6 +85,34 @@ def test_components_of_a_long_chain(spark):
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
 
 
+def _jobs(spark, run):
+    """What run() gives, and how many jobs it took."""
+    context = spark.sparkContext
+    group = f"counted-{random.random()}"
+    context.setJobGroup(group, group)
+    try:
+        return run(), len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("at_once", [7, 50, None])
+def test_components_in_any_stretches(spark, monkeypatch, at_once):
+    """Against a plain search; few links take no rounds."""
+    draw = random.Random(3)
+    pairs = [(draw.randrange(-150, 150), draw.randrange(-150, 150)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1040)]
+    root = {n: n for pair in pairs for n in pair}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    links = spark.createDataFrame(pairs, "a long, b long")
+    if at_once:
+        monkeypatch.setattr(components, "LINKS_AT_ONCE", at_once)
+    got, jobs = _jobs(spark, lambda: connected_components(links, "a", "b").collect())
+    assert sorted((r.node, r.root) for r in got) == sorted((n, r) for n, r in root.items() if any(n in p and p[0] != p[1] for p in pairs))
+    assert at_once or jobs <= 5
+
+
 def test_simhash_odd_rows(spark, odd):
     got = [(r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(odd).collect()]
     assert len(got) == len(ODD_TEXTS)
