@@ -28,18 +28,21 @@ from stelae.runtime import ship_package, stored
 
 #: Pieces per partition in each round; the last turn that sequence ids have bits for.
 PIECES_PER_PARTITION, LAST_TURN = 1500, 63
-#: Words of the cache; of one that stays for a worker's next task.
-CACHE_WORDS, KEPT_WORDS = 300_000, 150_000
+#: Words of either half of the cache.
+CACHE_WORDS = 200_000
 
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,./:;=?@^_{}~-]*)")
+_MARKS = b"!\"#$%&()*+,./:;=?@^_{}~-"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _WORKER: dict = {}
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizers file whose pre-tokenizer splits at ASCII
-    white space. Chunks between white space are encoded once and cached. Plain Latin
-    words skip the normaliser, which only lower-cases them, and go to the file's own
-    merge model; every other chunk takes the whole tokenizer."""
+    white space. Chunks between white space are encoded once and cached, all those of
+    a text that are new at a time. Plain Latin words skip the normaliser, which only
+    lower-cases them, and go to the file's own merge model; every other chunk takes
+    the whole tokenizer. When the cache is full its half that was used less recently
+    goes, so that frequent words stay."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,47 +50,75 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
         # The byte alphabet of byte-level models: printable bytes stand for
         # themselves, the others for the code points from 256 on, in order.
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in set(shown)]
-        self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in shown]
+        self.letters = [(chr(b), chr(256 + i)) for i, b in enumerate(rest) if b >= 128]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk(self, raw: bytes) -> bytes:
-        word = raw.decode("utf-8")
-        plain = _WORD.fullmatch(word)
-        if not plain:
-            return self._whole(word)
-        letters, marks = plain.groups()
-        out = b""
-        if letters:
-            spelled = letters.lower().encode("utf-8").decode("latin-1").translate(self.letters)
-            out = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-        if marks:
-            key = marks.encode()
-            if key not in self.cache:
-                self.cache[key] = self._whole(marks)
-            out += self.cache[key]
-        return out
-
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+    def _marks(self, marks: bytes) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > CACHE_WORDS // 10:
+                self.marks.clear()
+            self.marks[marks] = self._whole(marks.decode("ascii"))
+        return self.marks[marks]
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        # Lists of bytes side by side: tuples would keep Python's collector busy.
+        cache, plain, lowered, marks = self.cache, [], [], []
+        for chunk in chunks:
+            stem = chunk.rstrip(_MARKS)
+            if stem.isalpha():
+                low = stem.lower()
+            elif _LETTERS.fullmatch(text := stem.decode("utf-8")):
+                low = text.lower().encode("utf-8")
+            else:
+                cache[chunk] = self._whole(chunk.decode("utf-8"))
+                continue
+            plain.append(chunk)
+            lowered.append(low)
+            marks.append(chunk[len(stem) :])
+        stems = list(set(lowered).difference(cache))
+        spelled = b"\n".join(stems).decode("latin-1")
+        if not spelled.isascii():
+            for byte, shown in self.letters:
+                spelled = spelled.replace(byte, shown)
+        ids, ends, tokenize = [], [], self.model.tokenize
+        for word in spelled.split("\n") if stems else []:
+            ids += [t.id for t in tokenize(word)]
+            ends.append(4 * len(ids))
+        data, begin = np.array(ids, "<u4").tobytes(), 0
+        for stem, end in zip(stems, ends, strict=True):
+            cache[stem] = data[begin:end]
+            begin = end
+        for chunk, low, mark in zip(plain, lowered, marks, strict=True):
+            cache[chunk] = cache[low] + self._marks(mark) if mark else cache[low]
+
+    def encode(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text in UTF-8."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cache = self.cache
-        chunks = text.encode("utf-8").split()
+            self.cache, self.older = {}, self.cache
+        chunks, cache, older = text.split(), self.cache, self.older
         found = list(map(cache.get, chunks))
         if None in found:
-            for i, x in enumerate(found):
-                if x is None:
-                    raw = chunks[i]
-                    got = cache.get(raw)
-                    found[i] = cache.setdefault(raw, self._chunk(raw)) if got is None else got
+            missing = {c for c, x in zip(chunks, found, strict=True) if x is None}
+            if older and (known := [c for c in missing if c in older]):
+                cache.update(zip(known, map(older.get, known), strict=True))
+                missing.difference_update(known)
+            if missing:
+                self._learn(list(missing))
+            found = map(cache.get, chunks)
         return b"".join(found)
 
+    def __call__(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        return self.encode(text.encode("utf-8"))
+
 
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, limit: int = 4096, end_id: int = 1, keep_ids: bool = False
@@ -106,8 +137,8 @@ def token_pieces(
         tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             columns: list[list] = [[] for _ in range(5 + keep_ids)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + tail
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                ids = encode.encode(text.as_py() or b"") + tail
                 for piece, start in enumerate(range(0, len(ids) // 4, limit)):
                     part = ids[4 * start : 4 * (start + limit)]
                     row = [doc_id, piece, start, len(part) // 4, zlib.crc32(part)]
@@ -116,8 +147,7 @@ def token_pieces(
             types = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             names = [x.split()[0] for x in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
-        if len(encode.cache) > KEPT_WORDS:  # workers outlive their tasks, and other work
-            encode.cache.clear()
+        encode.older = {}  # workers outlive their tasks, and other work
         pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

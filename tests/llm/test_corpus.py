@@ -197,6 +197,27 @@ def test_packing_is_gapless_and_near_its_bound(spark, small, texts):
     assert rows.sequence_id.nunique() <= packing.lower_bound(rows.length.to_numpy(), 4096) + 1
 
 
+def test_known_words_are_not_encoded_again(monkeypatch):
+    path, spelled = P.path("word_bpe_49k.json"), []
+
+    class Counting:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, word):
+            spelled.append(word)
+            return self.model.tokenize(word)
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    words = packing.WordTokenizer(path)
+    words.model = Counting(words.model)
+    for i in range(40):
+        text = f"Straßen, straßen STRASSEN the The the, (the) the... " + " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[j]}{'uvwxyz'[i // 7]}" for j in range(10))
+        assert np.frombuffer(words(text), "<u4").tolist() == words.whole.encode(text, add_special_tokens=False).ids
+    assert len(spelled) <= 403 and spelled.count("the") == 1
+    assert len(words.cache) + len(words.older) <= 2 * (50 + 20)
+
+
 def test_tokens_of_odd_texts():
     from tokenizers import Tokenizer
 
