@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,21 +29,24 @@ from stelae.runtime import ship_package, stored
 
 #: Pieces per partition in each round; the last turn that sequence ids have bits for.
 PIECES_PER_PARTITION, LAST_TURN = 1500, 63
-#: Words of either half of the cache.
-CACHE_WORDS = 200_000
+#: Words of either half of the cache; bytes of the texts that are encoded at a time (a longer text is one slab).
+CACHE_WORDS, SLAB_BYTES = 200_000, 8 << 20
 
-_MARKS = b"!\"#$%&()*+,./:;=?@^_{}~-"
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+#: A plain Latin word with the marks behind it.
+_PLAIN = f"^(?P<stem>{_LETTERS})(?P<marks>[!\"#$%&()*+,./:;=?@^_{{}}~-]*)$"
 _WORKER: dict = {}
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizers file whose pre-tokenizer splits at ASCII
-    white space. Chunks between white space are encoded once and cached, all those of
-    a text that are new at a time. Plain Latin words skip the normaliser, which only
-    lower-cases them, and go to the file's own merge model; every other chunk takes
-    the whole tokenizer. When the cache is full its half that was used less recently
-    goes, so that frequent words stay."""
+    white space. Arrow splits a slab of texts, numbers the distinct chunks between
+    white space and parts plain Latin words from the marks behind them; only the
+    distinct stems, in lower case, and other chunks are looked up in the cache, and
+    those that are new are encoded together. Stems skip the normaliser, which only
+    lower-cases them, and go to the file's own merge model; every other chunk takes the
+    whole tokenizer. When the cache is full its half that was used less recently goes,
+    so that frequent words stay."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,7 +55,6 @@ class WordTokenizer:
         self.model = self.whole.model
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {}
         # The byte alphabet of byte-level models: printable bytes stand for
         # themselves, the others for the code points from 256 on, in order.
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -61,29 +64,13 @@ class WordTokenizer:
     def _whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _marks(self, marks: bytes) -> bytes:
-        if marks not in self.marks:
-            if len(self.marks) > CACHE_WORDS // 10:
-                self.marks.clear()
-            self.marks[marks] = self._whole(marks.decode("ascii"))
-        return self.marks[marks]
-
     def _learn(self, chunks: list[bytes]) -> None:
-        # Lists of bytes side by side: tuples would keep Python's collector busy.
-        cache, plain, lowered, marks = self.cache, [], [], []
+        cache, stems, letters = self.cache, [], re.compile(_LETTERS)
         for chunk in chunks:
-            stem = chunk.rstrip(_MARKS)
-            if stem.isalpha():
-                low = stem.lower()
-            elif _LETTERS.fullmatch(text := stem.decode("utf-8")):
-                low = text.lower().encode("utf-8")
+            if chunk.isalpha() or letters.fullmatch(text := chunk.decode("utf-8")):
+                stems.append(chunk)
             else:
-                cache[chunk] = self._whole(chunk.decode("utf-8"))
-                continue
-            plain.append(chunk)
-            lowered.append(low)
-            marks.append(chunk[len(stem) :])
-        stems = list(set(lowered).difference(cache))
+                cache[chunk] = self._whole(text)
         spelled = b"\n".join(stems).decode("latin-1")
         if not spelled.isascii():
             for byte, shown in self.letters:
@@ -96,28 +83,46 @@ class WordTokenizer:
         for stem, end in zip(stems, ends, strict=True):
             cache[stem] = data[begin:end]
             begin = end
-        for chunk, low, mark in zip(plain, lowered, marks, strict=True):
-            cache[chunk] = cache[low] + self._marks(mark) if mark else cache[low]
 
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text in UTF-8."""
+    def _known(self, chunks: pa.Array) -> pa.Array:
+        """Ids of each chunk: stems in lower case, or what isn't a plain word."""
+        numbered = chunks.dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        cache, older = self.cache, self.older
+        missing = set(distinct).difference(cache)
+        if older and (known := [c for c in missing if c in older]):
+            cache.update(zip(known, map(older.get, known), strict=True))
+            missing.difference_update(known)
+        if missing:
+            self._learn(list(missing))
+        return pa.array(list(map(cache.get, distinct)), pa.large_binary()).take(numbered.indices)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text (strings without null)."""
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.older = {}, self.cache
-        chunks, cache, older = text.split(), self.cache, self.older
-        found = list(map(cache.get, chunks))
-        if None in found:
-            missing = {c for c, x in zip(chunks, found, strict=True) if x is None}
-            if older and (known := [c for c in missing if c in older]):
-                cache.update(zip(known, map(older.get, known), strict=True))
-                missing.difference_update(known)
-            if missing:
-                self._learn(list(missing))
-            found = map(cache.get, chunks)
-        return b"".join(found)
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        parts = pc.extract_regex(chunks.dictionary, _PLAIN)
+        stems, marks = (pc.struct_field(parts, name) for name in ("stem", "marks"))
+        begun = self._known(pc.coalesce(pc.utf8_lower(stems), chunks.dictionary))
+        ended = self._known(pc.fill_null(marks, ""))
+        ids = pc.binary_join_element_wise(begun, ended, pa.scalar(b"", pa.large_binary())).take(chunks.indices)
+        begins = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :]
+        ends = begins[np.cumsum(split.value_lengths().to_numpy())].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return self.encode(text.encode("utf-8"))
+        return self.encode(pa.array([text], pa.string()))[0]
+
+
+def slabs(texts: pa.Array) -> list[tuple[int, int]]:
+    """Begin and end of stretches of texts that hold about SLAB_BYTES, or one text."""
+    held = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // SLAB_BYTES
+    begins = np.flatnonzero(np.diff(held, prepend=-1)).tolist()
+    return list(zip(begins, [*begins[1:], len(texts)], strict=False))
 
 
 def token_pieces(
@@ -135,18 +140,22 @@ def token_pieces(
         if encode is None:
             encode = packing._WORKER[tokenizer_path] = packing.WordTokenizer(tokenizer_path)
         tail = np.array([end_id], "<u4").tobytes()
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
-            columns: list[list] = [[] for _ in range(5 + keep_ids)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                ids = encode.encode(text.as_py() or b"") + tail
-                for piece, start in enumerate(range(0, len(ids) // 4, limit)):
-                    part = ids[4 * start : 4 * (start + limit)]
-                    row = [doc_id, piece, start, len(part) // 4, zlib.crc32(part)]
-                    for column, value in zip(columns, row + [np.frombuffer(part, "<i4")] * keep_ids, strict=True):
-                        column.append(value)
-            types = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            names = [x.split()[0] for x in schema.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
+            texts = pc.fill_null(batch.column(1), "")
+            for begin, end in packing.slabs(texts):
+                columns: list[list] = [[] for _ in range(5 + keep_ids)]
+                doc_ids = batch.column(0)[begin:end]
+                for doc_id, ids in zip(doc_ids.to_pylist(), encode.encode(texts[begin:end]), strict=True):
+                    ids += tail
+                    for piece, start in enumerate(range(0, len(ids) // 4, limit)):
+                        part = ids[4 * start : 4 * (start + limit)]
+                        row = [doc_id, piece, start, len(part) // 4, zlib.crc32(part)]
+                        for column, value in zip(columns, row + [np.frombuffer(part, "<i4")] * keep_ids, strict=True):
+                            column.append(value)
+                arrays = [pa.array(c, t) for c, t in zip(columns, [doc_ids.type, *types], strict=False)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
         encode.older = {}  # workers outlive their tasks, and other work
         pa.default_memory_pool().release_unused()
 

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -218,6 +219,36 @@ def test_known_words_are_not_encoded_again(monkeypatch):
     assert len(words.cache) + len(words.older) <= 2 * (50 + 20)
 
 
+def test_texts_of_a_slab_are_encoded_together(monkeypatch):
+    path, spelled = P.path("word_bpe_49k.json"), []
+
+    class Counting:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, word):
+            spelled.append(word)
+            return self.model.tokenize(word)
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "SLAB_BYTES", 4000)
+    words = packing.WordTokenizer(path)
+    words.model = Counting(words.model)
+    # Far more words than the cache holds, all of them in the first and in the second half of the texts.
+    drawn = [f"É{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvw"]
+    odd = ["", " ", "\x0b\x0cx\r\ny \t", "ÿ... ß!? ...", "e\u0301té, é\u0301", "a\x1cb\x85c\u2028d", "<|endoftext|>.", "It's x-y-- 12,", "naïve" * 2000]
+    texts = pa.array([*(" ".join(f"{w}{'.,'[i % 2]}" for w in drawn[i % 10 :: 10]) for i in range(20)), *odd])
+    assert packing.slabs(texts[:0]) == [] and packing.slabs(pa.array(["", ""])) == [(0, 2)]
+    held = packing.slabs(texts)
+    assert [i for a, b in held for i in range(a, b)] == list(range(len(texts))) and 2 < len(held) < 10
+    want = [words.whole.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert [np.frombuffer(x, "<u4").tolist() for a, b in held for x in words.encode(texts[a:b])] == want
+    spelled.clear()
+    words.cache, words.older = {}, {}
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == want
+    assert len(spelled) == len(set(spelled))
+
+
 def test_tokens_of_odd_texts():
     from tokenizers import Tokenizer
 
