@@ -2,9 +2,12 @@
 
 ``guarded_edges`` is a Spark data source. Each task checks its edges and writes them to a
 draft folder; only when every task has ended well are the files named in a commit, which is
-what readers go by. A task that meets a forbidden edge fails, Spark aborts the write, and
-the drafts go. Endpoints are joined on before (``write_edges``), so that the sink sees, for
-each edge, what its ends are.
+what readers go by. A task that meets a forbidden edge leaves a mark beside its draft and
+says so in its message; no task checks or writes more once it sees the mark, the commit fails,
+and the drafts go. The task itself doesn't fail, since Spark would abort the write while other
+tasks still run, which could leave drafts behind.
+Endpoints are joined on before (``write_edges``), so that the sink sees, for each edge, what
+its ends are.
 """
 
 from __future__ import annotations
@@ -72,6 +75,8 @@ def _place(path: str):
 class Written(WriterCommitMessage):
     file: str | None
     edges: int
+    refused: str | None = None
+    stopped: bool = False
 
 
 class GuardedEdgeWriter(DataSourceArrowWriter):
@@ -79,19 +84,32 @@ class GuardedEdgeWriter(DataSourceArrowWriter):
         self.path, self.draft = options["path"].rstrip("/"), options["draft"]
         self.rules = Rules(**{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(options["rules"]).items()})
 
+    def _refused(self, batch) -> str | None:
+        for edge in batch.to_pylist():
+            why = self.rules.refusal(edge)
+            if why:
+                return f"edge {edge['type']} {edge['from_id']} -> {edge['to_id']}: {why}"
+        return None
+
     def write(self, iterator) -> Written:
         import pyarrow as pa
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
         system, base = _place(self.path)
-        name, out, n = f"{uuid.uuid4().hex}.parquet", None, 0
+        name, out, n, refused = f"{uuid.uuid4().hex}.parquet", None, 0, None
+        mark, stopped = f"{base}/drafts/{self.draft}/refused", False
         system.create_dir(f"{base}/drafts/{self.draft}", recursive=True)
         try:
-            for batch in iterator:
-                for edge in batch.to_pylist():
-                    why = self.rules.refusal(edge)
-                    if why:
-                        raise ValueError(f"edge {edge['type']} {edge['from_id']} -> {edge['to_id']}: {why}")
+            for batch in iterator:  # to its end: Spark goes on sending
+                stopped = stopped or system.get_file_info(mark).type != fs.FileType.NotFound
+                if stopped:
+                    continue
+                refused = self._refused(batch)
+                if refused:
+                    stopped = True
+                    system.open_output_stream(mark).close()
+                    continue
                 kept = pa.Table.from_batches([batch]).drop_columns(["from_source", "to_labels"])
                 if out is None:
                     stream = system.open_output_stream(f"{base}/drafts/{self.draft}/{name}")
@@ -102,9 +120,12 @@ class GuardedEdgeWriter(DataSourceArrowWriter):
             if out is not None:
                 out.close()
                 stream.close()
-        return Written(name if out is not None else None, n)
+        return Written(name if out is not None else None, n, refused, stopped)
 
     def commit(self, messages) -> None:
+        stopped = [m.refused for m in messages if m is not None and m.stopped]
+        if stopped:
+            raise ValueError(next(filter(None, stopped), "an edge was refused"))
         system, base = _place(self.path)
         done = [m for m in messages if m is not None and m.file]
         system.create_dir(f"{base}/edges", recursive=True)

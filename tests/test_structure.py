@@ -1,5 +1,6 @@
 """Schema sets, cycles, guarded writes, log blocks and URI routes."""
 
+import json
 import os
 import random
 import re
@@ -138,6 +139,26 @@ def test_a_violation_leaves_nothing_behind(spark, bad, why):
     assert sorted((r.from_id, r.to_id) for r in edge_writer.read_edges(spark, path).collect()) == [("a", "b"), ("a", "c")]
 
 
+def test_tasks_that_run_on_leave_nothing_behind(tmp_path):
+    import pyarrow as pa
+
+    options = {"path": f"file://{tmp_path}/edges", "draft": "d", "rules": json.dumps({"types": ["T"], "allowed": []})}
+    writer = edge_writer.GuardedEdgeWriter(options)
+    kinds = pa.schema([(c, pa.string()) for c in ("type", "from_id", "to_id")] + [("properties", pa.map_(pa.string(), pa.list_(pa.string()))), ("from_source", pa.string()), ("to_labels", pa.list_(pa.string()))])
+    good, bad = (pa.RecordBatch.from_pylist([{"type": t, "from_id": "a", "to_id": "b", "properties": [], "from_source": "s", "to_labels": []}], kinds) for t in "TU")
+    # The task with the forbidden edge ends before the other one begins; only then may the write end.
+    given = iter([good, bad, good])
+    messages = [writer.write(given), writer.write(iter([good]))]
+    assert next(given, None) is None and [m.edges for m in messages] == [1, 0]
+    with pytest.raises(ValueError, match="edge U a -> b: a type that isn't declared"):
+        writer.commit(messages[::-1])
+    # A refusing attempt that was lost, and tried again, is still not a commit.
+    with pytest.raises(ValueError, match="refused"):
+        writer.commit(messages[1:])
+    writer.abort(messages)
+    assert _files(str(tmp_path)) == []
+
+
 def test_commits_add_up(spark):
     path = new_shared_path(spark, "edges")
     nodes = spark.createDataFrame(NODES, "stable_id string, source string, labels array<string>")
