@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stelae.runtime import ship_package, stored
+from stelae.runtime import giving_back, ship_package, stored
 
 #: Pieces per partition in each round; the last turn that sequence ids have bits for.
 PIECES_PER_PARTITION, LAST_TURN = 1500, 63
@@ -157,9 +157,8 @@ def token_pieces(
                 arrays = [pa.array(c, t) for c, t in zip(columns, [doc_ids.type, *types], strict=False)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
         encode.older = {}  # workers outlive their tasks, and other work
-        pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), schema)
 
 
 def lower_bound(lengths: np.ndarray, limit: int) -> int:

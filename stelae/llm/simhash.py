@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stelae.llm.components import connected_components
-from stelae.runtime import discard, ship_package, stored
+from stelae.runtime import discard, giving_back, ship_package, stored
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
 #: Of near duplicates by similarity: words of a shingle, least Jaccard similarity,
@@ -224,7 +224,7 @@ def shingle_sets(
             yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "node", "n", "bits", "held"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, fp long, node long, n long, bits array<long>, held array<long>")
+    return docs.select(id_col, text_col).mapInArrow(giving_back(run), f"{id_col} {kind}, fp long, node long, n long, bits array<long>, held array<long>")
 
 
 _NONE = np.empty(0, np.uint64), np.empty(0, np.int64)

@@ -41,7 +41,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stelae.runtime import ship_package, stored
+from stelae.runtime import giving_back, ship_package, stored
 
 SPAN, GRAM = 50, 20
 #: Bytes and rows of a slab; bytes of text whose phrases are dealt at once; bytes of
@@ -545,7 +545,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_character
 
         return suffix_dedup.settle(int(group["bucket"].iloc[0]), list(group["blob"]))
 
-    blobs = slabs.select("slab", "at", "key", "text").mapInArrow(phrase_run, "bucket long, blob binary")
+    blobs = slabs.select("slab", "at", "key", "text").mapInArrow(giving_back(phrase_run), "bucket long, blob binary")
     marks = blobs.groupBy("bucket").applyInPandas(phrase_settler, "slab long, bucket long, opened long, marks binary")
     marks = stored(marks, "phrases")
     opened = marks.agg(F.sum("opened")).first()[0] or 0

@@ -735,3 +735,37 @@ def test_bpe_round_trip(spark, small, texts, odd):
     out = bpe.encode(odd, path).select("doc_id", bpe.decode(F.col("ids"), path).alias("raw")).collect()
     assert sorted(bytes(r.raw) for r in out) == sorted((t or "").encode() for _, t, _ in ODD_TEXTS)
     assert bpe.encode(odd.where("false"), path).count() == 0
+
+
+def test_workers_give_memory_back_between_tasks(spark):
+    """What a scorer held is gone from its worker when the task has ended, also below
+    something that stays."""
+
+    def anonymous_mb():
+        with open("/proc/self/smaps_rollup") as lines:
+            return sum(int(x.split()[1]) for x in lines if x.startswith("Anonymous:")) / 1024
+
+    def score_texts():
+        import os
+        import sys
+
+        held = [bytes(60_000) for _ in range(3000)]
+        sys.stays = bytes(60_000)  # lies above what goes, so the C library keeps that by itself
+
+        def of(texts):
+            assert len(held) == 3000
+            return np.full(len(texts), os.getpid())
+
+        return of
+
+    def seen(batches):
+        import os
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()] * batch.num_rows), pa.array([anonymous_mb()] * batch.num_rows)], names=["pid", "mb"])
+
+    docs = spark.createDataFrame([(1, "text")], "doc_id long, text string").coalesce(1)
+    (worker,) = {int(r["score"]) for r in quality.with_scores(docs, score_texts).collect()}
+    later = spark.range(64, numPartitions=64).mapInArrow(seen, "pid long, mb double").collect()
+    mine = [r["mb"] for r in later if r["pid"] == worker]
+    assert mine and max(mine) < 150
