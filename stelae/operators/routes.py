@@ -37,7 +37,9 @@ def route_table(spark, templates: dict[str, str]) -> DataFrame:
 def matched(uris: DataFrame, routes: DataFrame, scheme: str = "edc:") -> DataFrame:
     """uris (uri) -> uri, kind, parts (map of the names to decoded segments), for every row
     of uris; kind is null where no route fits. A query (after ``?``) is no part of it."""
-    rows = uris.select("uri", F.monotonically_increasing_id().alias("n"))
+    # Equal URIs are matched once. They are told apart by their text alone: a row number that is
+    # read twice need not be the same both times.
+    rows = uris.groupBy("uri").agg(F.count(F.lit(1)).alias("times"))
     plain = F.substring_index("uri", "?", 1)
     path = F.when(plain.startswith(scheme), F.substr(plain, F.lit(len(scheme) + 1)))
     rows = rows.withColumn("segments", F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"))
@@ -48,18 +50,20 @@ def matched(uris: DataFrame, routes: DataFrame, scheme: str = "edc:") -> DataFra
     fits = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(r).alias("rest")) for s, r in sizes])
     count = F.size("segments")
     fits = F.filter(fits, lambda f: (f["rest"] & (count >= f["size"])) | (~f["rest"] & (count == f["size"])))
-    asked = rows.where("segments is not null").withColumn("fit", F.explode(fits)).select("*", "fit.size", "fit.rest").drop("fit")
-    asked = asked.join(masks.withColumn("opened", opened), ["size", "rest"])
+    asked = rows.withColumn("fit", F.explode_outer(F.when(F.col("segments").isNotNull(), fits))).select("*", "fit.size", "fit.rest").drop("fit")
+    asked = asked.join(F.broadcast(masks.withColumn("opened", opened)), ["size", "rest"], "left")
     kept = F.transform(F.slice("segments", 1, F.col("size")), lambda s, i: F.when(~F.array_contains("opened", i), s))
     asked = asked.withColumn("key", F.array_join(F.array_compact(kept), "/"))
-    hits = asked.join(routes.select("mask", "key", "kind", "names", "literals"), ["mask", "key"])
-    last = Window.partitionBy("n").orderBy(F.desc("literals"), "rest", F.desc("size"), "kind")
+    # Routes come from the driver, and many URIs have one key, so they go to the URIs.
+    hits = asked.join(F.broadcast(routes.select("mask", "key", "kind", "names", "literals")), ["mask", "key"], "left")
+    last = Window.partitionBy("uri").orderBy(F.desc("literals"), "rest", F.desc("size"), "kind")
     best = hits.withColumn("place", F.row_number().over(last)).where("place = 1")
     piece = F.transform("opened", lambda i: F.when(F.col("rest") & (i == F.col("size") - 1), F.array_join(F.slice("segments", i + 1, F.size("segments")), "/")).otherwise(F.get("segments", i)))
     decoded = F.transform(piece, lambda p: F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))))
     # An empty segment names nothing.
-    best = best.where(~F.exists(piece, lambda p: p == "")).select("n", "kind", F.map_from_arrays("names", decoded).alias("parts"))
-    return rows.select("n", "uri").join(best, "n", "left").drop("n")
+    fit = F.col("kind").isNotNull() & ~F.exists(piece, lambda p: p == "")
+    best = best.select("uri", F.when(fit, F.col("kind")).alias("kind"), F.when(fit, F.map_from_arrays("names", decoded)).alias("parts"), "times")
+    return best.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
 
 
 def resolved(found: DataFrame, known: DataFrame, kinds: list[str], page_kinds: list[str] = ()) -> DataFrame:

@@ -188,8 +188,8 @@ def uri_resolution(t: Tables):
         .when(form == 4, F.concat(F.lit("edc:sha256/"), user)).when(form == 5, F.concat(F.lit("edc:manifest/"), kind, F.lit("?page=2")))
         .when(form == 6, F.concat(F.lit("edc:layer/"), kind, F.lit("?page=2"))).when(form == 7, F.concat(F.lit("http://x/"), user)).otherwise("edc:nothing")
     )
-    asked = stored(t.events.select(form.alias("form"), uri.alias("uri")), "uris")
-    held = t.events.where("event_type <> 'error'").select("event_type", user.alias("user"))
+    asked = stored(t.events.groupBy(form.alias("form"), uri.alias("uri")).agg(F.count(F.lit(1)).alias("n")), "uris")
+    held = t.events.where("event_type <> 'error'").select("event_type", user.alias("user")).distinct()
     row = lambda kind, *key: F.struct(F.lit(kind).alias("kind"), F.concat(*key).alias("key"))
     keys = F.array(
         row("layer", "event_type"), row("manifest", "event_type"), row("meaning", F.lit("H/1/"), "event_type", F.lit("/"), "user"),
@@ -198,7 +198,7 @@ def uri_resolution(t: Tables):
     known = held.select(F.explode(keys).alias("x")).select("x.*").distinct().withColumn("answer", F.col("key"))
     found = routes.matched(asked.select("uri").distinct(), routes.route_table(t.spark, TEMPLATES))
     answers = routes.resolved(found, known, ["layer", "layerVersion", "manifest", "meaning", "element"], ["manifest"])
-    return asked.join(answers, "uri").groupBy("form", "kind", "status").agg(F.count(F.lit(1)).alias("n"))
+    return asked.join(answers, "uri").groupBy("form", "kind", "status").agg(F.sum("n").alias("n"))
 
 
 # --- ontologies

@@ -4,6 +4,7 @@ import json
 import os
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -258,6 +259,20 @@ def test_routes_against_patterns(spark):
     assert got == {u: plain(u) for u in uris}
 
 
+def test_routes_of_rows_that_come_in_another_order_each_time(spark):
+    """As what a shuffle or a spill gives may: no row gets another row's route."""
+
+    def turned(batches):
+        for frame in batches:
+            yield frame.sample(frac=1)
+
+    uris = [f"edc:{kind}/{i}" for i in range(2000) for kind in "abz"] + ["edc:a/1", None, None]
+    rows = spark.createDataFrame([(u,) for u in uris], "uri string").coalesce(1).mapInPandas(turned, "uri string")
+    found = routes.matched(rows, routes.route_table(spark, {"a": "a/{x}", "b": "b/{x}"})).collect()
+    want = Counter((u, u[4], u[6:]) if u and u[4] in "ab" else (u, None, None) for u in uris)
+    assert Counter((r.uri, r.kind, r.parts and r.parts["x"]) for r in found) == want
+
+
 def test_answers_by_status(spark):
     table = routes.route_table(spark, {"a": "a/{x}", "b": "b/{x}", "c": "c/{x}"})
     found = routes.matched(spark.createDataFrame([(u,) for u in ("edc:a/1", "edc:a/2", "edc:b/1", "edc:z", "edc:a/1?page=1", "edc:c/1?page=1", None)], "uri string"), table)
