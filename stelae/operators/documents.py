@@ -5,7 +5,8 @@ level, so a document of any depth takes as many narrow passes as it is deep, and
 with very many values is spread as soon as it is cut. Bottom up, ``fold_up`` gives each
 container a value made of its children's: the text of the container, which builds the
 document again, or a digest, by which equal subtrees are found without comparing them
-(a Merkle tree).
+(a Merkle tree). References are found top down, without cutting documents whole: what equals
+a component is not taken apart any further.
 
 Numbers are those of Spark's variants, so 1.0 and 1 are one value; members of objects are
 in the order of their names. A document that is no JSON fails the job.
@@ -13,7 +14,7 @@ in the order of their names. A document that is no JSON fails the job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,37 +24,70 @@ from stelae.runtime import new_shared_path, stored
 STEP = "struct<key:string,place:int>"
 
 
-@dataclass(frozen=True)
 class Tree:
     """nodes (doc, level, steps, kind: object, array or leaf, value: JSON of a leaf), stored
-    by level; a node's steps lead to it from the document's root."""
+    by level; a node's steps lead to it from the document's root. roots: the documents as
+    variants (doc, v); they are taken apart when nodes or depth are first asked for."""
 
-    nodes: DataFrame
-    depth: int
+    def __init__(self, nodes: DataFrame | None = None, depth: int = 0, roots: DataFrame | None = None):
+        self._held, self._roots = (nodes, depth), roots
+
+    @cached_property
+    def _taken(self) -> tuple[DataFrame, int]:
+        return _levels(self._roots) if self._held[0] is None else self._held
+
+    @property
+    def nodes(self) -> DataFrame:
+        return self._taken[0]
+
+    @property
+    def depth(self) -> int:
+        return self._taken[1]
+
+    @cached_property
+    def roots(self) -> DataFrame:
+        if self._roots is not None:
+            return self._roots
+        return rebuilt(self).select("doc", F.parse_json("text").alias("v"))
 
 
 def unnest(docs: DataFrame, variant: Column | None = None) -> Tree:
     """docs (doc, text), or any with ``doc`` and a variant. Null texts have no nodes; empty
     objects and arrays are leaves."""
-    spark = docs.sparkSession
+    if variant is None:
+        roots = docs.where("text is not null").select("doc", F.parse_json("text").alias("v"))
+    else:
+        roots = docs.select("doc", variant.alias("v")).where("v is not null")
+    return Tree(roots=stored(roots, "roots"))
+
+
+def _kind(text: Column) -> Column:
+    """Of a value in Spark's JSON."""
+    return F.when(text.isin("{}", "[]"), "leaf").when(text.startswith("{"), "object").when(text.startswith("["), "array").otherwise("leaf")
+
+
+def _parts(inner: DataFrame, *kept: str) -> DataFrame:
+    """inner (kept, steps, kind, v), objects and arrays -> kept, steps, v of their members."""
+    parts = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    step = F.struct("key", F.when(F.col("kind") == "array", F.col("pos")).alias("place"))
+    return parts.select(*kept, F.concat("steps", F.array(step)).alias("steps"), F.col("value").alias("v"))
+
+
+def _levels(roots: DataFrame) -> tuple[DataFrame, int]:
+    spark, text = roots.sparkSession, F.to_json("v")
     path, level = new_shared_path(spark, "nodes"), 0
-    now = docs.select("doc", (F.parse_json("text") if variant is None else variant).alias("v")).where("v is not null")
-    now = now.select("doc", F.array().cast(f"array<{STEP}>").alias("steps"), "v")
+    now = roots.select("doc", F.array().cast(f"array<{STEP}>").alias("steps"), "v")
     while True:
-        kind, text = F.schema_of_variant("v"), F.to_json("v")
-        kind = F.when(text.isin("{}", "[]"), "leaf").when(kind.startswith("OBJECT<"), "object").when(kind.startswith("ARRAY<"), "array").otherwise("leaf")
-        now = stored(now.withColumn("kind", kind), "level")
+        now = now.withColumn("kind", _kind(text))
+        now = stored(now, "level") if level else now
         now.select("doc", "steps", "kind", F.when(F.col("kind") == "leaf", text).alias("value")).write.parquet(f"{path}/level={level}")
         inner = now.where("kind <> 'leaf'")
         if not inner.limit(1).count():
             break
-        parts = inner.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        step = F.struct("key", F.when(F.col("kind") == "array", F.col("pos")).alias("place"))
-        now = parts.select("doc", F.concat("steps", F.array(step)).alias("steps"), F.col("value").alias("v"))
+        now = _parts(inner, "doc")
         level += 1
-    kind = docs.schema["doc"].dataType.simpleString()
-    nodes = spark.read.schema(f"doc {kind}, steps array<{STEP}>, kind string, value string, level int").parquet(path)
-    return Tree(nodes, level)
+    kind = roots.schema["doc"].dataType.simpleString()
+    return spark.read.schema(f"doc {kind}, steps array<{STEP}>, kind string, value string, level int").parquet(path), level
 
 
 def pointer(steps: Column, set_valued: tuple[str, ...] = ()) -> Column:
@@ -162,13 +196,26 @@ def graph_statements(nodes: DataFrame) -> DataFrame:
 # --- references by content
 
 
+def _at(v: Column, *keys: str, kind: str = "variant") -> Column:
+    """What stands at these keys; null where nothing does, or nothing of the kind."""
+    quotes = [next((q for q in "'\"" if q not in key), None) for key in keys]
+    if None in quotes:
+        raise ValueError(f"a name with both quotes: {keys}")
+    return F.try_variant_get(v, "$" + "".join(f"[{q}{key}{q}]" for q, key in zip(quotes, keys, strict=True)), kind)
+
+
 def components(tree: Tree, at: tuple[str, ...] = ("components", "schemas")) -> DataFrame:
-    """Roots of the named components: doc, steps, name."""
-    n = len(at)
-    rows = tree.nodes.where((F.col("level") == n + 1) & (F.col("kind") == "object"))
-    for i, key in enumerate(at):
-        rows = rows.where(F.get("steps", i)["key"].eqNullSafe(F.lit(key)))
-    return rows.select("doc", "steps", F.get("steps", n)["key"].alias("name"))
+    """The named components: name, text, and the least doc that holds it. Those that are no
+    objects or empty are none."""
+    rows = tree.roots.select("doc", F.explode(_at(F.col("v"), *at, kind="map<string,variant>")).alias("name", "v"))
+    rows = rows.select("doc", "name", F.to_json("v").alias("text")).groupBy("name", "text").agg(F.min("doc").alias("doc"))
+    return stored(rows, "components").where(_kind(F.col("text")) == "object")
+
+
+def _bare(v: Column, bare_of: str) -> Column:
+    """A digest of an object without its own member ``bare_of``."""
+    members = F.map_filter(_at(v, kind="map<string,variant>"), lambda key, _: key != bare_of)
+    return F.unhex(F.sha2(F.to_json(members), 256))
 
 
 def recover_references(tree: Tree, at: tuple[str, ...] = ("components", "schemas"), bare_of: str = "description", title: str = "title") -> tuple[DataFrame, DataFrame]:
@@ -180,26 +227,34 @@ def recover_references(tree: Tree, at: tuple[str, ...] = ("components", "schemas
     several components are equal, the one that the copy's title names is meant. Refused:
     reason, name, pointer: a name that stands for different components, a copy whose title
     names none of several, or more than one. Nothing is guessed."""
-    n = len(at)
-    folded = stored(fold_up(tree, digest=True, bare_of=bare_of), "digests")
-    named = components(tree, at).join(folded.select("doc", "steps", "value", "bare"), ["doc", "steps"])
-    union = stored(named.groupBy("name").agg(F.countDistinct("value").alias("shapes"), F.min("value").alias("value"), F.min("bare").alias("bare"), F.min(F.struct("doc", "steps")).alias("from")), "components")
+    v = F.col("v")
+    held = components(tree, at).withColumn("v", F.parse_json("text"))
+    held = stored(held.select("name", "doc", "v", _bare(v, bare_of).alias("bare")), "distinct")
+    union = held.groupBy("name").agg(F.count(F.lit(1)).alias("shapes"), F.min("bare").alias("bare"), F.min("doc").alias("doc"))
+    union = stored(union, "named")
     unequal = union.where("shapes > 1").select(F.lit("different components of one name").alias("reason"), "name", F.lit("").alias("pointer"))
     index = union.groupBy("bare").agg(F.count(F.lit(1)).alias("alike"), F.min("name").alias("only"))
-    # Each component is walked once, in the least document that holds it.
-    roots = union.select(F.col("from.doc").alias("doc"), F.col("from.steps").alias("root"), "name")
-    inside = folded.where((F.col("level") > n + 1) & (F.col("kind") == "object")).withColumn("root", F.slice("steps", 1, n + 1))
-    sites = stored(inside.join(roots, ["doc", "root"]).join(index, "bare").select("doc", "root", "name", "steps", "bare", "alike", "only"), "sites")
-    # Proper prefixes of a site that are sites themselves make it part of an outer copy.
-    outer = sites.select("doc", F.col("steps").alias("prefix"))
-    cut = F.explode(F.transform(F.sequence(F.lit(n + 2), F.size("steps") - 1), lambda i: F.slice("steps", 1, i)))
-    under = sites.where(F.size("steps") > n + 2).select("doc", "steps", cut.alias("prefix")).join(outer, ["doc", "prefix"], "left_semi")
-    sites = sites.join(under.select("doc", "steps").distinct(), ["doc", "steps"], "left_anti")
-    step = F.element_at("steps", -1)
-    titles = tree.nodes.where("kind = 'leaf'").where(step["key"].eqNullSafe(F.lit(title)))
-    titles = titles.select("doc", F.slice("steps", 1, F.size("steps") - 1).alias("steps"), F.get(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>"), 0).alias("title"))
-    tied = sites.where("alike > 1").join(titles, ["doc", "steps"], "left").join(union.select(F.col("name").alias("title"), F.col("bare").alias("meant")), "title", "left")
-    where = pointer(F.slice("steps", n + 2, F.size("steps"))).alias("pointer")
+    index = stored(index, "index")
+    # Each component is walked once, in the least document that holds it, a level at a time.
+    # What is a copy is not walked: copies in it are part of it.
+    roots = held.join(union.select("name", "doc"), ["name", "doc"], "left_semi")
+    inner = roots.select("name", F.array().cast(f"array<{STEP}>").alias("steps"), F.lit("object").alias("kind"), "v")
+    sites = None
+    while True:
+        parts = stored(_parts(inner, "name").withColumn("kind", _kind(F.to_json("v"))).where("kind <> 'leaf'"), "parts")
+        named = F.to_json(_at(v, title))
+        named = F.when(_kind(named) == "leaf", F.get(F.from_json(F.concat(F.lit("["), named, F.lit("]")), "array<string>"), 0))
+        objects = parts.where("kind = 'object'").select("*", _bare(v, bare_of).alias("bare")).join(index, "bare", "left")
+        objects = stored(objects.select("name", "steps", "kind", "bare", F.when(F.col("alike").isNull(), v).alias("v"), "alike", "only", F.when(F.col("alike") > 1, named).alias("title")), "objects")
+        hits = objects.where("alike is not null").drop("v", "kind")
+        sites = hits if sites is None else sites.unionByName(hits)
+        inner = objects.where("alike is null").select("name", "steps", "kind", "v").unionByName(parts.where("kind = 'array'"))
+        if not inner.limit(1).count():
+            break
+    # A title can only mean a component that equals others.
+    several = union.join(index.where("alike > 1"), "bare", "left_semi").select(F.col("name").alias("title"), F.col("bare").alias("meant"))
+    tied = sites.where("alike > 1").join(several, "title", "left")
+    where = pointer(F.col("steps")).alias("pointer")
     ok = F.col("meant").eqNullSafe(F.col("bare"))
     found = sites.where("alike = 1").select(F.col("name").alias("component"), where, F.col("only").alias("target"), F.lit(False).alias("by_title"))
     found = found.unionByName(tied.where(ok).select(F.col("name").alias("component"), where, F.col("title").alias("target"), F.lit(True).alias("by_title")))

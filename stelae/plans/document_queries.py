@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stelae.operators import documents
 from stelae.plans.model import Tables
 from stelae.plans.registry import query
+from stelae.runtime import spread
 
 
 def _customer_documents(t: Tables):
@@ -87,7 +88,7 @@ def _files(t: Tables):
         F.struct(region("part of it").alias("region"), F.struct(F.lit("string").alias("type"), F.array("n_name").alias("enum")).alias("name")).alias("properties"), F.lit(note).alias("description"),
     )
     customer = F.struct(F.lit("any").alias("title"), F.struct(nation("home").alias("nation"), F.struct(F.col("c_name").alias("const")).alias("name")).alias("properties"))
-    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = spread(t.customer, "c_custkey").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     # Balances below zero make a second component of equal content, told apart by its title alone.
     named = lambda prefix, key: F.concat(F.lit(prefix), F.col(key).cast("string"))
     schemas = F.map_from_entries(F.array(

@@ -92,6 +92,56 @@ def test_ambiguous_references_are_refused(spark):
     assert all(r.component != "W" for r in found.collect())
 
 
+def _copies(value, index, at=""):
+    """Outermost copies inside a component: pointer, value."""
+    for k, v in value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ():
+        here = f"{at}/{str(k).replace('~', '~0').replace('/', '~1')}"
+        if isinstance(v, dict) and v and _bare(v) in index:
+            yield here, v
+        else:
+            yield from _copies(v, index, here)
+
+
+def _bare(value):
+    return json.dumps({k: v for k, v in value.items() if k != "description"}, sort_keys=True)
+
+
+def test_references_against_plain_search_without_taking_documents_apart(spark, monkeypatch):
+    """What equals a component is not cut further, and nothing is folded up again."""
+    draw = random.Random(9)
+    parts = [{"a": None}, {"description": "only"}, {"a": [], "title": "P2"}, {"a": [], "title": "P2", "description": 1}, {"b/c": {"a": None}, "title": None}, {"'": [[{"a": None}]]}, {"a": 1.5, "b": {"a": [], "title": "P2"}}]
+    schemas = {f"P{i}": v for i, v in enumerate(parts)}
+    for i in range(40):
+        schemas[f"C{i}"] = {k: draw.choice(parts) if draw.random() < 0.6 else [_value(draw, 2), draw.choice(parts)] for k in draw.sample(KEYS, draw.randint(1, 4))}
+    schemas |= {"Empty": {}, "List": [1], "Text": "x"}
+    docs = [(i, _file(**{k: v for k, v in schemas.items() if draw.random() < 0.5 or i == 3})) for i in range(5)] + [(9, None), (10, "[]"), (11, '{"components":{"schemas":[{}]}}')]
+    real = {k: v for k, v in schemas.items() if isinstance(v, dict) and v}
+    index = {}
+    for name, v in real.items():
+        index.setdefault(_bare(v), []).append(name)
+    want, tied = set(), set()
+    for name, v in real.items():
+        for at, copy in _copies(v, index):
+            names = index[_bare(copy)]
+            title = copy.get("title")
+            if len(names) == 1 or title in names:
+                want.add((name, at, title if len(names) > 1 else names[0], len(names) > 1))
+            else:
+                tied.add((name, at))
+    monkeypatch.setattr(documents, "fold_up", lambda *a, **b: pytest.fail("folded up"))
+    found, refused = documents.recover_references(documents.unnest(spark.createDataFrame(docs, "doc long, text string")))
+    assert Counter((r.component, r.pointer, r.target, r.by_title) for r in found.collect()) == Counter(want)
+    assert Counter((r.name, r.pointer) for r in refused.collect()) == Counter(tied)
+    assert want and any(by for *_, by in want)
+
+
+def test_files_of_a_small_table_are_made_by_all_cores(spark, small):
+    from stelae.plans import document_queries
+    from stelae.plans.model import Tables
+
+    assert document_queries._files(Tables(spark, small)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_statements_of_a_graph(spark):
     nodes = spark.createDataFrame([(1, {"a/b": ["x", None], "e": []}), (2, {})], "doc long, properties map<string,array<string>>")
     got = sorted((r.doc, r.pointer, r.value) for r in documents.graph_statements(nodes).collect())
