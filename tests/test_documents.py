@@ -142,6 +142,15 @@ def test_files_of_a_small_table_are_made_by_all_cores(spark, small):
     assert document_queries._files(Tables(spark, small)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def test_refusals_without_taking_documents_apart(spark, small, oracle, monkeypatch):
+    from stelae.plans import registry
+    from tests.conftest import rows_of
+
+    monkeypatch.setattr(documents, "fold_up", lambda *a, **b: pytest.fail("folded up"))
+    got = registry.queries()["dereferenced_refusals"](spark, small).toPandas()
+    assert rows_of(got) == rows_of(oracle.execute(registry.oracle_sql()["dereferenced_refusals"]).df())
+
+
 def test_statements_of_a_graph(spark):
     nodes = spark.createDataFrame([(1, {"a/b": ["x", None], "e": []}), (2, {})], "doc long, properties map<string,array<string>>")
     got = sorted((r.doc, r.pointer, r.value) for r in documents.graph_statements(nodes).collect())
