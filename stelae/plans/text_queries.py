@@ -8,7 +8,7 @@ from stelae.functions import scalars as S
 from stelae.operators import bridge, fulltext
 from stelae.plans.model import GRAPH_SQL, Tables, nodes
 from stelae.plans.registry import query
-from stelae.runtime import stored
+from stelae.runtime import spread, stored
 
 
 @query("""WITH w AS (SELECT p_partkey AS id, unnest(list_filter(string_split_regex(lower(p_name || ' ' || p_type), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM part),
@@ -19,7 +19,7 @@ FROM (SELECT DISTINCT id, term FROM w WHERE id % 100 = 0) q JOIN f USING (term)
 SELECT query, id, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INTEGER AS rank FROM s) WHERE rank <= 5""")
 def fulltext_bm25(t: Tables):
     docs = t.part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
-    index = stored(fulltext.postings(docs), "postings")
+    index = stored(fulltext.postings(spread(docs, "id")), "postings")
     n, total = index.agg(F.countDistinct("id"), F.sum("tf")).first()
     asked = docs.where("id % 100 = 0").select(F.col("id").alias("query"), "text")
     found = fulltext.bm25_top_k(index, n, (total or 0) / max(1, n), asked, 5)

@@ -1,5 +1,7 @@
 """Operators on hand-made rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +216,32 @@ def test_maps_are_merged_by_sums(spark):
 
     rows = spark.createDataFrame([([{"a": 1, "b": 2}, {"b": 3, "c": 4}, {}],)], "m array<map<string,bigint>>")
     assert rows.select(hub.merged_sums(F.col("m")).alias("m")).first().m == {"a": 1, "b": 5, "c": 4}
+
+
+def test_bm25_of_equal_documents_and_queries_against_plain_scores(spark):
+    """Kinds of documents and of queries meet, not all of them, and the answers stay whole."""
+    import math
+
+    from stelae.operators import fulltext
+
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice("abcd") for _ in range(draw.randint(1, 4))) for _ in range(12)] + ["", "z"]
+    docs = {i: draw.choice(texts) for i in draw.sample(range(10000), 300)}
+    asked = {i: draw.choice([*texts, "A b-a", "nothing"]) for i in range(80)}
+    rows = {i: x.split() for i, x in docs.items() if x}
+    n, average = len(rows), sum(map(len, rows.values())) / len(rows)
+    df = {w: sum(w in x for x in rows.values()) for w in "abcdz"}
+    want = set()
+    for q, text in asked.items():
+        words, scores = {w for w in text.lower().replace("-", " ").split() if df.get(w)}, {}
+        for i, x in rows.items():
+            parts = [math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * x.count(w) * 2.2 / (x.count(w) + 1.2 * (0.25 + 0.75 * len(x) / average)) for w in words if w in x]
+            if parts:
+                scores[i] = round(sum(parts), 6)
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        want |= {(q, i, place, scores[i]) for place, i in enumerate(best, 1)}
+    index = fulltext.postings(spark.createDataFrame(list(docs.items()), "id long, text string"))
+    found = fulltext.bm25_top_k(index, n, average, spark.createDataFrame(list(asked.items()), "query long, text string"), 5)
+    assert {(r.query, r.id, r.rank, round(r.score, 6)) for r in found.collect()} == want
+    kinds = {(tuple(sorted(x)),) for x in rows.values()}
+    assert fulltext._profiles(index, 5).count() <= 5 * len(kinds)
