@@ -40,12 +40,16 @@ def _first(name: str) -> Column:
 
 def _parsed(lines: DataFrame) -> DataFrame:
     """Lines beside their block's header; a line that is no JSON object fails the job."""
-    head = lines.groupBy("ref_id").agg(F.min_by("line", "number").alias("head"), F.min("number").alias("first"))
+    # Least numbers are found without the texts; the heads' own size then says how they are joined.
+    first = stored(lines.groupBy("ref_id").agg(F.min("number").alias("first")), "first")
+    head = lines.join(first, "ref_id").where(F.col("number") == F.col("first"))
+    head = head.groupBy("ref_id").agg(F.from_json(F.min("line"), HEADER).alias("header"), F.min("first").alias("first"))
+    head = stored(head, "heads")
     rows = lines.join(head, "ref_id").where(F.col("number") > F.col("first"))
     wrong = F.raise_error(F.concat(F.lit("block "), "ref_id", F.lit(": not a line of JSON: "), "line"))
-    read = F.from_json("line", block_files.LINE)
-    rows = rows.withColumn("x", F.when(read.isNotNull() & read["kind"].isNotNull(), read).otherwise(wrong))
-    return rows.select("ref_id", F.from_json("head", HEADER).alias("header"), "x.*")
+    read = F.col("read")
+    rows = rows.withColumn("read", F.from_json("line", block_files.LINE)).withColumn("x", F.when(read.isNotNull() & read["kind"].isNotNull(), read).otherwise(wrong))
+    return rows.select("ref_id", "header", "x.*")
 
 
 def derive(lines: DataFrame) -> dict[str, DataFrame]:
@@ -111,7 +115,7 @@ def digests(rows: DataFrame, *by: str) -> DataFrame:
     rows whatever their order. Tells accidents apart; sums can be forged on purpose."""
     names = sorted(c for c in rows.columns if c not in by)
     row = F.sha2(F.to_json(F.struct(*[F.coalesce(F.to_json(F.array(c)), F.lit("null")).alias(c) for c in names])), 256)
-    parts = [F.conv(F.substring("row", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    parts = [F.conv(F.substring("row", 1 + 15 * i, 15), 16, 10).cast("long").cast("decimal(20,0)") for i in range(4)]
     sums = [F.sum(p).alias(f"part_{i}") for i, p in enumerate(parts)]
     return rows.select(*by, row.alias("row")).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums)
 
@@ -120,7 +124,8 @@ def verify(store: Store, lines: DataFrame) -> DataFrame:
     """-> ref_id, status: same; absent (not derived yet); gone (derived rows without a
     block); or the names of tables whose rows differ from a whole derivation."""
     version = store.version()
-    derived = derive(lines)
+    lines = stored(lines, "lines")
+    derived = {name: stored(rows, name) for name, rows in derive(lines).items()}  # counted and digested
 
     def whole(tables: dict[str, DataFrame]) -> DataFrame:
         out = None

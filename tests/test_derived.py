@@ -81,3 +81,13 @@ def test_pages_outside_the_limits_are_refused():
     for page, size in ((0, 10), (1, 0), (1, 1001)):
         with pytest.raises(ValueError):
             relations.domain_cards(None, None, page, size)
+
+
+def test_lines_meet_their_headers_where_they_are(spark):
+    """Neither sorted nor dealt by block, of which a few may hold nearly all lines; one
+    parse a line."""
+    rows = [("b", 2, '{"kind":"node","stableId":"y"}'), ("b", 0, '{"blockType":"standardBase","version":"7"}'), ("b", 1, '{"kind":"node","stableId":"x"}'), ("c", 5, '{"blockType":"relationship"}')]
+    parsed = derived._parsed(spark.createDataFrame(rows, "ref_id string, number int, line string"))
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "SortAggregate" not in plan and plan.count("from_json") == 1
+    assert sorted((r.ref_id, r.header.version, r.stableId) for r in parsed.collect()) == [("b", "7", "x"), ("b", "7", "y")]
