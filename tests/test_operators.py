@@ -245,3 +245,24 @@ def test_bm25_of_equal_documents_and_queries_against_plain_scores(spark):
     assert {(r.query, r.id, r.rank, round(r.score, 6)) for r in found.collect()} == want
     kinds = {(tuple(sorted(x)),) for x in rows.values()}
     assert fulltext._profiles(index, 5).count() <= 5 * len(kinds)
+
+
+def test_best_of_a_block_against_a_whole_sort():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for width, k, floor in ((1, 3, 0.1), (7, 7, -3.0), (40, 5, 0.1), (200, 10, 0.5), (200, 10, 2.0)):
+        cosine = draw.integers(-4, 5, (30, width)) / 4  # many ties
+        cosine[::7, 0] = -np.inf
+        ids, who = draw.permutation(width * 3)[:width], np.arange(30) * 2
+        order = np.lexsort((np.broadcast_to(ids, cosine.shape), -cosine), axis=1)[:, :k]
+        want = [(int(who[i]), int(ids[j]), float(cosine[i, j])) for i in range(30) for j in order[i] if cosine[i, j] >= floor]
+        found = retrieval._best(cosine, who, ids, k, floor)
+        assert list(zip(found.subject.tolist(), found.card.tolist(), found.cosine.tolist(), strict=True)) == want
+
+
+def test_neighbours_are_searched_once(spark, small):
+    from stelae.plans import registry
+
+    found = registry.queries()["neighbour_top_share"](spark, small)
+    assert "MapInPandas" not in found._jdf.queryExecution().executedPlan().toString()
